@@ -113,6 +113,32 @@ class TimerFailures:
         return [slot] if slot and slot[2] >= self.times else []
 
 
+class ConsecutiveRun:
+    """Every ``times`` failures in a row within the span; runs overlap. The stream form of a lag."""
+
+    outputs = ("first_ts_ms", "last_ts_ms")
+
+    def __init__(self, times: int, within_ms: int, inclusive: bool):
+        self.times, self.limit = times, within_ms + (1 if inclusive else 0)
+
+    def start(self, state: list[int]) -> None:
+        self.run = deque(state, maxlen=self.times)
+
+    def step(self, ts: int, seq: int, tag: int) -> list[tuple]:
+        if not tag:
+            self.run.clear()
+            return []
+        self.run.append(ts)
+        full = len(self.run) == self.times
+        return [(self.run[0], ts)] if full and ts - self.run[0] < self.limit else []
+
+    def state(self) -> list[int]:
+        return list(self.run)
+
+    def finish(self) -> list[tuple]:
+        return []
+
+
 class FifoPairs:
     """Pairs each row with the oldest row of the other side that still waits for it.
 

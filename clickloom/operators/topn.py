@@ -25,7 +25,8 @@ def top_n(
     map task before the shuffle, so a window with millions of keys is never collected.
     """
     spec = Window.partitionBy(*within).orderBy(F.desc(measure), F.asc(key))
-    return counts.withColumn(rank, F.row_number().over(spec)).where(F.col(rank) <= n)
+    ranked = counts.withColumn(rank, F.row_number().over(spec)).where(F.col(rank) <= n)
+    return ranked.withColumn(rank, F.col(rank).cast("bigint"))
 
 
 # The report's text pieces.

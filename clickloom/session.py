@@ -34,10 +34,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in local
     tests, is a temporary folder set in its place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="clickloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
+        root = context.getCheckpointDir()
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{root.rstrip('/')}/clickloom/{name}-{uuid.uuid4().hex}"
@@ -46,10 +47,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def stateful_session(spark: SparkSession) -> SparkSession:
     """A sibling session whose streams keep state in RocksDB, as stateful processors need."""
     sibling = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        sibling.conf.set(key, spark.conf.get(key))
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        sibling.conf.set("spark.checkpoint.dir", root)
+    # A stream keeps its number of state partitions for life: one per core of the cluster.
+    sibling.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return sibling

@@ -55,7 +55,7 @@ def each_batch(
         transform(batch).write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={batch_id}")
 
     run_to_end(stream.writeStream.foreachBatch(write).outputMode(mode), f"{folder}/checkpoint")
-    return spark.read.schema(schema).parquet(f"{folder}/rows")
+    return spark.read.schema(schema).parquet(f"{folder}/rows").select(*schema.names)
 
 
 class UpsertLog:

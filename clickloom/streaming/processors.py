@@ -20,7 +20,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickloom.functions.time import TS, TS_MS, calendar_day, millis
 from clickloom.operators import lifecycle
-from clickloom.operators.folds import AnchoredFailures, FifoPairs, OrderCycles, TimerFailures
+from clickloom.operators.folds import (
+    AnchoredFailures,
+    ConsecutiveRun,
+    FifoPairs,
+    OrderCycles,
+    TimerFailures,
+)
 from clickloom.operators.matching import LEFT, MATCHED, SIDE, UNMATCHED_LEFT, UNMATCHED_RIGHT
 from clickloom.operators.ratelimit import PASSED, WARNING
 
@@ -36,6 +42,11 @@ def _in_order(rows: Iterable[Row]) -> list[Row]:
 class _Remembering(StatefulProcessor):
     """Keeps a short list of longs per key."""
 
+    names: list[str] = []
+
+    def row(self, *values) -> Row:
+        return Row(**dict(zip(self.names, values)))
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.memory = handle.getValueState("memory", LONGS)
@@ -84,8 +95,8 @@ class ClickCap(_Remembering):
 class FoldFailures(_Remembering):
     """A failure fold (anchored or timer) kept alive between micro-batches."""
 
-    def __init__(self, rule, keys: Sequence[str], timer_ms: int | None = None):
-        self.rule, self.keys, self.timer_ms = rule, list(keys), timer_ms
+    def __init__(self, rule, names: Sequence[str], timer_ms: int | None = None):
+        self.rule, self.names, self.timer_ms = rule, list(names), timer_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self.rule.start(self.recall())
@@ -98,24 +109,55 @@ class FoldFailures(_Remembering):
             # One past the end: a row at the very end still belongs to the span.
             self.only_timer(state[0] + self.timer_ms + 1 if state else None)
         for out in found:
-            yield self._row(key, out)
+            yield self.row(*key, *out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.rule.start(self.recall())
         found = self.rule.finish()
         self.remember([])
         for out in found:
-            yield self._row(key, out)
+            yield self.row(*key, *out)
+
+
+class FollowedBy(_Remembering):
+    """Begin rows that wait for the first end row of their key, or for their time to run out."""
 
-    def _row(self, key, out) -> Row:
-        return Row(**dict(zip(self.keys, key)), **dict(zip(self.rule.outputs, out)))
+    def __init__(self, within_ms: int, names: Sequence[str]):
+        self.within, self.names = within_ms, list(names)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        waiting, found = self.recall(), []
+        for row in _in_order(rows):
+            if row["_end"]:
+                found += [self._outcome(key, t, row[TS_MS]) for t in waiting]
+                waiting = []
+            if row["_begin"]:
+                waiting.append(row[TS_MS])
+        self._await(waiting)
+        yield from found
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark, waiting = timerValues.getCurrentWatermarkInMs(), self.recall()
+        self._await([t for t in waiting if t + self.within > watermark])
+        for begin in waiting:
+            if begin + self.within <= watermark:
+                yield self.row(*key, begin, None, "timeout")
+
+    def _await(self, waiting: list[int]) -> None:
+        self.remember(waiting)
+        self.only_timer(waiting[0] + self.within if waiting else None)
+
+    def _outcome(self, key, begin: int, end: int) -> Row:
+        if end - begin < self.within:
+            return self.row(*key, begin, end, "matched")
+        return self.row(*key, begin, None, "timeout")
 
 
 class OrderLifecycle(_Remembering):
     """Create and pay in any order, with event-time timers for the one that does not come."""
 
-    def __init__(self, within_ms: int, max_early_ms: int):
-        self.rule = OrderCycles(within_ms, max_early_ms)
+    def __init__(self, within_ms: int, max_early_ms: int, names: Sequence[str]):
+        self.rule, self.names = OrderCycles(within_ms, max_early_ms), list(names)
         self.within, self.early = within_ms, max_early_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -128,21 +170,21 @@ class OrderLifecycle(_Remembering):
         wait = (self.within if state[0] else self.early) if state else 0
         self.only_timer(state[1] + wait + 1 if state else None)
         for out in found:
-            yield Row(*key, *out)
+            yield self.row(*key, *out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.rule.start(self.recall())
         found = self.rule.finish()
         self.remember([])
         for out in found:
-            yield Row(*key, *out)
+            yield self.row(*key, *out)
 
 
 class OneToOne(_Remembering):
     """First come, first served pairs of two tagged streams; timers release those that wait in vain."""
 
-    def __init__(self, before_ms: int, after_ms: int):
-        self.rule = FifoPairs(before_ms, after_ms)
+    def __init__(self, before_ms: int, after_ms: int, names: Sequence[str]):
+        self.rule, self.names = FifoPairs(before_ms, after_ms), list(names)
 
     def _await_oldest(self) -> None:
         waiting = self.rule.waiting
@@ -157,7 +199,7 @@ class OneToOne(_Remembering):
             found += self.rule.step(row[TS_MS], row["seq"], row["_tag"])
         self._await_oldest()
         for out in found:
-            yield Row(*key, *out)
+            yield self.row(*key, *out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.rule.start(self.recall())
@@ -167,7 +209,7 @@ class OneToOne(_Remembering):
             found.append(self.rule._lone(self.rule.waiting.popleft()[1]))
         self._await_oldest()
         for out in found:
-            yield Row(*key, *out)
+            yield self.row(*key, *out)
 
 
 class LateTagger(StatefulProcessor):
@@ -211,14 +253,33 @@ def stream_daily_cap(df: DataFrame, keys: Sequence[str], cap: int, zone: str = "
 
 
 def stream_failures(
-    df: DataFrame, keys: Sequence[str], fail: Column, times: int, within: timedelta, timer: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    fail: Column,
+    times: int,
+    within: timedelta,
+    rule: str = "anchored",
+    inclusive: bool = False,
 ) -> DataFrame:
-    """Stream form of the anchored (or timer) failure fold."""
-    span = millis(within)
-    rule = TimerFailures(times, span) if timer else AnchoredFailures(times, span)
+    """Stream form of the failure rules: ``anchored``, ``timer`` or ``consecutive``."""
+    span, timer = millis(within), rule == "timer"
+    if rule == "consecutive":
+        rule = ConsecutiveRun(times, span, inclusive)
+    else:
+        rule = TimerFailures(times, span) if timer else AnchoredFailures(times, span)
     rows = df.select(*keys, TS, TS_MS, "seq", fail.cast("bigint").alias("_tag"))
     schema = _schema(df, keys, **{o: T.LongType() for o in rule.outputs})
-    return _run(rows, keys, FoldFailures(rule, keys, span if timer else None), schema)
+    return _run(rows, keys, FoldFailures(rule, schema.names, span if timer else None), schema)
+
+
+def stream_followed_by(
+    df: DataFrame, keys: Sequence[str], begin: Column, end: Column, within: timedelta
+) -> DataFrame:
+    """Stream form of :func:`clickloom.operators.patterns.followed_by`."""
+    rows = df.select(*keys, TS, TS_MS, "seq", begin.alias("_begin"), end.alias("_end"))
+    rows = rows.where(F.col("_begin") | F.col("_end"))
+    schema = _schema(df, keys, begin_ms=T.LongType(), end_ms=T.LongType(), outcome=T.StringType())
+    return _run(rows, keys, FollowedBy(millis(within), schema.names), schema)
 
 
 def stream_order_lifecycle(
@@ -228,7 +289,7 @@ def stream_order_lifecycle(
     tag = F.when(create, F.lit(1)).when(pay, F.lit(0)).cast("bigint")
     rows = df.select(order, TS, TS_MS, "seq", tag.alias("_tag")).where(F.col("_tag").isNotNull())
     schema = _schema(df, [order], **{o: T.LongType() for o in OrderCycles.outputs})
-    found = _run(rows, [order], OrderLifecycle(millis(within), millis(max_early)), schema)
+    found = _run(rows, [order], OrderLifecycle(millis(within), millis(max_early), schema.names), schema)
     names = [lifecycle.PAID, lifecycle.PAID_LATE, lifecycle.NEVER_PAID, lifecycle.NEVER_CREATED]
     state = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("code") + 1).cast("int"))
     return lifecycle.with_output(found.select(order, "create_ms", "pay_ms", state.alias("result_state")))
@@ -240,7 +301,7 @@ def stream_one_to_one(
     """Stream form of one-to-one pairing, on both streams connected under a ``side`` tag."""
     rows = connected.select(on, TS, TS_MS, "seq", (F.col(SIDE) == LEFT).cast("bigint").alias("_tag"))
     schema = _schema(connected, [on], **{o: T.LongType() for o in FifoPairs.outputs})
-    found = _run(rows, [on], OneToOne(millis(before), millis(after)), schema)
+    found = _run(rows, [on], OneToOne(millis(before), millis(after), schema.names), schema)
     names = [MATCHED, UNMATCHED_LEFT, UNMATCHED_RIGHT]
     outcome = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("code") + 1).cast("int"))
     return found.select(on, "left_seq", "right_seq", outcome.alias("outcome"))
