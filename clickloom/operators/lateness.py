@@ -1,6 +1,6 @@
 """Watermarks in arrival order, allowed lateness and the late side output, in batch.
 
-The stream forms are ``withWatermark`` and ``clickloom.streaming.processors.LateTagger``.
+The stream forms are ``withWatermark`` and ``clickloom.streaming.jobs.LateRouter``.
 """
 
 from __future__ import annotations

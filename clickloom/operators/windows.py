@@ -40,8 +40,9 @@ def windowed_agg(
     window itself, which ``keep_window`` leaves in as ``w``.
     """
     grouped = df.groupBy(*keys, time_window(size, slide).alias(WINDOW)).agg(*aggs)
-    result = grouped.withColumn(WINDOW_END, window_end())
-    return result if keep_window else result.drop(WINDOW)
+    lead = [*keys, WINDOW] if keep_window else [*keys]
+    values = [c for c in grouped.columns if c not in (*keys, WINDOW)]
+    return grouped.select(*lead, window_end().alias(WINDOW_END), *values)
 
 
 def windowed_count(

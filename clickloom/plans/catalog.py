@@ -412,7 +412,9 @@ def stream_tx_one_to_one(spark, sf):
 
 @query
 def stream_late_pages(spark, sf):
-    log = frames.page_log(_stream(spark, sf))
-    tagged = processors.stream_tag_late(log, ["seq"], HOUR, 5 * MINUTE, 60 * MINUTE)
-    tagged = append_files(tagged, spark, "late_pages").where(F.col("method") == "click")
-    return tagged.groupBy("url", "outcome").agg(F.count("*").alias("cnt"))
+    log = frames.late_page_log(frames.event_stream(stateful_session(spark), sf))
+    router = stream_jobs.LateRouter(
+        spark, "late_pages", ["arrival_ms", "seq"], 10 * MINUTE, HOUR, 5 * MINUTE, 60 * MINUTE
+    )
+    rows = router.run(log).where((F.col("method") == "click") & (F.col("outcome") == "late"))
+    return rows.select("seq", "url", TS_MS, "arrival_ms", "wm_ms")

@@ -363,6 +363,5 @@ SQL: dict[str, str] = {
         f"ms + {5 * HOUR} <= {BOTH}", f"ms + {3 * HOUR} <= {BOTH}"
     ),
     "stream_tx_one_to_one": _one_to_one(stream=True),
-    "stream_late_pages": f"""WITH {E} SELECT {URL} AS url, 'on_time' AS outcome, count(*) AS cnt
-        FROM e WHERE event_type = 'click' GROUP BY 1""",
+    "stream_late_pages": f"{LATE} SELECT seq, url, ms AS ts_ms, arrival_ms, wm_ms FROM t WHERE late",
 }

@@ -6,19 +6,20 @@ Windows that the last watermark has not closed stay open, as they would in a run
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.time import TS_MS
-from clickloom.operators.lateness import watermark
-from clickloom.operators.topn import top_n
-from clickloom.operators.windows import WINDOW, WINDOW_END, window_end, windowed_count
 from clickloom.functions.hashing import poly_hash
+from clickloom.functions.time import TS_MS, millis
+from clickloom.operators import lateness
+from clickloom.operators.topn import top_n
+from clickloom.operators.windows import WINDOW, WINDOW_END, time_window, window_end
 from clickloom.session import shared_folder
-from clickloom.sources.sinks import UpsertLog, each_batch
+from clickloom.sources.sinks import BATCH, UpsertLog, each_batch, run_to_end
 
 
 def rank_closed_windows(
@@ -49,7 +50,7 @@ def visitors_updating(
     behavior: DataFrame, spark: SparkSession, size: timedelta, visitor: str = "user_id"
 ) -> DataFrame:
     """Approximate visitors per window, updated as rows come and kept newest per window."""
-    counts = behavior.groupBy(F.window("ts", f"{size // timedelta(seconds=1)} seconds").alias(WINDOW)).agg(
+    counts = behavior.groupBy(time_window(size).alias(WINDOW)).agg(
         F.approx_count_distinct(visitor, 0.02).alias("uv")
     )
     rows = counts.select(window_end().alias(WINDOW_END), "uv")
@@ -63,18 +64,58 @@ def visitors_bitmap(behavior: DataFrame, size: timedelta, visitor: str = "user_i
     offset = F.col("_offset")
     rows = behavior.withColumn("_offset", poly_hash(F.col(visitor).cast("string")))
     bits = F.bitmap_construct_agg(F.bitmap_bit_position(offset))
-    window = F.window("ts", f"{size // timedelta(seconds=1)} seconds").alias(WINDOW)
+    window = time_window(size).alias(WINDOW)
     parts = rows.groupBy(window, F.bitmap_bucket_number(offset).alias("_bucket")).agg(bits.alias("_bits"))
     counts = parts.groupBy(WINDOW).agg(F.sum(F.bitmap_count("_bits")).alias("uv"))
     return counts.select(window_end().alias(WINDOW_END), "uv")
 
 
-__all__ = [
-    "TS_MS",
-    "rank_closed_windows",
-    "rank_updated_windows",
-    "visitors_bitmap",
-    "visitors_updating",
-    "watermark",
-    "windowed_count",
-]
+class LateRouter:
+    """Tags the late rows of a stream and keeps them, where Spark itself would drop them.
+
+    Within a micro-batch rows are judged in arrival order; from one batch to the next only
+    the latest event time is carried, recorded in the shared folder under the batch number.
+    A repeated batch therefore sees the same past and overwrites its own rows. The stream
+    needs no watermark, and no state is kept per key.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        arrival: Sequence[str],
+        bound: timedelta,
+        size: timedelta,
+        slide: timedelta | None = None,
+        lateness: timedelta = timedelta(0),
+    ):
+        self.spark, self.folder = spark, shared_folder(spark, name)
+        self.arrival, self.bound = list(arrival), bound
+        self.size, self.slide, self.lateness = size, slide, lateness
+
+    def _seen_before(self, batch_id: int) -> int | None:
+        if batch_id == 0:
+            return None
+        path, schema = f"{self.folder}/seen", T.StructType([T.StructField("latest", T.LongType())])
+        earlier = self.spark.read.schema(schema).parquet(path).where(F.col(BATCH) < batch_id)
+        return earlier.agg(F.max("latest")).first()[0]
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        before = self._seen_before(batch_id)
+        batch = batch.persist()
+        rows = lateness.arrival_watermark(batch, self.arrival, self.bound)
+        if before is not None:
+            carried = F.lit(before - millis(self.bound))
+            rows = rows.withColumn(lateness.WATERMARK, F.greatest(lateness.WATERMARK, carried))
+        tagged = lateness.tag_late(rows, self.size, self.slide, self.lateness)
+        tagged.write.mode("overwrite").parquet(f"{self.folder}/rows/{BATCH}={batch_id}")
+        latest = batch.agg(F.max(TS_MS).alias("latest"))
+        latest.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/seen/{BATCH}={batch_id}")
+        batch.unpersist()
+
+    def run(self, stream: DataFrame) -> DataFrame:
+        """Run the stream to its end and read all rows with ``wm_ms`` and ``outcome``."""
+        run_to_end(stream.writeStream.foreachBatch(self.write), f"{self.folder}/checkpoint")
+        added = [T.StructField(lateness.WATERMARK, T.LongType()), T.StructField(lateness.OUTCOME, T.StringType())]
+        schema = T.StructType([*stream.schema, *added])
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/rows").select(*schema.names)

@@ -212,28 +212,6 @@ class OneToOne(_Remembering):
             yield self.row(*key, *out)
 
 
-class LateTagger(StatefulProcessor):
-    """Tags rows whose every window had closed, lateness included, at the current watermark."""
-
-    def __init__(self, slide_ms: int, size_ms: int, lateness_ms: int):
-        self.slide, self.size, self.lateness = slide_ms, size_ms, lateness_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        pass
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        for row in rows:
-            ts = row[TS_MS]
-            last_end = ts - ts % self.slide + self.size
-            late = last_end + self.lateness <= watermark
-            kept = {k: row[k] for k in row.__fields__ if k != TS}
-            yield Row(**kept, wm_ms=watermark, outcome="late" if late else "on_time")
-
-    def close(self) -> None:
-        pass
-
-
 def _schema(df: DataFrame, names: Sequence[str], **added: T.DataType) -> T.StructType:
     return T.StructType(
         [df.schema[n] for n in names] + [T.StructField(n, kind) for n, kind in added.items()]
@@ -305,23 +283,3 @@ def stream_one_to_one(
     names = [MATCHED, UNMATCHED_LEFT, UNMATCHED_RIGHT]
     outcome = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("code") + 1).cast("int"))
     return found.select(on, "left_seq", "right_seq", outcome.alias("outcome"))
-
-
-def stream_tag_late(
-    df: DataFrame,
-    spread_by: Sequence[str],
-    size: timedelta,
-    slide: timedelta | None = None,
-    lateness: timedelta = timedelta(0),
-    spread: int = 64,
-) -> DataFrame:
-    """Tag late rows of a stream. No state is kept, so rows are spread by hash rather than by key."""
-    names = [c for c in df.columns if c != TS]
-    rows = df.withColumn("_spread", F.pmod(F.xxhash64(*spread_by), F.lit(spread)))
-    schema = _schema(df, names, wm_ms=T.LongType(), outcome=T.StringType())
-    tagger = LateTagger(millis(slide or size), millis(size), millis(lateness))
-    return _run(rows.select("_spread", TS, *names), ["_spread"], tagger, _with_spread(schema))
-
-
-def _with_spread(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField("_spread", T.LongType()), *schema])
