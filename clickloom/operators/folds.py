@@ -323,19 +323,29 @@ def failure_islands(
     """
     rows = df.select(*keys, TS_MS, seq, fail.cast("bigint").alias(TAG))
     by_key = cut_hot_keys(rows, keys, TS_MS, task_rows)
-    order = [TS_MS, seq]
-    islands = running_over(by_key, order, 1 - F.col(TAG), "_ended")
+    islands = running_over(by_key, [TS_MS, seq], 1 - F.col(TAG), "_ended", keep_slices=True)
     # The row that ends a run still belongs to it.
     islands = islands.withColumn("_island", F.col("_ended") - (1 - F.col(TAG))).drop("_ended")
     inner = [*keys, "_island"]
-    if by_key.is_cut:
-        sliced = cut_hot_keys(islands, inner, TS_MS, task_rows)
-    else:
-        sliced = Sliced(islands, inner, 0)
-    fails = F.sum(TAG).over(Window.partitionBy(*sliced.group))
+    fails = F.sum(TAG).over(Window.partitionBy(*by_key.group, "_island"))
+    counted = islands.withColumn("_fails", fails)
+    if not by_key.is_cut:
+        return Sliced(counted.where(F.col("_fails") >= times).drop("_fails"), inner, 0)
+
+    # Runs that are short within their slice are dropped before any further shuffle, unless
+    # they touch the slice's edge and may go on beyond it.
+    edges = Window.partitionBy(*by_key.group)
+    first, last = F.min("_island").over(edges), F.max("_island").over(edges)
+    at_edge = (F.col(SLICE) != WHOLE) & ((F.col("_island") == first) | (F.col("_island") == last))
+    pruned = counted.withColumn("_edge", at_edge).where((F.col("_fails") >= times) | F.col("_edge"))
+    pruned = pruned.drop("_fails", "_edge", SLICE, LAST)
+    # A run can only outgrow a task's share if it fills some slice from end to end.
+    full = by_key.hot_rows().groupBy(*by_key.group).agg(F.min(TAG).alias("_all")).where("_all = 1")
+    sliced = cut_hot_keys(pruned, inner, TS_MS, task_rows) if full.take(1) else Sliced(pruned, inner, 0)
     long_enough = F.col("_fails") >= times
     if sliced.is_cut:
         long_enough = long_enough | (F.col(SLICE) != WHOLE)
+    fails = F.sum(TAG).over(Window.partitionBy(*sliced.group))
     kept = sliced.df.withColumn("_fails", fails).where(long_enough).drop("_fails")
     return Sliced(kept, inner, sliced.slices)
 

@@ -23,7 +23,7 @@ BOUNDARY = "_boundary"
 WHOLE = -1
 
 # Rows one task is asked to sort for one key before that key counts as hot.
-TASK_ROWS = 2_000_000
+TASK_ROWS = 1_000_000
 # Longest list of hot keys. If more keys exceed TASK_ROWS, those beyond the list
 # are the smaller ones: each then holds under 1/MAX_HOT of all rows and is left whole.
 MAX_HOT = 10_000
@@ -98,10 +98,11 @@ def _with_boundary(sliced: Sliced, boundary: DataFrame) -> DataFrame:
     return rows.unionByName(boundary.withColumn(BOUNDARY, F.lit(True)), allowMissingColumns=True)
 
 
-def _strip(df: DataFrame, sliced: Sliced) -> DataFrame:
+def _strip(df: DataFrame, sliced: Sliced, keep_slices: bool = False) -> DataFrame:
     if not sliced.is_cut:
         return df
-    return df.where(~F.col(BOUNDARY)).drop(BOUNDARY, SLICE, LAST)
+    rows = df.where(~F.col(BOUNDARY)).drop(BOUNDARY)
+    return rows if keep_slices else rows.drop(SLICE, LAST)
 
 
 def running(
@@ -126,6 +127,7 @@ def running_over(
     value: Column,
     out: str,
     agg: Callable[[Column], Column] = F.sum,
+    keep_slices: bool = False,
 ) -> DataFrame:
     """:func:`running` on a frame whose hot keys are already cut."""
     rows = sliced.df.withColumn("_value", value)
@@ -146,7 +148,8 @@ def running_over(
         .orderBy(*[F.asc_nulls_first(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return _strip(rows.withColumn(out, agg(F.col("_value")).over(upto)).drop("_value"), sliced)
+    result = rows.withColumn(out, agg(F.col("_value")).over(upto)).drop("_value")
+    return _strip(result, sliced, keep_slices)
 
 
 def position(
@@ -191,19 +194,37 @@ def with_preceding(
 
 
 def nearest_of_other_slices(
-    sliced: Sliced, order: Sequence[str], target: Column, before: bool
+    sliced: Sliced, order: Sequence[str], wanted: Sequence[tuple[Column, bool, dict[str, Column]]]
 ) -> DataFrame:
-    """Per slice of a hot key, the order values of the nearest ``target`` row outside it."""
-    pick = F.max if before else F.min
-    outward = Window.partitionBy(*sliced.keys).orderBy(F.asc(SLICE) if before else F.desc(SLICE))
-    found = (
-        sliced.hot_rows()
-        .groupBy(*sliced.group)
-        .agg(pick(F.when(target, F.struct(*order))).alias("_near"))
-        .withColumn("_near", pick("_near").over(outward.rowsBetween(Window.unboundedPreceding, -1)))
-        .where(F.col("_near").isNotNull())
-    )
-    return found.select(*sliced.group, "_near.*")
+    """Per slice of a hot key, the nearest rows outside it that meet the wanted conditions.
+
+    ``wanted`` holds (condition, look before instead of after, columns to mark the row with).
+    All are found in one pre-aggregated pass over the hot rows. A row is given by its order
+    values and its marks.
+    """
+    names = [f"_near{i}" for i in range(len(wanted))]
+    inside = [
+        (F.max if before else F.min)(F.when(condition, F.struct(*order))).alias(name)
+        for name, (condition, before, _) in zip(names, wanted)
+    ]
+    earlier = Window.partitionBy(*sliced.keys).orderBy(F.asc(SLICE))
+    later = Window.partitionBy(*sliced.keys).orderBy(F.desc(SLICE))
+    outside = {}
+    for name, (_, before, _) in zip(names, wanted):
+        spec = (earlier if before else later).rowsBetween(Window.unboundedPreceding, -1)
+        outside[name] = (F.max if before else F.min)(name).over(spec)
+    found = sliced.hot_rows().groupBy(*sliced.group).agg(*inside).withColumns(outside)
+    marked = [
+        F.struct(
+            F.col(name).isNotNull().alias("_found"),
+            *[F.col(name)[c].alias(c) for c in order],
+            *[value.alias(mark) for mark, value in marks.items()],
+        )
+        for name, (_, _, marks) in zip(names, wanted)
+    ]
+    rows = found.select(*sliced.group, F.explode(F.array(*marked)).alias("_row"))
+    rows = rows.where("_row._found").select(*sliced.group, "_row.*")
+    return rows.drop("_found")
 
 
 def with_next(
@@ -218,8 +239,8 @@ def with_next(
     sliced = cut_hot_keys(df, keys, order[0], task_rows)
     rows = sliced.df
     if sliced.is_cut:
-        after = nearest_of_other_slices(sliced, order, F.col(target), before=False)
-        rows = _with_boundary(sliced, after.withColumn(target, F.lit(True)))
+        wanted = [(F.col(target), False, {target: F.lit(True)})]
+        rows = _with_boundary(sliced, nearest_of_other_slices(sliced, order, wanted))
     # Seen from the end, the rows already passed are the later ones: a growing frame, linear work.
     later = (
         Window.partitionBy(*sliced.group)
@@ -245,13 +266,12 @@ def with_nearest_sides(
     sliced = cut_hot_keys(df, keys, time, task_rows)
     rows = sliced.df
     if sliced.is_cut:
-        boundary = None
-        for value in sides:
-            for before in (True, False):
-                part = nearest_of_other_slices(sliced, [time], F.col(side) == value, before)
-                part = part.withColumn(side, F.lit(value))
-                boundary = part if boundary is None else boundary.unionByName(part)
-        rows = _with_boundary(sliced, boundary)
+        wanted = [
+            (F.col(side) == value, before, {side: F.lit(value)})
+            for value in sides
+            for before in (True, False)
+        ]
+        rows = _with_boundary(sliced, nearest_of_other_slices(sliced, [time], wanted))
     # Range frames take in rows at the same time, so both ends count as inclusive.
     upto = Window.partitionBy(*sliced.group).orderBy(F.asc(time))
     onward = Window.partitionBy(*sliced.group).orderBy(F.desc(time))

@@ -109,10 +109,9 @@ def reconcile(
     lp, rp = prefixes
     pairs = interval_join(left, right, on, before, after, prefixes)
     lone = unmatched(left, right, on, before, after, task_rows)
-    lone_left = prefixed(lone.where(F.col(SIDE) == LEFT).select(*left.columns), lp)
-    lone_right = prefixed(lone.where(F.col(SIDE) == RIGHT).select(*right.columns), rp)
-    return (
-        pairs.withColumn("outcome", F.lit(MATCHED))
-        .unionByName(lone_left.withColumn("outcome", F.lit(UNMATCHED_LEFT)), allowMissingColumns=True)
-        .unionByName(lone_right.withColumn("outcome", F.lit(UNMATCHED_RIGHT)), allowMissingColumns=True)
+    lone = lone.select(
+        *[F.when(F.col(SIDE) == LEFT, F.col(c)).alias(lp + c) for c in left.columns],
+        *[F.when(F.col(SIDE) == RIGHT, F.col(c)).alias(rp + c) for c in right.columns],
+        F.when(F.col(SIDE) == LEFT, UNMATCHED_LEFT).otherwise(UNMATCHED_RIGHT).alias("outcome"),
     )
+    return pairs.withColumn("outcome", F.lit(MATCHED)).unionByName(lone)
