@@ -302,15 +302,18 @@ def ordered_fold(sliced: Sliced, seq: str, make: Callable, outputs: Sequence[str
         .parquet(hot_path)
     )
     hot = spark.read.schema(T.StructType([*hot_rows.schema, T.StructField("_part", T.LongType())])).parquet(hot_path)
-    for number in range(sliced.slices):
+    numbers = [r[0] for r in hot.select("_part").distinct().orderBy("_part").collect()]
+    before = None
+    for number in numbers:
         piece = hot.where(F.col("_part") == number).drop("_part")
         piece = piece.withColumn(STATE, F.lit(None).cast("array<bigint>"))
-        if number:
-            before = spark.read.schema(schema).parquet(f"{done_path}/round={number - 1}")
-            handed = before.where(F.col(STATE).isNotNull()).select(*keys, STATE)
+        if before is not None:
+            handed = spark.read.schema(schema).parquet(f"{done_path}/round={before}")
+            handed = handed.where(F.col(STATE).isNotNull()).select(*keys, STATE)
             piece = piece.unionByName(handed, allowMissingColumns=True)
         fold(piece, True).write.parquet(f"{done_path}/round={number}")
-    done = spark.read.schema(schema).parquet(*[f"{done_path}/round={n}" for n in range(sliced.slices)])
+        before = number
+    done = spark.read.schema(schema).parquet(*[f"{done_path}/round={n}" for n in numbers])
     return cold.unionByName(done.where(F.col(STATE).isNull()).drop(STATE))
 
 

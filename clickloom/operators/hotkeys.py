@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ MAX_HOT = 10_000
 
 @dataclass(frozen=True)
 class Sliced:
-    """A frame with its slice column, and whether any key had to be cut."""
+    """A frame with its slice column. Slice numbers lie below ``slices``, which is 0 if no key was cut."""
 
     df: DataFrame
     keys: list[str]
@@ -49,48 +49,83 @@ class Sliced:
         return self.df.where(F.col(SLICE) != WHOLE)
 
 
+def _too_large(df: DataFrame, group: Sequence[str], time: str, rows: int) -> list[Row]:
+    """Row count and time range of the groups above ``rows``, largest first, at most ``MAX_HOT``."""
+    return (
+        df.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"))
+        .where((F.col("n") > rows) & (F.col("hi") > F.col("lo")))
+        .orderBy(F.desc("n"))
+        .limit(MAX_HOT)
+        .collect()
+    )
+
+
+def _even_cut(row: Row, task_rows: int) -> tuple[int, int]:
+    """Width of equal time slices for a group, and the number of its last slice."""
+    pieces = -(-row["n"] // task_rows)
+    width = -(-(row["hi"] - row["lo"] + 1) // pieces)
+    return width, (row["hi"] - row["lo"]) // width
+
+
+def _slice_number(time: Column, lo: Column, width: Column) -> Column:
+    return F.floor((time - lo - F.pmod(time - lo, width)) / width)
+
+
+def _lookup(df: DataFrame, group: Sequence[str], rows: list[tuple], values: Sequence[str]) -> DataFrame:
+    """A broadcast table of at most ``MAX_HOT`` rows, its group columns prefixed."""
+    fields = [T.StructField(f"_hot_{k}", df.schema[k].dataType) for k in group]
+    fields += [T.StructField(v, T.LongType()) for v in values]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields)))
+
+
+def _join_lookup(df: DataFrame, table: DataFrame, group: Sequence[str]) -> DataFrame:
+    same = [df[k].eqNullSafe(table[f"_hot_{k}"]) for k in group]
+    return df.join(table, same, "left").drop(*[f"_hot_{k}" for k in group])
+
+
 def cut_hot_keys(
     df: DataFrame, keys: Sequence[str], time: str, task_rows: int | None = None
 ) -> Sliced:
     """Cut the keys with more than ``task_rows`` rows into slices of their time range.
 
-    The one action is a pre-aggregated count per key; at most ``MAX_HOT`` rows of it reach
-    the driver, and they bound what is broadcast. Without a hot key the frame is unchanged.
+    Keys are counted in one pre-aggregated job, of which at most ``MAX_HOT`` rows reach the
+    driver; they bound what is broadcast. Slices are even in time. Where rows crowd into
+    a part of that time, a second count over the hot rows finds the overfull slices and
+    cuts them again. Without a hot key the frame is returned as it is.
     """
     task_rows = task_rows or TASK_ROWS
     keys = list(keys)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"))
-        .where((F.col("n") > task_rows) & (F.col("hi") > F.col("lo")))
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT)
-        .collect()
-    )
+    hot = _too_large(df, keys, time, task_rows)
     if not hot:
         return Sliced(df, keys, 0)
 
-    cuts, slices = [], 0
-    for row in hot:
-        pieces = -(-row["n"] // task_rows)
-        width = -(-(row["hi"] - row["lo"] + 1) // pieces)
-        last = (row["hi"] - row["lo"]) // width
-        slices = max(slices, last + 1)
-        cuts.append((*[row[k] for k in keys], row["lo"], width, last))
-    key_fields = [T.StructField(f"_hot_{k}", df.schema[k].dataType) for k in keys]
-    schema = T.StructType(
-        key_fields + [T.StructField(c, T.LongType()) for c in ("_lo", "_width", "_last")]
-    )
-    cut = F.broadcast(df.sparkSession.createDataFrame(cuts, schema))
-    same_key = [df[k].eqNullSafe(cut[f"_hot_{k}"]) for k in keys]
+    cuts = {tuple(r[k] for k in keys): (r["lo"], *_even_cut(r, task_rows)) for r in hot}
+    table = _lookup(df, keys, [(*k, *c) for k, c in cuts.items()], ["_lo", "_width", LAST])
     whole = F.lit(WHOLE).cast("bigint")
-    number = F.floor((df[time] - cut["_lo"] - F.pmod(df[time] - cut["_lo"], cut["_width"])) / cut["_width"])
-    sliced = df.join(cut, same_key, "left").select(
-        *[df[c] for c in df.columns],
-        F.when(cut["_lo"].isNull(), whole).otherwise(number).alias(SLICE),
-        F.coalesce(cut["_last"], whole).alias(LAST),
-    )
-    return Sliced(sliced, keys, slices)
+    number = F.coalesce(_slice_number(F.col(time), F.col("_lo"), F.col("_width")), whole)
+    sliced = _join_lookup(df, table, keys).withColumn(SLICE, number).drop("_lo", "_width")
+    sliced = sliced.withColumn(LAST, F.coalesce(LAST, whole))
+    slices = max(last for _, _, last in cuts.values()) + 1
+
+    group = [*keys, SLICE]
+    crowded = _too_large(sliced.where(F.col(SLICE) != WHOLE), group, time, 2 * task_rows)
+    if not crowded:
+        return Sliced(sliced, keys, slices)
+
+    finer = {tuple(r[k] for k in group): (r["lo"], *_even_cut(r, task_rows)) for r in crowded}
+    spread = max(last for _, _, last in finer.values()) + 1
+    # Numbers keep the order of time: slice, then the part of it.
+    ends = [
+        (*k, last * spread + finer.get((*k, last), (0, 0, 0))[2]) for k, (_, _, last) in cuts.items()
+    ]
+    parts = _lookup(sliced, group, [(*g, *c[:2]) for g, c in finer.items()], ["_lo", "_width"])
+    part = F.coalesce(_slice_number(F.col(time), F.col("_lo"), F.col("_width")), F.lit(0))
+    number = F.when(F.col(SLICE) == WHOLE, whole).otherwise(F.col(SLICE) * spread + part)
+    sliced = _join_lookup(sliced, parts, group).withColumn(SLICE, number).drop("_lo", "_width", LAST)
+    sliced = _join_lookup(sliced, _lookup(df, keys, ends, [LAST]), keys)
+    sliced = sliced.withColumn(LAST, F.coalesce(LAST, whole))
+    return Sliced(sliced.select(*df.columns, SLICE, LAST), keys, slices * spread)
 
 
 def _with_boundary(sliced: Sliced, boundary: DataFrame) -> DataFrame:

@@ -42,6 +42,20 @@ def test_cut_marks_only_hot_keys(df, size):
     assert sliced == {u for u, c in n.items() if c > size}
 
 
+def test_crowded_time_is_cut_again(spark):
+    """One far row stretches the range; all others crowd into a sliver of it."""
+    data = [(1, i, i, i % 3 == 0, "L") for i in range(200)] + [(1, 10_000_000, 999, True, "R")]
+    df = frame(spark, data, SCHEMA).drop("ts")
+    cut = hk.cut_hot_keys(df, ["user"], "ts_ms", 20)
+    sizes = [r["count"] for r in cut.df.groupBy(hk.SLICE).count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == 201
+    order = cut.df.orderBy("ts_ms").select(hk.SLICE, hk.LAST).collect()
+    assert [r[0] for r in order] == sorted(r[0] for r in order)
+    assert {r[1] for r in order} == {order[-1][0]} and order[-1][0] < cut.slices
+    nth = hk.position(df, ["user"], ORDER, "nth", 20)
+    assert rows(nth.select("ts_ms", "nth")) == [(i, i + 1) for i in range(200)] + [(10_000_000, 201)]
+
+
 def test_no_hot_key_leaves_the_plan_alone(df):
     cut = hk.cut_hot_keys(df, ["user"], "ts_ms", 10_000)
     assert not cut.is_cut and cut.df is df
