@@ -27,6 +27,9 @@ TASK_ROWS = 1_000_000
 # Longest list of hot keys. If more keys exceed TASK_ROWS, those beyond the list
 # are the smaller ones: each then holds under 1/MAX_HOT of all rows and is left whole.
 MAX_HOT = 10_000
+# Most slices of one key, so that the scan over a key's slices stays one small task. A key
+# too large for slices of TASK_ROWS gets larger slices instead.
+MAX_SLICES = 100_000
 
 
 @dataclass(frozen=True)
@@ -63,7 +66,7 @@ def _too_large(df: DataFrame, group: Sequence[str], time: str, rows: int) -> lis
 
 def _even_cut(row: Row, task_rows: int) -> tuple[int, int]:
     """Width of equal time slices for a group, and the number of its last slice."""
-    pieces = -(-row["n"] // task_rows)
+    pieces = min(-(-row["n"] // task_rows), MAX_SLICES)
     width = -(-(row["hi"] - row["lo"] + 1) // pieces)
     return width, (row["hi"] - row["lo"]) // width
 
@@ -109,7 +112,8 @@ def cut_hot_keys(
     slices = max(last for _, _, last in cuts.values()) + 1
 
     group = [*keys, SLICE]
-    crowded = _too_large(sliced.where(F.col(SLICE) != WHOLE), group, time, 2 * task_rows)
+    share = max(task_rows, -(-hot[0]["n"] // MAX_SLICES))
+    crowded = _too_large(sliced.where(F.col(SLICE) != WHOLE), group, time, 2 * share)
     if not crowded:
         return Sliced(sliced, keys, slices)
 

@@ -17,6 +17,8 @@ from clickloom.operators.windows import WINDOW_END, ends_of_pane
 
 WATERMARK = "wm_ms"
 OUTCOME = "outcome"
+# The arrival order runs over the whole table, so it is cut into smaller pieces than a hot key.
+ARRIVAL_ROWS = 250_000
 LATE, ON_TIME = "late", "on_time"
 
 
@@ -26,7 +28,7 @@ def watermark(df: DataFrame, delay: timedelta = timedelta(0)) -> DataFrame:
 
 
 def arrival_watermark(
-    df: DataFrame, arrival: Sequence[str], bound: timedelta, task_rows: int | None = None
+    df: DataFrame, arrival: Sequence[str], bound: timedelta, task_rows: int | None = ARRIVAL_ROWS
 ) -> DataFrame:
     """Add the watermark each row met: the latest event time so far, in arrival order, less ``bound``.
 

@@ -42,8 +42,8 @@ wdrtp5tFKr,alipay,1618206778000
 @pytest.fixture(scope="session")
 def spark():
     return local_session(
-        8,
         4,
+        2,
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
         spark__checkpoint__dir="/tmp/clickloom-tests",
     )
