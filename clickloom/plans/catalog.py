@@ -66,6 +66,11 @@ def hot_pages(spark, sf):
     return jobs.hot_pages(frames.page_log(frames.events(spark, sf)), method="click", **DAILY)
 
 
+@query
+def hot_pages_report(spark, sf):
+    return jobs.hot_pages_report(frames.page_log(frames.events(spark, sf)), method="click", **DAILY)
+
+
 def _late_pages(spark, sf):
     log = frames.late_page_log(frames.events(spark, sf))
     return jobs.pages_by_lateness(log, ["arrival_ms", "seq"], 10 * MINUTE, method="click", **LATE)
@@ -331,6 +336,19 @@ def stream_ad_cap(spark, sf):
     return append_files(capped, spark, "ad_cap").select("user_id", "ad_id", "seq", "outcome")
 
 
+@query
+def stream_ad_by_province(spark, sf):
+    capped = processors.stream_daily_cap(frames.ad_clicks(_stream(spark, sf)), jobs.AD_KEYS, 1)
+    counts = jobs.ad_by_province(capped, DAY, 6 * HOUR)
+    return append_files(counts, spark, "ad_by_province")
+
+
+@query
+def stream_marketing_total(spark, sf):
+    counts = jobs.marketing_total(frames.marketing(_stream(spark, sf)), DAY, "signup")
+    return append_files(counts, spark, "marketing_total")
+
+
 def _stream_failures(spark, sf, rule, times, within, inclusive=False):
     rows = frames.logins(_stream(spark, sf))
     fail = F.col("login_state") == "error"

@@ -41,6 +41,18 @@ PAGES = _sliding(f"{URL} AS url", "e", DAY, HOUR, "url", "event_type = 'click'")
 HOT_ITEMS = _ranked(ITEMS, "item_id", 5)
 STAMP = "strftime(make_timestamp(window_end_ms * 1000), '%Y-%m-%d %H:%M:%S')"
 
+HOT_PAGES = _ranked(PAGES, "url", 3)
+
+
+def _report(ranked: str, line: str) -> str:
+    return f"""WITH {E}
+        SELECT window_end_ms,
+               '======窗口结束时间：' || {STAMP} || '======' || chr(10)
+               || string_agg({line} || chr(10), '' ORDER BY row_num)
+               || '===========================================' || chr(10) || chr(10) AS report
+        FROM ({ranked}) GROUP BY window_end_ms"""
+
+
 TUMBLING = f"(ms // {DAY} + 1) * {DAY}"
 
 LATE = f"""WITH {E},
@@ -262,6 +274,8 @@ PROMOTION = f"""SELECT CAST(user_id % 3 AS VARCHAR) AS channel, event_type AS be
        {TUMBLING} AS window_end_ms, count(*) AS cnt,
        strftime(make_timestamp({TUMBLING} * 1000), '%Y-%m-%d %H:%M:%S') || '.0' AS window_end
 FROM e WHERE event_type <> 'signup' GROUP BY 1, 2, 3"""
+MARKETING = f"""SELECT 'total' AS label, {TUMBLING} AS window_end_ms, count(*) AS cnt
+FROM e WHERE event_type <> 'signup' GROUP BY 2"""
 PROVINCES = _sliding(
     "CAST(user_id % 6 AS VARCHAR) AS province", "c", DAY, 6 * HOUR, "province", "nth <= 2"
 )
@@ -270,14 +284,9 @@ SQL: dict[str, str] = {
     "hot_items": f"WITH {E} {HOT_ITEMS}",
     "hot_items_sql": f"WITH {E} {HOT_ITEMS}",
     "hot_items_table_sql": f"WITH {E} SELECT item_id, {STAMP} AS window_end, cnt, row_num FROM ({HOT_ITEMS})",
-    "hot_items_report": f"""WITH {E}
-        SELECT window_end_ms,
-               '======窗口结束时间：' || {STAMP} || '======' || chr(10)
-               || string_agg('NO.' || row_num || ': 商品ID = ' || item_id || ' 热门度 : ' || cnt || chr(10), ''
-                             ORDER BY row_num)
-               || '===========================================' || chr(10) || chr(10) AS report
-        FROM ({HOT_ITEMS}) GROUP BY window_end_ms""",
-    "hot_pages": f"WITH {E} {_ranked(PAGES, 'url', 3)}",
+    "hot_items_report": _report(HOT_ITEMS, "'NO.' || row_num || ': 商品ID = ' || item_id || ' 热门度 : ' || cnt"),
+    "hot_pages": f"WITH {E} {HOT_PAGES}",
+    "hot_pages_report": _report(HOT_PAGES, "'NO.' || row_num || ': 页面url : ' || url || ' 浏览量 : ' || cnt"),
     "hot_pages_late": f"{LATE} SELECT seq, url, ms AS ts_ms, arrival_ms, wm_ms FROM t WHERE late",
     "hot_pages_in_time": f"""{LATE},
         c AS (SELECT url, (ms // 300000 + i) * 300000 AS window_end_ms, count(*) AS cnt
@@ -302,8 +311,7 @@ SQL: dict[str, str] = {
         FROM events""",
     "window_event_count": f"WITH {E} {ALL_ROWS}",
     "channel_promotion": f"WITH {E} {PROMOTION}",
-    "marketing_total": f"""WITH {E} SELECT 'total' AS label, {TUMBLING} AS window_end_ms, count(*) AS cnt
-        FROM e WHERE event_type <> 'signup' GROUP BY 2""",
+    "marketing_total": f"WITH {E} {MARKETING}",
     "ad_cap_passed": f"""{CAPPED} SELECT user_id, event_type AS ad_id, CAST(user_id % 6 AS VARCHAR) AS province,
         ms AS ts_ms, seq FROM c WHERE nth <= 2""",
     "ad_blacklist": f"""{CAPPED} SELECT user_id, event_type AS ad_id, 'click over 1times.' AS warning_msg
@@ -348,6 +356,10 @@ SQL: dict[str, str] = {
     "stream_unique_visitor_bitmap": f"WITH {E} {_closed(VIEWS, KIND)}",
     "stream_window_event_count": f"WITH {E} {_closed(ALL_ROWS)}",
     "stream_channel_promotion": f"""WITH {E} {_closed(PROMOTION, "event_type <> 'signup'")}""",
+    # The window counts follow the cap, so the last closed window is set by the rows that passed it.
+    "stream_ad_by_province": f"""{CAPPED} SELECT *, {STAMP} || '.0' AS window_end FROM ({PROVINCES})
+        WHERE window_end_ms <= (SELECT max(ms) FROM c)""",
+    "stream_marketing_total": f"""WITH {E} {_closed(MARKETING, "event_type <> 'signup'")}""",
     "stream_ad_cap": f"""{CAPPED} SELECT user_id, event_type AS ad_id, seq,
         CASE WHEN nth <= 2 THEN 'passed' ELSE 'warning' END AS outcome FROM c WHERE nth <= 3""",
     "stream_login_fail_anchored": _anchored(2, 24 * HOUR, text=False),

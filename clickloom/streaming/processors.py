@@ -86,7 +86,7 @@ class ClickCap(_Remembering):
             days[day] = days.get(day, 0) + 1
             if days[day] <= self.cap + 2:
                 outcome = PASSED if days[day] <= self.cap + 1 else WARNING
-                yield Row(**{k: row[k] for k in row.__fields__ if k not in (TS, "_day")}, outcome=outcome)
+                yield Row(**{k: row[k] for k in row.__fields__ if k != "_day"}, outcome=outcome)
         newest = max(days)
         kept = [(d, n) for d, n in days.items() if d >= newest - 1]
         self.remember([v for pair in kept for v in pair])
@@ -218,16 +218,24 @@ def _schema(df: DataFrame, names: Sequence[str], **added: T.DataType) -> T.Struc
     )
 
 
-def _run(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
-    grouped = df.groupBy(*keys)
-    return grouped.transformWithState(processor, schema, "Append", "EventTime")
+def _run(
+    df: DataFrame,
+    keys: Sequence[str],
+    processor: StatefulProcessor,
+    schema: T.StructType,
+    event_time: str = "",
+) -> DataFrame:
+    """Run a processor. Naming the output's event time lets another windowed operator follow."""
+    return df.groupBy(*keys).transformWithState(
+        processor, schema, "Append", "EventTime", eventTimeColumnName=event_time
+    )
 
 
 def stream_daily_cap(df: DataFrame, keys: Sequence[str], cap: int, zone: str = "UTC") -> DataFrame:
-    """Stream form of :func:`clickloom.operators.ratelimit.daily_cap`."""
-    names = [c for c in df.columns if c != TS]
+    """Stream form of :func:`clickloom.operators.ratelimit.daily_cap`; windows may follow on its ``ts``."""
+    names = df.columns
     rows = df.withColumn("_day", calendar_day(F.col(TS_MS), zone).cast("bigint"))
-    return _run(rows, keys, ClickCap(cap), _schema(df, names, outcome=T.StringType()))
+    return _run(rows, keys, ClickCap(cap), _schema(df, names, outcome=T.StringType()), TS)
 
 
 def stream_failures(

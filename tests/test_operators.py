@@ -1,10 +1,11 @@
 from datetime import timedelta as D
 
+import pandas as pd
 import pytest
 from conftest import frame, rows
 from pyspark.sql import functions as F
 
-from clickloom.functions import calendar_day, format_ms, java_timestamp_text, next_midnight_ms, poly_hash
+from clickloom.functions import calendar_day, display_shift, format_ms, java_timestamp_text, next_midnight_ms, poly_hash
 from clickloom.operators import filters, lateness, lifecycle, matching, patterns, ratelimit, topn, windows
 from clickloom.operators.distinct import distinct_bitmap, distinct_exact, distinct_running, distinct_sketch
 
@@ -129,6 +130,24 @@ def test_time_text(spark):
     ]
 
 
+def test_display_shift_moves_text_only(spark):
+    df = frame(spark, [(1618203600000,)], "ts_ms long")
+    got = df.select(F.unix_millis(display_shift("ts")) - F.col("ts_ms")).first()[0]
+    assert got == 8 * 3600_000
+
+
+def test_any_aggregate_per_window(spark):
+    """The escape hatch: a pandas aggregate works like a built-in one."""
+
+    @F.pandas_udf("double")
+    def middle(v: pd.Series) -> float:
+        return float(v.median())
+
+    df = frame(spark, [(1, 1000, 5.0), (1, 2000, 9.0), (1, 3000, 6.0)], "k long, ts_ms long, v double")
+    got = windows.windowed_agg(df, ["k"], [middle("v").alias("mid")], 10 * S)
+    assert rows(got) == [(1, 10_000, 6.0)]
+
+
 # --- lateness --------------------------------------------------------------------------
 
 
