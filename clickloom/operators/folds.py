@@ -13,6 +13,7 @@ import sys
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -233,18 +234,24 @@ def _walker(make: Callable, keys: int, schema: pa.Schema, cut: bool) -> Callable
                 rows.append((*key, *[None] * width, fold.state()))
 
         for batch in batches:
-            for row in zip(*[column.to_pylist() for column in batch.columns]):
-                if row[:keys] != key:
+            columns = [column.to_pylist() for column in batch.columns]
+            keyed = zip(*columns[:keys])
+            events = zip(*columns[keys : keys + 3])
+            # Slice, last slice and handed-on state, where keys are cut.
+            pieces = zip(*columns[keys + 3 :]) if cut else repeat(None)
+            for found, event, piece in zip(keyed, events, pieces):
+                if found != key:
                     close()
-                    key = row[:keys]
-                    fold.start((row[keys + 5] or []) if cut else [])
+                    key = found
+                    fold.start((piece[2] or []) if cut else [])
                     ends = not cut
                 if cut:
-                    if row[keys + 5] is not None:
+                    if piece[2] is not None:
                         continue
-                    ends = row[keys + 3] == row[keys + 4]
-                for out in fold.step(row[keys], row[keys + 1], row[keys + 2]):
-                    rows.append((*key, *out, None))
+                    ends = piece[0] == piece[1]
+                outs = fold.step(*event)
+                if outs:
+                    rows.extend((*key, *out, None) for out in outs)
             if rows:
                 yield _batch(rows, schema)
                 rows.clear()
