@@ -24,7 +24,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from clickloom.functions.time import TS_MS, millis
 from clickloom.operators import lifecycle
-from clickloom.operators.hotkeys import LAST, SLICE, WHOLE, Sliced, cut_hot_keys, running_over
+from clickloom.operators.hotkeys import (
+    LAST,
+    SLICE,
+    WHOLE,
+    Sliced,
+    cut_hot_keys,
+    running,
+    running_over,
+    with_preceding,
+)
 from clickloom.operators.matching import (
     LEFT,
     MATCHED,
@@ -41,7 +50,7 @@ cloudpickle.register_pickle_by_value(sys.modules["clickloom"])
 STATE = "_state"
 TAG = "_tag"
 # Rows of one key in one folding task. They are streamed, so this bounds time, not memory.
-FOLD_ROWS = 20_000_000
+FOLD_ROWS = 5_000_000
 
 
 class AnchoredFailures:
@@ -392,6 +401,16 @@ def timer_failures(
     return found.drop("_island")
 
 
+def quiet_spells(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], silence_ms: int, task_rows: int | None = None
+) -> DataFrame:
+    """Number the stretches of each key between pauses longer than ``silence_ms`` as ``_spell``."""
+    rows = with_preceding(df, keys, order, 1, lambda spec: {"_before": F.lag(order[0]).over(spec)}, task_rows)
+    starts = (F.col(order[0]) - F.col("_before") > silence_ms).cast("bigint")
+    rows = running(rows, keys, order, F.coalesce(starts, F.lit(0)), "_spell", F.sum, task_rows)
+    return rows.drop("_before")
+
+
 def pair_one_to_one(
     left: DataFrame,
     right: DataFrame,
@@ -399,15 +418,28 @@ def pair_one_to_one(
     seq: str,
     before: timedelta,
     after: timedelta,
-    task_rows: int = FOLD_ROWS,
+    task_rows: int | None = None,
+    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """Each row in at most one pair, first come first served: key, ``left_seq``, ``right_seq``, ``outcome``."""
     rows = connect(left.select(on, TS_MS, seq), right.select(on, TS_MS, seq))
     rows = rows.select(on, TS_MS, seq, (F.col(SIDE) == LEFT).cast("bigint").alias(TAG))
     low, high = millis(before), millis(after)
-    found = ordered_fold(
-        cut_hot_keys(rows, [on], TS_MS, task_rows), seq, lambda: FifoPairs(low, high), FifoPairs.outputs
-    )
+    by_key = cut_hot_keys(rows, [on], TS_MS, fold_rows)
+
+    def pair(sliced: Sliced) -> DataFrame:
+        return ordered_fold(sliced, seq, lambda: FifoPairs(low, high), FifoPairs.outputs)
+
+    if not by_key.is_cut:
+        found = pair(by_key)
+    else:
+        found = pair(Sliced(by_key.df.where(F.col(SLICE) == WHOLE).select(*rows.columns), [on], 0))
+        # After a pause longer than any row waits nobody waits, so what follows stands alone.
+        # Finding the pauses takes several passes, which only keys beyond one task's share repay.
+        hot = by_key.hot_rows().select(*rows.columns)
+        spells = quiet_spells(hot, [on], [TS_MS, TAG, seq], max(low, high), task_rows)
+        apart = pair(cut_hot_keys(spells, [on, "_spell"], TS_MS, fold_rows))
+        found = found.unionByName(apart.drop("_spell"))
     names = [MATCHED, UNMATCHED_LEFT, UNMATCHED_RIGHT]
     return found.select(on, "left_seq", "right_seq", _named("code", names).alias("outcome"))
 

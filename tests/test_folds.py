@@ -115,8 +115,8 @@ def fifo(left, right, low, high):
     return pairs
 
 
-@pytest.mark.parametrize("task_rows", [20_000, 25])
-def test_one_to_one_against_replay(spark, task_rows):
+@pytest.mark.parametrize("task_rows, fold_rows", [(None, 20_000), (25, 25), (25, 9)])
+def test_one_to_one_against_replay(spark, task_rows, fold_rows):
     r = random.Random(5)
     key = lambda: "hot" if r.random() < 0.7 else r.choice("abc")
     left = [(key(), r.randrange(0, 900), i) for i in range(120)]
@@ -124,7 +124,7 @@ def test_one_to_one_against_replay(spark, task_rows):
     schema = "tx string, ts_ms long, seq long"
     got = folds.pair_one_to_one(
         frame(spark, left, schema), frame(spark, right, schema), "tx", "seq",
-        D(milliseconds=6), D(milliseconds=11), task_rows,
+        D(milliseconds=6), D(milliseconds=11), task_rows, fold_rows,
     ).cache()
     pairs = fifo(left, right, 6, 11)
     assert set(rows(got.where("outcome = 'matched'"), "left_seq", "right_seq")) == pairs
