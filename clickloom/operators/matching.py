@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.time import TS, TS_MS, interval_text, millis
+from clickloom.functions.time import TS, TS_MS, millis
 from clickloom.operators.hotkeys import with_nearest_sides
 
 SIDE = "side"
