@@ -15,7 +15,7 @@ Null or empty texts have one token, the end token. Repeated rows are packed once
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.storage import stored
-from clickloom.llm.text import LOWER, SPACE, map_texts, span_hashes
+from clickloom.llm.text import LOWER, SPACE, SpanIds, map_texts
 
 CAPACITY = 2048
 END = 1
@@ -50,58 +50,6 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
     return lengths
 
 
-class SpanIds:
-    """Token ids of byte spans, remembered by the span's 64-bit hash in a task of bounded memory."""
-
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], limit: int = 1_500_000):
-        self.encode, self.limit = encode, limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.place = np.zeros(0, np.int64)
-        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
-
-    def _learn(self, keys: np.ndarray, spans: list[bytes]) -> None:
-        found = self.encode(spans)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(lengths.sum())
-        if self.used + total > len(self.ids):
-            grown = np.zeros(max(2 * len(self.ids), self.used + total), np.int32)
-            grown[: self.used] = self.ids[: self.used]
-            self.ids = grown
-        if total:
-            self.ids[self.used : self.used + total] = np.concatenate(found)
-        starts = self.used + np.cumsum(lengths) - lengths
-        at = np.searchsorted(self.keys, keys)
-        self.place = np.insert(self.place, at, np.arange(len(keys)) + len(self.start))
-        self.keys = np.insert(self.keys, at, keys)
-        self.start, self.length = np.concatenate((self.start, starts)), np.concatenate((self.length, lengths))
-        self.used += total
-
-    def tokens(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all spans in order, and the number of ids of each span."""
-        if not len(starts):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        keys, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.limit:
-            self._clear()
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        inside = at < len(self.keys)
-        new[inside] = self.keys[at[inside]] != keys[inside]
-        if new.any():
-            raw = data.tobytes()
-            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
-            at = np.searchsorted(self.keys, keys)
-        place = self.place[at][which]
-        length, start = self.length[place], self.start[place]
-        total = int(length.sum())
-        index = np.arange(total) + np.repeat(start - (np.cumsum(length) - length), length)
-        return self.ids[index], length
-
-
 # Kinds of bytes for cutting a text where the tokenizer's own split always cuts it.
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
