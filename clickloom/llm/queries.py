@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import packing, sentencepieces
+from clickloom.llm import packing, quality_trees, sentencepieces
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,12 +23,17 @@ def op1_sentencepieces(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.encode_documents(_table(spark, folder, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op2_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_trees.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
+    "op2_quality_trees": op2_quality_trees,
     "op7_harmonic_packing": op7_harmonic_packing,
 }
 

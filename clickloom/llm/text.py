@@ -52,11 +52,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [starts, ends), equal for equal bytes wherever they lie."""
-    power, inverse = _power_tables(len(data) + 1)
+def hash_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums from which the hash of any span follows."""
+    power, _ = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, U64)
     np.cumsum((data.astype(U64) + U64(1)) * power[: len(data)], out=sums[1:])
+    return sums
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the byte spans [starts, ends), equal for equal bytes wherever they lie."""
+    _, inverse = _power_tables(len(data) + 1)
+    sums = hash_sums(data) if sums is None else sums
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
 
 
@@ -93,6 +100,11 @@ def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarra
     return at, mixed(code)
 
 
+def in_text(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Hashes that are equal for equal values of the same text only."""
+    return mixed(hashes ^ (owner.astype(U64) * U64(0xA0761D6478BD642F)))
+
+
 def sums_by_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of each text; ``offsets`` bound the texts."""
     total = np.zeros(len(values) + 1, np.int64)
