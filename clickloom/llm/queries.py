@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import packing, quality_trees, sentencepieces
+from clickloom.llm import packing, quality_rules, quality_trees, sentencepieces
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,10 +31,15 @@ def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op8_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
     "op2_quality_trees": op2_quality_trees,
     "op7_harmonic_packing": op7_harmonic_packing,
+    "op8_divergence_rules": op8_divergence_rules,
 }
 
 SQL: dict[str, str] = {}
