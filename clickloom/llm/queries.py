@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import packing, quality_rules, quality_trees, sentencepieces
+from clickloom.llm import language, packing, quality_rules, quality_trees, sentencepieces
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return quality_trees.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op6_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_documents(_table(spark, folder, "documents"))
+
+
 def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), _vocabulary("word_bpe_49k.json"))
 
@@ -38,6 +42,7 @@ def op8_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
     "op2_quality_trees": op2_quality_trees,
+    "op6_language_mixture": op6_language_mixture,
     "op7_harmonic_packing": op7_harmonic_packing,
     "op8_divergence_rules": op8_divergence_rules,
 }
