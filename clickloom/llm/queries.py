@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import language, packing, quality_rules, quality_trees, sentencepieces
+from clickloom.llm import language, packing, quality_rules, quality_trees, secrets, sentencepieces
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,12 +39,19 @@ def op8_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge_documents(_table(spark, folder, "documents"))
 
 
+def op9_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_documents(_table(spark, folder, "documents")).drop("findings")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
     "op2_quality_trees": op2_quality_trees,
     "op6_language_mixture": op6_language_mixture,
     "op7_harmonic_packing": op7_harmonic_packing,
     "op8_divergence_rules": op8_divergence_rules,
+    "op9_linked_secrets": op9_linked_secrets,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_linked_secrets": secrets.SQL,
+}
