@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import language, packing, quality_rules, quality_trees, secrets, sentencepieces, warc
+from clickloom.llm import fingerprints, language, packing, quality_rules, quality_trees, secrets, sentencepieces, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return quality_trees.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op3_rare_features(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, folder, "documents"))
+
+
 def op4_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_records(_table(spark, folder, "pages"))
 
@@ -50,6 +54,7 @@ def op9_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
     "op2_quality_trees": op2_quality_trees,
+    "op3_rare_features": op3_rare_features,
     "op4_warc_members": op4_warc_members,
     "op6_language_mixture": op6_language_mixture,
     "op7_harmonic_packing": op7_harmonic_packing,
