@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import fingerprints, language, packing, quality_rules, quality_trees, secrets, sentencepieces, warc
+from clickloom.llm import fingerprints, language, neardup, packing, quality_rules, quality_trees, secrets, sentencepieces, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_records(_table(spark, folder, "pages"))
 
 
+def op5_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op6_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify_documents(_table(spark, folder, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_trees": op2_quality_trees,
     "op3_rare_features": op3_rare_features,
     "op4_warc_members": op4_warc_members,
+    "op5_bottom_k": op5_bottom_k,
     "op6_language_mixture": op6_language_mixture,
     "op7_harmonic_packing": op7_harmonic_packing,
     "op8_divergence_rules": op8_divergence_rules,
