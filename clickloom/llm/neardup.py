@@ -155,15 +155,21 @@ def _likely(sizes: np.ndarray, sketch: list[np.ndarray], mask: np.ndarray) -> np
 
 def _grouped(rows: DataFrame, key: list[str], columns: list[str], function, schema: str) -> DataFrame:  # type: ignore[no-untyped-def]
     """Call ``function(key values, rows)`` on each run of equal keys in sorted partitions."""
-    names = [f.split()[0] for f in schema.split(", ")]
+    from pyspark.sql.types import _parse_datatype_string
+
+    wanted = _parse_datatype_string(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(wanted)
         held: list[tuple] = []
         current, out = None, []
 
         def emitted(force: bool) -> Iterator[pa.RecordBatch]:
             if out and (force or len(out) > 4096):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
+                arrays = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
                 out.clear()
 
         for batch in batches:
@@ -180,7 +186,7 @@ def _grouped(rows: DataFrame, key: list[str], columns: list[str], function, sche
             out.extend(function(current, held))
         yield from emitted(True)
 
-    return rows.select(*key, *columns).repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+    return rows.select(*key, *columns).repartition(*key).sortWithinPartitions(*key).mapInArrow(run, wanted)
 
 
 def _blocks(rows: DataFrame, member: str, blocks: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import fingerprints, language, neardup, packing, quality_rules, quality_trees, secrets, sentencepieces, warc
+from clickloom.llm import fingerprints, language, neardup, packing, passages, quality_rules, quality_trees, secrets, sentencepieces, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op9_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_documents(_table(spark, folder, "documents")).drop("findings")
 
 
+def op10_chained_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.shared_passages(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
     "op2_quality_trees": op2_quality_trees,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_harmonic_packing": op7_harmonic_packing,
     "op8_divergence_rules": op8_divergence_rules,
     "op9_linked_secrets": op9_linked_secrets,
+    "op10_chained_passages": op10_chained_passages,
 }
 
 SQL: dict[str, str] = {
