@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,3 +199,14 @@ def identify_documents(docs: DataFrame) -> DataFrame:
         "score",
         "languages",
     )
+
+
+def share_of_best(model: Languages, text: str = "text") -> Column:
+    """The largest proportion of a language in the text, as a column; 0 without letters."""
+
+    @F.pandas_udf("double")
+    def share(texts: pd.Series) -> pd.Series:
+        parts = [model.mixtures(data, offsets)[0].max(1, initial=0) for _, _, data, offsets in slices(pa.array(texts, pa.large_string(), from_pandas=True))]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return share(F.col(text))

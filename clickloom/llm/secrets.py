@@ -101,7 +101,10 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 
 def scan_documents(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` and the array ``findings`` of each row."""
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` and the array ``findings`` of each row.
+
+    A finding has ``kind``, ``start`` and ``end`` (code points, end exclusive).
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = stored(
         docs.select(
@@ -153,6 +156,42 @@ def scan_documents(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> D
     )
 
 
+def masked_documents(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
+    """All rows, with each finding in the text replaced; findings that overlap become one mask."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    name = F.concat_ws(":", F.sha2(whole, 256), F.length(whole))
+    named = docs.withColumn("_name", name)
+    found = scan_documents(named.select(F.col("_name").alias("doc_id"), whole.alias("_text")).dropDuplicates(["doc_id"]), "_text", scope=SCOPE)
+    found = found.where(F.size("findings") > 0).select(F.col("doc_id").alias("_name"), F.col("findings").alias("_findings"))
+    joined = named.join(found, "_name", "left")
+    runs = F.aggregate(
+        "_findings",
+        F.array().cast("array<struct<start:bigint,end:bigint>>"),
+        lambda runs, f: F.when(
+            (F.size(runs) > 0) & (F.element_at(runs, -1)["end"] >= f["start"]),
+            F.concat(
+                F.slice(runs, F.lit(1), F.size(runs) - 1),
+                F.array(F.struct(F.element_at(runs, -1)["start"].alias("start"), F.greatest(F.element_at(runs, -1)["end"], f["end"]).alias("end"))),
+            ),
+        ).otherwise(F.concat(runs, F.array(F.struct(f["start"].alias("start"), f["end"].alias("end"))))),
+    )
+    bounds = F.col("_runs")
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.size(bounds)),
+        lambda k: F.substring(
+            F.col(text),
+            (F.when(k == 0, F.lit(0)).otherwise(F.element_at(bounds, k)["end"]) + 1).cast("int"),
+            (
+                F.when(k == F.size(bounds), F.length(text)).otherwise(F.get(bounds, k)["start"])
+                - F.when(k == 0, F.lit(0)).otherwise(F.element_at(bounds, k)["end"])
+            ).cast("int"),
+        ),
+    )
+    masked = F.when(F.col("_findings").isNull(), F.col(text)).otherwise(F.array_join(pieces, mask))
+    columns = [masked.alias(c) if c == text else F.col(c) for c in docs.columns]
+    return joined.withColumn("_runs", runs).select(*columns)
+
+
 def _sql_matches(kind: str) -> str:
     pattern = PATTERNS[kind].replace("'", "''")
     accepted = {
