@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.storage import stored
+from clickloom.llm.storage import stored, unused
 
 SCOPE = 256
 
@@ -159,13 +159,13 @@ def scan_documents(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> D
 def masked_documents(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
     """All rows, with each finding in the text replaced; findings that overlap become one mask."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    name = F.concat_ws(":", F.sha2(whole, 256), F.length(whole))
-    named = docs.withColumn("_name", name)
-    found = scan_documents(named.select(F.col("_name").alias("doc_id"), whole.alias("_text")).dropDuplicates(["doc_id"]), "_text", scope=SCOPE)
-    found = found.where(F.size("findings") > 0).select(F.col("doc_id").alias("_name"), F.col("findings").alias("_findings"))
-    joined = named.join(found, "_name", "left")
+    name, findings, merged = (unused(docs, c) for c in ("_name", "_findings", "_runs"))
+    named = docs.withColumn(name, F.concat_ws(":", F.sha2(whole, 256), F.length(whole)))
+    found = scan_documents(named.select(F.col(name).alias("doc_id"), whole.alias("text")).dropDuplicates(["doc_id"]))
+    found = found.where(F.size("findings") > 0).select(F.col("doc_id").alias(name), F.col("findings").alias(findings))
+    joined = named.join(found, name, "left")
     runs = F.aggregate(
-        "_findings",
+        findings,
         F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda runs, f: F.when(
             (F.size(runs) > 0) & (F.element_at(runs, -1)["end"] >= f["start"]),
@@ -175,7 +175,7 @@ def masked_documents(docs: DataFrame, text: str = "text", mask: str = "[secret]"
             ),
         ).otherwise(F.concat(runs, F.array(F.struct(f["start"].alias("start"), f["end"].alias("end"))))),
     )
-    bounds = F.col("_runs")
+    bounds = F.col(merged)
     pieces = F.transform(
         F.sequence(F.lit(0), F.size(bounds)),
         lambda k: F.substring(
@@ -187,9 +187,9 @@ def masked_documents(docs: DataFrame, text: str = "text", mask: str = "[secret]"
             ).cast("int"),
         ),
     )
-    masked = F.when(F.col("_findings").isNull(), F.col(text)).otherwise(F.array_join(pieces, mask))
+    masked = F.when(F.col(findings).isNull(), F.col(text)).otherwise(F.array_join(pieces, mask))
     columns = [masked.alias(c) if c == text else F.col(c) for c in docs.columns]
-    return joined.withColumn("_runs", runs).select(*columns)
+    return joined.withColumn(merged, runs).select(*columns)
 
 
 def _sql_matches(kind: str) -> str:

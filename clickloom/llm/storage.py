@@ -30,3 +30,11 @@ def stored(frame: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(spark))
     return frame.checkpoint(eager=True)
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, made from ``name``."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
