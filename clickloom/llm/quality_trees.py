@@ -50,7 +50,7 @@ class Trees:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def grow(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64, ridge: float = 1.0, least: float = 3.0) -> Trees:
+def grow(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64, ridge: float = 1.0, least: float = 1.0) -> Trees:
     """Boost ``trees`` trees of ``depth`` levels on rows ``x`` with labels ``y`` of 0 and 1."""
     inner, leaves = 2**depth - 1, 2**depth
     share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5

@@ -118,7 +118,7 @@ def normalise(source: BinaryIO, target: BinaryIO, index: BinaryIO, level: int =
 
 def read_records(archive: BinaryIO, index: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """Head and payload of each record, by the offsets of the index."""
-    rest, at = b"", 0
+    rest, at = b"", -1
     while piece := index.read(CHUNK):
         *lines, rest = (rest + piece).split(b"\n")
         for line in lines:
