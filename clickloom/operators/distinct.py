@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.hashing import BITMAP_BITS, poly_hash
 from clickloom.functions.time import TS_MS, millis, slot_start
-from clickloom.operators.hotkeys import position
+from clickloom.operators.hotkeys import WIDTH, position
 from clickloom.operators.windows import (
     WINDOW,
     WINDOW_END,
@@ -34,14 +34,14 @@ def distinct_exact(df: DataFrame, visitor: str, size: timedelta, count: str = "u
 
 
 def distinct_running(
-    df: DataFrame, visitor: str, seq: str, size: timedelta, count: str = "uv", task_rows: int | None = None
+    df: DataFrame, visitor: str, seq: str, size: timedelta, count: str = "uv", width: timedelta = WIDTH
 ) -> DataFrame:
     """Each change of a window's distinct count: one row per first visit, with the count after it."""
-    width = millis(size)
-    end = (slot_start(F.col(TS_MS), width) + width).alias(WINDOW_END)
+    span = millis(size)
+    end = (slot_start(F.col(TS_MS), span) + span).alias(WINDOW_END)
     first = df.groupBy(end, visitor).agg(F.min(F.struct(TS_MS, seq)).alias("_first"))
     visits = first.select(WINDOW_END, visitor, "_first.*")
-    return position(visits, [WINDOW_END], [TS_MS, seq], count, task_rows)
+    return position(visits, [WINDOW_END], [TS_MS, seq], count, width)
 
 
 def distinct_bitmap(

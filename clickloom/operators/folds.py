@@ -2,9 +2,10 @@
 
 A fold holds a small state and meets the rows of its key in order. Spark shuffles and
 sorts the rows; the Python side walks each partition once, batch by batch, and keeps
-only the current key's state, so no group is ever held whole. A hot key's rows are
-written once to the shared folder by slice, and its slices are folded in turn with the
-state handed on as a table; all other keys run in one pass.
+only the current state, so no group is ever held whole. Before that, keys are cut where a
+fold starts afresh, by window functions that run per time slice: failure rules between
+successes (the timer rule also at pauses), pairing at pauses. Order cycles drop the rows that
+cannot change anything.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import sys
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
-from itertools import repeat
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -24,16 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from clickloom.functions.time import TS_MS, millis
 from clickloom.operators import lifecycle
-from clickloom.operators.hotkeys import (
-    LAST,
-    SLICE,
-    WHOLE,
-    Sliced,
-    cut_hot_keys,
-    running,
-    running_over,
-    with_preceding,
-)
+from clickloom.operators.hotkeys import WIDTH, running, with_preceding
 from clickloom.operators.matching import (
     LEFT,
     MATCHED,
@@ -42,15 +33,11 @@ from clickloom.operators.matching import (
     UNMATCHED_RIGHT,
     connect,
 )
-from clickloom.session import shared_folder
 
 # Workers need not have the package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules["clickloom"])
 
-STATE = "_state"
 TAG = "_tag"
-# Rows of one key in one folding task. They are streamed, so this bounds time, not memory.
-FOLD_ROWS = 5_000_000
 
 
 class AnchoredFailures:
@@ -226,45 +213,26 @@ class OrderCycles:
         return [(self.NEVER_PAID, since, None) if kind else (self.NEVER_CREATED, None, since)]
 
 
-def _walker(make: Callable, keys: int, schema: pa.Schema, cut: bool) -> Callable:
-    """The function that folds one sorted partition. Columns: keys, time, seq, tag[, slice, last, state]."""
+def _walker(make: Callable, keys: int, schema: pa.Schema) -> Callable:
+    """The function that folds one sorted partition. Columns: keys, time, seq, tag."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fold, key, ends = make(), None, True
+        fold, key = make(), None
         rows: list[tuple] = []
-        width = len(schema) - keys - 1
-
-        def close() -> None:
-            if key is None:
-                return
-            if ends:
-                rows.extend((*key, *out, None) for out in fold.finish())
-            else:
-                rows.append((*key, *[None] * width, fold.state()))
-
         for batch in batches:
             columns = [column.to_pylist() for column in batch.columns]
-            keyed = zip(*columns[:keys])
-            events = zip(*columns[keys : keys + 3])
-            # Slice, last slice and handed-on state, where keys are cut.
-            pieces = zip(*columns[keys + 3 :]) if cut else repeat(None)
-            for found, event, piece in zip(keyed, events, pieces):
+            for found, event in zip(zip(*columns[:keys]), zip(*columns[keys:])):
                 if found != key:
-                    close()
+                    if key is not None:
+                        rows.extend((*key, *out) for out in fold.finish())
                     key = found
-                    fold.start((piece[2] or []) if cut else [])
-                    ends = not cut
-                if cut:
-                    if piece[2] is not None:
-                        continue
-                    ends = piece[0] == piece[1]
-                outs = fold.step(*event)
-                if outs:
-                    rows.extend((*key, *out, None) for out in outs)
+                    fold.start([])
+                rows.extend((*key, *out) for out in fold.step(*event))
             if rows:
                 yield _batch(rows, schema)
                 rows.clear()
-        close()
+        if key is not None:
+            rows.extend((*key, *out) for out in fold.finish())
         if rows:
             yield _batch(rows, schema)
 
@@ -278,95 +246,59 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def ordered_fold(sliced: Sliced, seq: str, make: Callable, outputs: Sequence[str]) -> DataFrame:
+def ordered_fold(
+    rows: DataFrame, keys: Sequence[str], seq: str, make: Callable, outputs: Sequence[str]
+) -> DataFrame:
     """Fold the rows (keys, ``ts_ms``, ``seq``, ``_tag``) of each key in time order.
 
-    Rows at the same time come with the higher tag first, then by ``seq``.
+    Rows at the same time come with the higher tag first, then by ``seq``. Rows without a time are left out.
     """
-    keys = sliced.keys
-    rows = sliced.df
-    fields = [rows.schema[k] for k in keys]
     schema = T.StructType(
-        fields
-        + [T.StructField(o, T.LongType()) for o in outputs]
-        + [T.StructField(STATE, T.ArrayType(T.LongType()))]
+        [rows.schema[k] for k in keys] + [T.StructField(o, T.LongType()) for o in outputs]
     )
-    arrow = to_arrow_schema(schema)
-    order = [F.asc_nulls_first(TS_MS), F.desc(TAG), F.asc(seq)]
-
-    def fold(part: DataFrame, cut: bool) -> DataFrame:
-        extra = [SLICE, LAST, STATE] if cut else []
-        # The window only asks for rows clustered by key; if they already are, nothing moves.
-        clustered = part.withColumn(
-            "_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        ).where(F.col("_n") > 0)
-        ready = clustered.sortWithinPartitions(*keys, *order)
-        ready = ready.select(*keys, TS_MS, seq, TAG, *extra)
-        return ready.mapInArrow(_walker(make, len(keys), arrow, cut), schema)
-
-    if not sliced.is_cut:
-        return fold(rows, False).drop(STATE)
-
-    spark = rows.sparkSession
-    cold = fold(rows.where(F.col(SLICE) == WHOLE), False).drop(STATE)
-    hot_path, done_path = shared_folder(spark, "hot"), shared_folder(spark, "folded")
-    hot_rows = sliced.hot_rows().select(*keys, TS_MS, seq, TAG, SLICE, LAST)
-    (
-        hot_rows.withColumn("_part", F.col(SLICE))
-        .repartition(*keys, SLICE)
-        .write.partitionBy("_part")
-        .parquet(hot_path)
-    )
-    hot = spark.read.schema(T.StructType([*hot_rows.schema, T.StructField("_part", T.LongType())])).parquet(hot_path)
-    numbers = [r[0] for r in hot.select("_part").distinct().orderBy("_part").collect()]
-    before = None
-    for number in numbers:
-        piece = hot.where(F.col("_part") == number).drop("_part")
-        piece = piece.withColumn(STATE, F.lit(None).cast("array<bigint>"))
-        if before is not None:
-            handed = spark.read.schema(schema).parquet(f"{done_path}/round={before}")
-            handed = handed.where(F.col(STATE).isNotNull()).select(*keys, STATE)
-            piece = piece.unionByName(handed, allowMissingColumns=True)
-        fold(piece, True).write.parquet(f"{done_path}/round={number}")
-        before = number
-    done = spark.read.schema(schema).parquet(*[f"{done_path}/round={n}" for n in numbers])
-    return cold.unionByName(done.where(F.col(STATE).isNull()).drop(STATE))
-
-
-def failure_islands(
-    df: DataFrame, keys: Sequence[str], seq: str, fail: Column, times: int, task_rows: int | None = None
-) -> Sliced:
-    """Runs of failures between non-failures that are long enough to matter, with the row that ends each.
-
-    A non-failure resets every failure rule, so runs are independent of each other.
+    order = [F.asc(TS_MS), F.desc(TAG), F.asc(seq)]
+    timed = rows.where(F.col(TS_MS).isNotNull())
+    # The window only asks for rows clustered by key; if they already are, nothing moves.
+    clustered = timed.withColumn(
+        "_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ).where(F.col("_n") > 0)
+    ready = clustered.sortWithinPartitions(*keys, *order).select(*keys, TS_MS, seq, TAG)
+    return ready.mapInArrow(_walker(make, len(keys), to_arrow_schema(schema)), schema)
+
+
+def failure_pieces(
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    fail: Column,
+    times: int,
+    pause_ms: int | None = None,
+    width: timedelta = WIDTH,
+) -> DataFrame:
+    """Runs of failures with the row that ends each, numbered as ``_piece``; runs under ``times`` failures are left out.
+
+    A non-failure resets every failure rule, so runs are independent of each other. A rule that
+    forgets after ``pause_ms`` is also cut at longer pauses.
     """
+    order = [TS_MS, seq]
     rows = df.select(*keys, TS_MS, seq, fail.cast("bigint").alias(TAG))
-    by_key = cut_hot_keys(rows, keys, TS_MS, task_rows)
-    islands = running_over(by_key, [TS_MS, seq], 1 - F.col(TAG), "_ended", keep_slices=True)
-    # The row that ends a run still belongs to it.
-    islands = islands.withColumn("_island", F.col("_ended") - (1 - F.col(TAG))).drop("_ended")
-    inner = [*keys, "_island"]
-    fails = F.sum(TAG).over(Window.partitionBy(*by_key.group, "_island"))
-    counted = islands.withColumn("_fails", fails)
-    if not by_key.is_cut:
-        return Sliced(counted.where(F.col("_fails") >= times).drop("_fails"), inner, 0)
-
-    # Runs that are short within their slice are dropped before any further shuffle, unless
-    # they touch the slice's edge and may go on beyond it.
-    edges = Window.partitionBy(*by_key.group)
-    first, last = F.min("_island").over(edges), F.max("_island").over(edges)
-    at_edge = (F.col(SLICE) != WHOLE) & ((F.col("_island") == first) | (F.col("_island") == last))
-    pruned = counted.withColumn("_edge", at_edge).where((F.col("_fails") >= times) | F.col("_edge"))
-    pruned = pruned.drop("_fails", "_edge", SLICE, LAST)
-    # A run can only outgrow a task's share if it fills some slice from end to end.
-    full = by_key.hot_rows().groupBy(*by_key.group).agg(F.min(TAG).alias("_all")).where("_all = 1")
-    sliced = cut_hot_keys(pruned, inner, TS_MS, task_rows) if full.take(1) else Sliced(pruned, inner, 0)
-    long_enough = F.col("_fails") >= times
-    if sliced.is_cut:
-        long_enough = long_enough | (F.col(SLICE) != WHOLE)
-    fails = F.sum(TAG).over(Window.partitionBy(*sliced.group))
-    kept = sliced.df.withColumn("_fails", fails).where(long_enough).drop("_fails")
-    return Sliced(kept, inner, sliced.slices)
+
+    def look_back(spec):
+        return {"_tag_before": F.lag(TAG).over(spec), "_time_before": F.lag(TS_MS).over(spec)}
+
+    rows = with_preceding(rows, keys, order, 1, look_back, width)
+    fresh = F.col("_tag_before") == 0
+    if pause_ms is not None:
+        fresh = fresh | (F.col(TS_MS) - F.col("_time_before") > pause_ms)
+    # A failure-free stretch has nothing to fold: only a non-failure that ends a run stays.
+    starts = F.coalesce(fresh, F.lit(False)).cast("bigint")
+    pieces = running(rows, keys, order, starts, "_piece", F.sum, width)
+    pieces = pieces.where((F.col(TAG) == 1) | (F.col("_tag_before") == 1)).drop("_tag_before", "_time_before")
+    if times < 2:
+        return pieces
+    counted = pieces.groupBy(*keys, "_piece").agg(F.sum(TAG).alias("_fails")).where(F.col("_fails") >= times)
+    same = [pieces[k].eqNullSafe(counted[k]) for k in (*keys, "_piece")]
+    return pieces.join(counted, same, "left_semi")
 
 
 def anchored_failures(
@@ -376,13 +308,15 @@ def anchored_failures(
     fail: Column,
     times: int,
     within: timedelta,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
-    """Alerts of :class:`AnchoredFailures`: keys, first and last time."""
-    runs = failure_islands(df, keys, seq, fail, times, task_rows)
+    """Alerts of :class:`AnchoredFailures`: keys, first and last time. One run of failures is one task."""
+    runs = failure_pieces(df, keys, seq, fail, times, None, width)
     span = millis(within)
-    found = ordered_fold(runs, seq, lambda: AnchoredFailures(times, span), AnchoredFailures.outputs)
-    return found.drop("_island")
+    found = ordered_fold(
+        runs, [*keys, "_piece"], seq, lambda: AnchoredFailures(times, span), AnchoredFailures.outputs
+    )
+    return found.drop("_piece")
 
 
 def timer_failures(
@@ -392,22 +326,24 @@ def timer_failures(
     fail: Column,
     times: int,
     within: timedelta,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Alerts of :class:`TimerFailures`: keys, first and last time, number of failures."""
-    runs = failure_islands(df, keys, seq, fail, times, task_rows)
     span = millis(within)
-    found = ordered_fold(runs, seq, lambda: TimerFailures(times, span), TimerFailures.outputs)
-    return found.drop("_island")
+    runs = failure_pieces(df, keys, seq, fail, times, span, width)
+    found = ordered_fold(
+        runs, [*keys, "_piece"], seq, lambda: TimerFailures(times, span), TimerFailures.outputs
+    )
+    return found.drop("_piece")
 
 
 def quiet_spells(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], silence_ms: int, task_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], silence_ms: int, width: timedelta = WIDTH
 ) -> DataFrame:
     """Number the stretches of each key between pauses longer than ``silence_ms`` as ``_spell``."""
-    rows = with_preceding(df, keys, order, 1, lambda spec: {"_before": F.lag(order[0]).over(spec)}, task_rows)
+    rows = with_preceding(df, keys, order, 1, lambda spec: {"_before": F.lag(order[0]).over(spec)}, width)
     starts = (F.col(order[0]) - F.col("_before") > silence_ms).cast("bigint")
-    rows = running(rows, keys, order, F.coalesce(starts, F.lit(0)), "_spell", F.sum, task_rows)
+    rows = running(rows, keys, order, F.coalesce(starts, F.lit(0)), "_spell", F.sum, width)
     return rows.drop("_before")
 
 
@@ -418,28 +354,17 @@ def pair_one_to_one(
     seq: str,
     before: timedelta,
     after: timedelta,
-    task_rows: int | None = None,
-    fold_rows: int = FOLD_ROWS,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
-    """Each row in at most one pair, first come first served: key, ``left_seq``, ``right_seq``, ``outcome``."""
+    """Each row in at most one pair, first come first served: key, ``left_seq``, ``right_seq``, ``outcome``.
+
+    After a pause longer than any row waits nobody waits, so what follows stands alone.
+    """
     rows = connect(left.select(on, TS_MS, seq), right.select(on, TS_MS, seq))
     rows = rows.select(on, TS_MS, seq, (F.col(SIDE) == LEFT).cast("bigint").alias(TAG))
     low, high = millis(before), millis(after)
-    by_key = cut_hot_keys(rows, [on], TS_MS, fold_rows)
-
-    def pair(sliced: Sliced) -> DataFrame:
-        return ordered_fold(sliced, seq, lambda: FifoPairs(low, high), FifoPairs.outputs)
-
-    if not by_key.is_cut:
-        found = pair(by_key)
-    else:
-        found = pair(Sliced(by_key.df.where(F.col(SLICE) == WHOLE).select(*rows.columns), [on], 0))
-        # After a pause longer than any row waits nobody waits, so what follows stands alone.
-        # Finding the pauses takes several passes, which only keys beyond one task's share repay.
-        hot = by_key.hot_rows().select(*rows.columns)
-        spells = quiet_spells(hot, [on], [TS_MS, TAG, seq], max(low, high), task_rows)
-        apart = pair(cut_hot_keys(spells, [on, "_spell"], TS_MS, fold_rows))
-        found = found.unionByName(apart.drop("_spell"))
+    spells = quiet_spells(rows, [on], [TS_MS, TAG, seq], max(low, high), width)
+    found = ordered_fold(spells, [on, "_spell"], seq, lambda: FifoPairs(low, high), FifoPairs.outputs)
     names = [MATCHED, UNMATCHED_LEFT, UNMATCHED_RIGHT]
     return found.select(on, "left_seq", "right_seq", _named("code", names).alias("outcome"))
 
@@ -452,15 +377,26 @@ def order_cycles(
     pay: Column,
     within: timedelta,
     max_early: timedelta | None = None,
-    task_rows: int = FOLD_ROWS,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
-    """Every create/pay cycle of each order with its outcome, for orders with repeated events."""
+    """Every create/pay cycle of each order with its outcome, for orders with repeated events.
+
+    In a run of rows of one kind only the first two can change the outcome, so the others are
+    dropped before the fold. What is left of one order is folded by one task.
+    """
     tag = F.when(create, F.lit(1)).when(pay, F.lit(0)).cast("bigint")
     rows = df.select(order, TS_MS, seq, tag.alias(TAG)).where(F.col(TAG).isNotNull())
     span, early = millis(within), None if max_early is None else millis(max_early)
-    found = ordered_fold(
-        cut_hot_keys(rows, [order], TS_MS, task_rows), seq, lambda: OrderCycles(span, early), OrderCycles.outputs
-    )
+    # Creates come before pays at the same time, as in the fold.
+    rows = rows.withColumn("_kind", 1 - F.col(TAG))
+
+    def look_back(spec):
+        return {"_one": F.lag(TAG).over(spec), "_two": F.lag(TAG, 2).over(spec)}
+
+    rows = with_preceding(rows, [order], [TS_MS, "_kind", seq], 2, look_back, width)
+    third = F.coalesce((F.col("_one") == F.col(TAG)) & (F.col("_two") == F.col(TAG)), F.lit(False))
+    rows = rows.where(~third).select(order, TS_MS, seq, TAG)
+    found = ordered_fold(rows, [order], seq, lambda: OrderCycles(span, early), OrderCycles.outputs)
     names = [lifecycle.PAID, lifecycle.PAID_LATE, lifecycle.NEVER_PAID, lifecycle.NEVER_CREATED]
     states = found.select(order, "create_ms", "pay_ms", _named("code", names).alias("result_state"))
     return lifecycle.with_output(states)

@@ -1,135 +1,54 @@
 """Ordered work per key that stays parallel when one key holds much of the data.
 
-A Spark window partitions by key, so a key with a third of all rows would be sorted
-by one task. Here such a key is cut into time slices first. What a slice must know of
-the others (a running total, the last few rows, the nearest row of some kind) is
-aggregated per slice, scanned over the short list of slices, and handed to each slice
-as *boundary rows* that sort in with its own. The window then runs per (key, slice) and
-gives exactly what it would have given per key. Keys that are not hot are left whole.
+A Spark window partitions by key, so a key with a third of all rows would be sorted by one
+task. Here every key is cut into time slices of one width. What a slice must know of the others
+(a running total, the last few rows, the nearest row of some kind) is aggregated per slice,
+scanned over the key's short list of slices, and handed to each slice as *boundary rows* that
+sort in with its own. The window then runs per (key, slice) and gives exactly what it would
+have given per key, whatever the width. Nothing is counted or collected first.
+
+Rows without a time belong to the first slice of their key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from clickloom.functions.time import millis
 
 SLICE = "_slice"
-LAST = "_last_slice"
 BOUNDARY = "_boundary"
-WHOLE = -1
+WIDTH = timedelta(days=1)
+_FIRST = -(2**63)
+
 
-# Rows one task is asked to sort for one key before that key counts as hot.
-TASK_ROWS = 1_000_000
-# Longest list of hot keys. If more keys exceed TASK_ROWS, those beyond the list
-# are the smaller ones: each then holds under 1/MAX_HOT of all rows and is left whole.
-MAX_HOT = 10_000
-# Most slices of one key, so that the scan over a key's slices stays one small task. A key
-# too large for slices of TASK_ROWS gets larger slices instead.
-MAX_SLICES = 100_000
+def whole_slots(ms: Column, width: int) -> Column:
+    """Number of the epoch-aligned slot of ``width`` milliseconds that holds ``ms``, in whole numbers."""
+    size = F.lit(width).cast("bigint")
+    return F.call_function("div", ms - F.pmod(ms, size), size)
 
 
 @dataclass(frozen=True)
 class Sliced:
-    """A frame with its slice column. Slice numbers lie below ``slices``, which is 0 if no key was cut."""
+    """A frame with its slice column."""
 
     df: DataFrame
     keys: list[str]
-    slices: int
-
-    @property
-    def is_cut(self) -> bool:
-        return self.slices > 0
 
     @property
     def group(self) -> list[str]:
-        return [*self.keys, SLICE] if self.is_cut else self.keys
-
-    def hot_rows(self) -> DataFrame:
-        return self.df.where(F.col(SLICE) != WHOLE)
-
-
-def _too_large(df: DataFrame, group: Sequence[str], time: str, rows: int) -> list[Row]:
-    """Row count and time range of the groups above ``rows``, largest first, at most ``MAX_HOT``."""
-    return (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"))
-        .where((F.col("n") > rows) & (F.col("hi") > F.col("lo")))
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT)
-        .collect()
-    )
+        return [*self.keys, SLICE]
 
 
-def _even_cut(row: Row, task_rows: int) -> tuple[int, int]:
-    """Width of equal time slices for a group, and the number of its last slice."""
-    pieces = min(-(-row["n"] // task_rows), MAX_SLICES)
-    width = -(-(row["hi"] - row["lo"] + 1) // pieces)
-    return width, (row["hi"] - row["lo"]) // width
-
-
-def _slice_number(time: Column, lo: Column, width: Column) -> Column:
-    return F.floor((time - lo - F.pmod(time - lo, width)) / width)
-
-
-def _lookup(df: DataFrame, group: Sequence[str], rows: list[tuple], values: Sequence[str]) -> DataFrame:
-    """A broadcast table of at most ``MAX_HOT`` rows, its group columns prefixed."""
-    fields = [T.StructField(f"_hot_{k}", df.schema[k].dataType) for k in group]
-    fields += [T.StructField(v, T.LongType()) for v in values]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields)))
-
-
-def _join_lookup(df: DataFrame, table: DataFrame, group: Sequence[str]) -> DataFrame:
-    same = [df[k].eqNullSafe(table[f"_hot_{k}"]) for k in group]
-    return df.join(table, same, "left").drop(*[f"_hot_{k}" for k in group])
-
-
-def cut_hot_keys(
-    df: DataFrame, keys: Sequence[str], time: str, task_rows: int | None = None
-) -> Sliced:
-    """Cut the keys with more than ``task_rows`` rows into slices of their time range.
-
-    Keys are counted in one pre-aggregated job, of which at most ``MAX_HOT`` rows reach the
-    driver; they bound what is broadcast. Slices are even in time. Where rows crowd into
-    a part of that time, a second count over the hot rows finds the overfull slices and
-    cuts them again. Without a hot key the frame is returned as it is.
-    """
-    task_rows = task_rows or TASK_ROWS
-    keys = list(keys)
-    hot = _too_large(df, keys, time, task_rows)
-    if not hot:
-        return Sliced(df, keys, 0)
-
-    cuts = {tuple(r[k] for k in keys): (r["lo"], *_even_cut(r, task_rows)) for r in hot}
-    table = _lookup(df, keys, [(*k, *c) for k, c in cuts.items()], ["_lo", "_width", LAST])
-    whole = F.lit(WHOLE).cast("bigint")
-    number = F.coalesce(_slice_number(F.col(time), F.col("_lo"), F.col("_width")), whole)
-    sliced = _join_lookup(df, table, keys).withColumn(SLICE, number).drop("_lo", "_width")
-    sliced = sliced.withColumn(LAST, F.coalesce(LAST, whole))
-    slices = max(last for _, _, last in cuts.values()) + 1
-
-    group = [*keys, SLICE]
-    share = max(task_rows, -(-hot[0]["n"] // MAX_SLICES))
-    crowded = _too_large(sliced.where(F.col(SLICE) != WHOLE), group, time, 2 * share)
-    if not crowded:
-        return Sliced(sliced, keys, slices)
-
-    finer = {tuple(r[k] for k in group): (r["lo"], *_even_cut(r, task_rows)) for r in crowded}
-    spread = max(last for _, _, last in finer.values()) + 1
-    # Numbers keep the order of time: slice, then the part of it.
-    ends = [
-        (*k, last * spread + finer.get((*k, last), (0, 0, 0))[2]) for k, (_, _, last) in cuts.items()
-    ]
-    parts = _lookup(sliced, group, [(*g, *c[:2]) for g, c in finer.items()], ["_lo", "_width"])
-    part = F.coalesce(_slice_number(F.col(time), F.col("_lo"), F.col("_width")), F.lit(0))
-    number = F.when(F.col(SLICE) == WHOLE, whole).otherwise(F.col(SLICE) * spread + part)
-    sliced = _join_lookup(sliced, parts, group).withColumn(SLICE, number).drop("_lo", "_width", LAST)
-    sliced = _join_lookup(sliced, _lookup(df, keys, ends, [LAST]), keys)
-    sliced = sliced.withColumn(LAST, F.coalesce(LAST, whole))
-    return Sliced(sliced.select(*df.columns, SLICE, LAST), keys, slices * spread)
+def cut_by_time(df: DataFrame, keys: Sequence[str], time: str, width: timedelta = WIDTH) -> Sliced:
+    """Number the slices of ``width`` that the rows lie in."""
+    number = F.coalesce(whole_slots(F.col(time), millis(width)), F.lit(_FIRST).cast("bigint"))
+    return Sliced(df.withColumn(SLICE, number), list(keys))
 
 
 def _with_boundary(sliced: Sliced, boundary: DataFrame) -> DataFrame:
@@ -137,11 +56,8 @@ def _with_boundary(sliced: Sliced, boundary: DataFrame) -> DataFrame:
     return rows.unionByName(boundary.withColumn(BOUNDARY, F.lit(True)), allowMissingColumns=True)
 
 
-def _strip(df: DataFrame, sliced: Sliced, keep_slices: bool = False) -> DataFrame:
-    if not sliced.is_cut:
-        return df
-    rows = df.where(~F.col(BOUNDARY)).drop(BOUNDARY)
-    return rows if keep_slices else rows.drop(SLICE, LAST)
+def _strip(df: DataFrame) -> DataFrame:
+    return df.where(~F.col(BOUNDARY)).drop(BOUNDARY, SLICE)
 
 
 def running(
@@ -151,51 +67,36 @@ def running(
     value: Column,
     out: str,
     agg: Callable[[Column], Column] = F.sum,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Running ``agg`` (sum, max or min) of ``value`` per key, up to and including each row.
 
     ``order`` starts with a millisecond column and must order the rows of a key totally.
     """
-    return running_over(cut_hot_keys(df, keys, order[0], task_rows), order, value, out, agg)
-
-
-def running_over(
-    sliced: Sliced,
-    order: Sequence[str],
-    value: Column,
-    out: str,
-    agg: Callable[[Column], Column] = F.sum,
-    keep_slices: bool = False,
-) -> DataFrame:
-    """:func:`running` on a frame whose hot keys are already cut."""
-    rows = sliced.df.withColumn("_value", value)
-    if sliced.is_cut:
-        before = Window.partitionBy(*sliced.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        totals = (
-            rows.where(F.col(SLICE) != WHOLE)
-            .groupBy(*sliced.group)
-            .agg(agg(F.col("_value")).alias("_total"))
-            .withColumn("_value", agg(F.col("_total")).over(before))
-            .where(F.col("_value").isNotNull())
-            .drop("_total")
-        )
-        rows = _with_boundary(Sliced(rows, sliced.keys, sliced.slices), totals)
-    # Boundary rows have no order values, and nulls sort first.
+    sliced = cut_by_time(df.withColumn("_value", value), keys, order[0], width)
+    before = Window.partitionBy(*sliced.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        sliced.df.groupBy(*sliced.group)
+        .agg(agg(F.col("_value")).alias("_total"))
+        .withColumn("_value", agg(F.col("_total")).over(before))
+        .where(F.col("_value").isNotNull())
+        .drop("_total")
+    )
+    # Boundary rows come first: they have no order values, and rows without a time follow them.
     upto = (
         Window.partitionBy(*sliced.group)
-        .orderBy(*[F.asc_nulls_first(c) for c in order])
+        .orderBy(F.desc(BOUNDARY), *[F.asc_nulls_first(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    result = rows.withColumn(out, agg(F.col("_value")).over(upto)).drop("_value")
-    return _strip(result, sliced, keep_slices)
+    rows = _with_boundary(sliced, totals)
+    return _strip(rows.withColumn(out, agg(F.col("_value")).over(upto)).drop("_value"))
 
 
 def position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, task_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, width: timedelta = WIDTH
 ) -> DataFrame:
     """Exact 1-based row number per key."""
-    return running(df, keys, order, F.lit(1).cast("bigint"), out, F.sum, task_rows)
+    return running(df, keys, order, F.lit(1).cast("bigint"), out, F.sum, width)
 
 
 def with_preceding(
@@ -204,42 +105,36 @@ def with_preceding(
     order: Sequence[str],
     depth: int,
     columns: Callable[[Window], dict[str, Column]],
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Add window columns that look back at most ``depth`` rows within a key.
 
     ``columns`` gets the ordered window spec and returns the columns to add.
     """
-    sliced = cut_hot_keys(df, keys, order[0], task_rows)
-    rows = sliced.df
-    if sliced.is_cut:
-        names = df.columns
-        latest = Window.partitionBy(*sliced.group).orderBy(*[F.desc(c) for c in order])
-        earlier = Window.partitionBy(*sliced.keys).orderBy(SLICE).rowsBetween(-depth, -1)
-        rest = [c for c in names if c not in order and c not in sliced.keys]
-        boundary = (
-            sliced.hot_rows()
-            .withColumn("_back", F.row_number().over(latest))
-            .where(F.col("_back") <= depth)
-            .groupBy(*sliced.group)
-            .agg(F.array_sort(F.collect_list(F.struct(*order, F.struct(*rest).alias("_rest")))).alias("_tail"))
-            .withColumn("_tail", F.flatten(F.collect_list("_tail").over(earlier)))
-            .select(*sliced.group, F.explode("_tail").alias("_row"))
-            .select(*sliced.group, *[f"_row.{c}" for c in order], *[f"_row._rest.{c}" for c in rest])
-        )
-        rows = _with_boundary(sliced, boundary)
-    spec = Window.partitionBy(*sliced.group).orderBy(*order)
-    return _strip(rows.withColumns(columns(spec)), sliced)
+    sliced = cut_by_time(df, keys, order[0], width)
+    latest = Window.partitionBy(*sliced.group).orderBy(*[F.desc(c) for c in order])
+    earlier = Window.partitionBy(*sliced.keys).orderBy(SLICE).rowsBetween(-depth, -1)
+    rest = [c for c in df.columns if c not in order and c not in sliced.keys]
+    boundary = (
+        sliced.df.withColumn("_back", F.row_number().over(latest))
+        .where(F.col("_back") <= depth)
+        .groupBy(*sliced.group)
+        .agg(F.array_sort(F.collect_list(F.struct(*order, F.struct(*rest, F.lit(0)).alias("_rest")))).alias("_tail"))
+        .withColumn("_tail", F.flatten(F.collect_list("_tail").over(earlier)))
+        .select(*sliced.group, F.explode(F.slice("_tail", F.greatest(F.lit(1), F.size("_tail") - depth + 1), F.lit(depth))).alias("_row"))
+        .select(*sliced.group, *[f"_row.{c}" for c in order], *[f"_row._rest.{c}" for c in rest])
+    )
+    spec = Window.partitionBy(*sliced.group).orderBy(F.desc(BOUNDARY), *order)
+    return _strip(_with_boundary(sliced, boundary).withColumns(columns(spec)))
 
 
 def nearest_of_other_slices(
     sliced: Sliced, order: Sequence[str], wanted: Sequence[tuple[Column, bool, dict[str, Column]]]
 ) -> DataFrame:
-    """Per slice of a hot key, the nearest rows outside it that meet the wanted conditions.
+    """Per slice of a key, the nearest rows outside it that meet the wanted conditions.
 
     ``wanted`` holds (condition, look before instead of after, columns to mark the row with).
-    All are found in one pre-aggregated pass over the hot rows. A row is given by its order
-    values and its marks.
+    All are found in one pre-aggregated pass. A row is given by its order values and its marks.
     """
     names = [f"_near{i}" for i in range(len(wanted))]
     inside = [
@@ -252,7 +147,7 @@ def nearest_of_other_slices(
     for name, (_, before, _) in zip(names, wanted):
         spec = (earlier if before else later).rowsBetween(Window.unboundedPreceding, -1)
         outside[name] = (F.max if before else F.min)(name).over(spec)
-    found = sliced.hot_rows().groupBy(*sliced.group).agg(*inside).withColumns(outside)
+    found = sliced.df.groupBy(*sliced.group).agg(*inside).withColumns(outside)
     marked = [
         F.struct(
             F.col(name).isNotNull().alias("_found"),
@@ -272,14 +167,12 @@ def with_next(
     order: Sequence[str],
     target: str,
     out: str,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Add ``out``: first order value of the next row in the key where the flag ``target`` holds."""
-    sliced = cut_hot_keys(df, keys, order[0], task_rows)
-    rows = sliced.df
-    if sliced.is_cut:
-        wanted = [(F.col(target), False, {target: F.lit(True)})]
-        rows = _with_boundary(sliced, nearest_of_other_slices(sliced, order, wanted))
+    sliced = cut_by_time(df, keys, order[0], width)
+    wanted = [(F.col(target), False, {target: F.lit(True)})]
+    rows = _with_boundary(sliced, nearest_of_other_slices(sliced, order, wanted))
     # Seen from the end, the rows already passed are the later ones: a growing frame, linear work.
     later = (
         Window.partitionBy(*sliced.group)
@@ -287,7 +180,7 @@ def with_next(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     value = F.min(F.when(F.col(target), F.col(order[0]))).over(later)
-    return _strip(rows.withColumn(out, value), sliced)
+    return _strip(rows.withColumn(out, value))
 
 
 def with_nearest_sides(
@@ -296,21 +189,17 @@ def with_nearest_sides(
     time: str,
     sides: dict[str, str],
     side: str,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """For each side value, add the nearest time of that side at or before, and at or after, each row.
 
     ``sides`` maps a side value to a prefix; the columns are ``<prefix>_before`` and ``<prefix>_after``.
     """
-    sliced = cut_hot_keys(df, keys, time, task_rows)
-    rows = sliced.df
-    if sliced.is_cut:
-        wanted = [
-            (F.col(side) == value, before, {side: F.lit(value)})
-            for value in sides
-            for before in (True, False)
-        ]
-        rows = _with_boundary(sliced, nearest_of_other_slices(sliced, [time], wanted))
+    sliced = cut_by_time(df, keys, time, width)
+    wanted = [
+        (F.col(side) == value, before, {side: F.lit(value)}) for value in sides for before in (True, False)
+    ]
+    rows = _with_boundary(sliced, nearest_of_other_slices(sliced, [time], wanted))
     # Range frames take in rows at the same time, so both ends count as inclusive.
     upto = Window.partitionBy(*sliced.group).orderBy(F.asc(time))
     onward = Window.partitionBy(*sliced.group).orderBy(F.desc(time))
@@ -319,4 +208,4 @@ def with_nearest_sides(
         at = F.when(F.col(side) == value, F.col(time))
         added[f"{prefix}_before"] = F.max(at).over(upto)
         added[f"{prefix}_after"] = F.min(at).over(onward)
-    return _strip(rows.withColumns(added), sliced)
+    return _strip(rows.withColumns(added))

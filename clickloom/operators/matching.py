@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.time import TS, TS_MS, millis
-from clickloom.operators.hotkeys import with_nearest_sides
+from clickloom.operators.hotkeys import WIDTH, whole_slots, with_nearest_sides
 
 SIDE = "side"
 LEFT, RIGHT = "left", "right"
@@ -46,8 +46,7 @@ def interval_join(
         raise ValueError("batch interval joins are inner; use reconcile for the unmatched rows")
 
     low, high = millis(before), millis(after)
-    width = max(low + high, 1)
-    slot = lambda ms: F.floor((ms - F.pmod(ms, F.lit(width))) / width)
+    slot = lambda ms: whole_slots(ms, max(low + high, 1))
     l = prefixed(left, lp)
     r = prefixed(right, rp)
     at = F.col(lp + TS_MS)
@@ -74,7 +73,7 @@ def unmatched(
     on: str,
     before: timedelta,
     after: timedelta,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Rows of either side with no partner in the interval, tagged by side.
 
@@ -83,7 +82,7 @@ def unmatched(
     """
     low, high = millis(before), millis(after)
     rows = with_nearest_sides(
-        connect(left, right), [on], TS_MS, {LEFT: "_l", RIGHT: "_r"}, SIDE, task_rows
+        connect(left, right), [on], TS_MS, {LEFT: "_l", RIGHT: "_r"}, SIDE, width
     )
     at = F.col(TS_MS)
     has_right = (F.col("_r_before") >= at - low) | (F.col("_r_after") <= at + high)
@@ -102,12 +101,12 @@ def reconcile(
     before: timedelta,
     after: timedelta,
     prefixes: tuple[str, str] = ("l_", "r_"),
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """All matched pairs, and the rows of either side without a partner, under ``outcome``."""
     lp, rp = prefixes
     pairs = interval_join(left, right, on, before, after, prefixes)
-    lone = unmatched(left, right, on, before, after, task_rows)
+    lone = unmatched(left, right, on, before, after, width)
     lone = lone.select(
         *[F.when(F.col(SIDE) == LEFT, F.col(c)).alias(lp + c) for c in left.columns],
         *[F.when(F.col(SIDE) == RIGHT, F.col(c)).alias(rp + c) for c in right.columns],

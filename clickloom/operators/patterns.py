@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.time import TS_MS, java_timestamp_text, millis
-from clickloom.operators.hotkeys import with_next, with_preceding
+from clickloom.operators.hotkeys import WIDTH, with_next, with_preceding
 
 FIRST, LAST = "first_ts_ms", "last_ts_ms"
 
@@ -21,7 +21,7 @@ def strict_sequence(
     steps: Sequence[Column],
     within: timedelta,
     inclusive: bool = False,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Matches of adjacent rows that satisfy ``steps`` in turn, first to last ``within`` a span.
 
@@ -39,7 +39,7 @@ def strict_sequence(
             met = met & (F.lag(flag, back).over(spec) if back else F.col(flag))
         return {FIRST: F.lag(TS_MS, depth).over(spec) if depth else F.col(TS_MS), "_met": met}
 
-    found = with_preceding(rows, keys, [TS_MS, seq], max(depth, 1), look_back, task_rows)
+    found = with_preceding(rows, keys, [TS_MS, seq], max(depth, 1), look_back, width)
     span, limit = F.col(TS_MS) - F.col(FIRST), millis(within)
     near = span <= limit if inclusive else span < limit
     matches = found.where(F.col("_met") & near)
@@ -54,10 +54,10 @@ def consecutive(
     times: int,
     within: timedelta,
     inclusive: bool = False,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """Overlapping runs of ``times`` adjacent rows that all meet ``condition``, ``within`` a span."""
-    return strict_sequence(df, keys, seq, [condition] * times, within, inclusive, task_rows)
+    return strict_sequence(df, keys, seq, [condition] * times, within, inclusive, width)
 
 
 MATCHED, TIMED_OUT = "matched", "timeout"
@@ -70,7 +70,7 @@ def followed_by(
     begin: Column,
     end: Column,
     within: timedelta,
-    task_rows: int | None = None,
+    width: timedelta = WIDTH,
 ) -> DataFrame:
     """For each ``begin`` row, whether an ``end`` row of its key follows ``within`` a span.
 
@@ -79,7 +79,7 @@ def followed_by(
     """
     rows = df.select(*keys, TS_MS, seq, begin.alias("_begin"), end.alias("_end"))
     rows = rows.where(F.col("_begin") | F.col("_end"))
-    found = with_next(rows, keys, [TS_MS, seq], "_end", "_next", task_rows).where("_begin")
+    found = with_next(rows, keys, [TS_MS, seq], "_end", "_next", width).where("_begin")
     in_time = F.col("_next") - F.col(TS_MS) < millis(within)
     return found.select(
         *keys,

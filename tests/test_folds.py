@@ -1,4 +1,4 @@
-"""Folds against the worked traces, and cut into slices against plain Python."""
+"""Folds against the worked traces, and with narrow slices against plain Python."""
 
 import random
 from datetime import timedelta as D
@@ -88,15 +88,15 @@ def login_sample(seed, n=400):
     return [(1 if r.random() < 0.7 else r.randrange(2, 6), t, "fail" if r.random() < 0.93 else "ok") for t in times]
 
 
-@pytest.mark.parametrize("task_rows", [None, 60])
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=60)])
 @pytest.mark.parametrize("times, within", [(2, 5), (3, 40), (5, 200)])
-def test_failures_against_replay(spark, task_rows, times, within):
+def test_failures_against_replay(spark, width, times, within):
     events = login_sample(times)
     df = logins(spark, events)
     span = D(milliseconds=within)
-    got = folds.anchored_failures(df, ["user"], "seq", fail(), times, span, task_rows)
+    got = folds.anchored_failures(df, ["user"], "seq", fail(), times, span, width)
     assert rows(got) == anchored(events, times, within)
-    got = folds.timer_failures(df, ["user"], "seq", fail(), times, span, task_rows)
+    got = folds.timer_failures(df, ["user"], "seq", fail(), times, span, width)
     assert rows(got) == timer(events, times, within)
 
 
@@ -115,8 +115,8 @@ def fifo(left, right, low, high):
     return pairs
 
 
-@pytest.mark.parametrize("task_rows, fold_rows", [(None, 20_000), (25, 25), (25, 9)])
-def test_one_to_one_against_replay(spark, task_rows, fold_rows):
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=25)])
+def test_one_to_one_against_replay(spark, width):
     r = random.Random(5)
     key = lambda: "hot" if r.random() < 0.7 else r.choice("abc")
     left = [(key(), r.randrange(0, 900), i) for i in range(120)]
@@ -124,7 +124,7 @@ def test_one_to_one_against_replay(spark, task_rows, fold_rows):
     schema = "tx string, ts_ms long, seq long"
     got = folds.pair_one_to_one(
         frame(spark, left, schema), frame(spark, right, schema), "tx", "seq",
-        D(milliseconds=6), D(milliseconds=11), task_rows, fold_rows,
+        D(milliseconds=6), D(milliseconds=11), width,
     ).cache()
     pairs = fifo(left, right, 6, 11)
     assert set(rows(got.where("outcome = 'matched'"), "left_seq", "right_seq")) == pairs
@@ -154,13 +154,13 @@ def cycles(events, within, early):
     return sorted(out)
 
 
-@pytest.mark.parametrize("task_rows", [20_000, 25])
-def test_cycles_against_replay(spark, task_rows):
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=25)])
+def test_cycles_against_replay(spark, width):
     r = random.Random(11)
     events = [(1 if r.random() < 0.6 else r.randrange(2, 9), r.choice(["create", "pay"]), t * 3) for t in range(200)]
     df = frame(spark, [(*e, i) for i, e in enumerate(events)], "order_id long, kind string, ts_ms long, seq long")
     got = folds.order_cycles(
         df, "order_id", "seq", F.col("kind") == "create", F.col("kind") == "pay",
-        D(milliseconds=8), D(milliseconds=5), task_rows,
+        D(milliseconds=8), D(milliseconds=5), width,
     )
     assert rows(got, "order_id", "result_state") == cycles(events, 8, 5)

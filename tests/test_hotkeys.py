@@ -1,6 +1,7 @@
-"""Cut keys must give what whole keys give, whatever the slice size."""
+"""Cut keys must give what whole keys give, whatever the width of the slices, null times included."""
 
 import random
+from datetime import timedelta as D
 
 import pytest
 from conftest import frame, rows
@@ -20,6 +21,7 @@ def sample(seed, n=300):
     for seq in range(n):
         user = 1 if r.random() < 0.7 else r.choice([2, 3, 4, None])
         ts = r.choice([r.randrange(0, 400), r.randrange(3000, 3100)]) * 10
+        ts = None if r.random() < 0.03 else ts
         out.append((user, ts, seq, r.random() < 0.4, r.choice("LR")))
     return out
 
@@ -30,91 +32,87 @@ def df(spark, request):
 
 
 ORDER = ["ts_ms", "seq"]
-SIZES = [5, 60]
+WHOLE = D(days=9)
+WIDTHS = [D(milliseconds=70), D(milliseconds=900)]
 
 
-@pytest.mark.parametrize("size", SIZES)
-def test_cut_marks_only_hot_keys(df, size):
-    cut = hk.cut_hot_keys(df, ["user"], "ts_ms", size)
-    assert cut.is_cut and cut.df.count() == df.count()
-    n = {r["user"]: r["n"] for r in df.groupBy("user").agg(F.count("*").alias("n")).collect()}
-    sliced = {r["user"] for r in cut.hot_rows().select("user").distinct().collect()}
-    assert sliced == {u for u, c in n.items() if c > size}
+def test_slices_keep_the_order_of_time(df):
+    cut = hk.cut_by_time(df, ["user"], "ts_ms", D(milliseconds=70)).df
+    assert cut.count() == df.count()
+    found = [tuple(r) for r in cut.orderBy(F.asc_nulls_first("ts_ms")).select("ts_ms", hk.SLICE).collect()]
+    assert [n for _, n in found] == sorted(n for _, n in found)
+    assert all(n == ts // 70 for ts, n in found if ts is not None)
+    assert any(ts is None for ts, _ in found)
 
 
-def test_crowded_time_is_cut_again(spark):
-    """One far row stretches the range; all others crowd into a sliver of it."""
-    data = [(1, i, i, i % 3 == 0, "L") for i in range(200)] + [(1, 10_000_000, 999, True, "R")]
-    df = frame(spark, data, SCHEMA).drop("ts")
-    cut = hk.cut_hot_keys(df, ["user"], "ts_ms", 20)
-    sizes = [r["count"] for r in cut.df.groupBy(hk.SLICE).count().collect()]
-    assert max(sizes) <= 40 and sum(sizes) == 201
-    order = cut.df.orderBy("ts_ms").select(hk.SLICE, hk.LAST).collect()
-    assert [r[0] for r in order] == sorted(r[0] for r in order)
-    assert {r[1] for r in order} == {order[-1][0]} and order[-1][0] < cut.slices
-    nth = hk.position(df, ["user"], ORDER, "nth", 20)
-    assert rows(nth.select("ts_ms", "nth")) == [(i, i + 1) for i in range(200)] + [(10_000_000, 201)]
+def test_slots_of_times_before_the_epoch(spark):
+    times = [-71, -70, -1, 0, 69, 70, 2**60 + 1]
+    df = spark.createDataFrame([(t,) for t in times], "t long").select("t", hk.whole_slots(F.col("t"), 70))
+    assert rows(df) == sorted((t, t // 70) for t in times)
 
 
-def test_no_hot_key_leaves_the_plan_alone(df):
-    cut = hk.cut_hot_keys(df, ["user"], "ts_ms", 10_000)
-    assert not cut.is_cut and cut.df is df
+def test_building_a_frame_starts_no_job(df):
+    tracker = df.sparkSession.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    hk.position(df, ["user"], ORDER, "nth")
+    hk.with_next(df, ["user"], ORDER, "flag", "next")
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
-@pytest.mark.parametrize("size", SIZES)
+@pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("agg", [F.sum, F.max, F.min])
-def test_running(df, size, agg):
+def test_running(df, width, agg):
     value = F.col("seq") * F.when(F.col("flag"), 1).otherwise(-1)
-    whole = hk.running(df, ["user"], ORDER, value, "out", agg, 10_000)
-    cut = hk.running(df, ["user"], ORDER, value, "out", agg, size)
+    whole = hk.running(df, ["user"], ORDER, value, "out", agg, WHOLE)
+    cut = hk.running(df, ["user"], ORDER, value, "out", agg, width)
     assert cut.columns == whole.columns
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
-@pytest.mark.parametrize("size", SIZES)
-def test_position(df, size):
-    whole = hk.position(df, ["user"], ORDER, "nth", 10_000)
-    cut = hk.position(df, ["user"], ORDER, "nth", size)
+@pytest.mark.parametrize("width", WIDTHS)
+def test_position(df, width):
+    whole = hk.position(df, ["user"], ORDER, "nth", WHOLE)
+    cut = hk.position(df, ["user"], ORDER, "nth", width)
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
-@pytest.mark.parametrize("size", SIZES)
+@pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("depth", [1, 4])
-def test_lag(df, size, depth):
+def test_lag(df, width, depth):
     def add(spec):
         return {"a": F.lag("ts_ms", depth).over(spec), "b": F.lag("flag", 1).over(spec)}
 
-    whole = hk.with_preceding(df, ["user"], ORDER, depth, add, 10_000)
-    cut = hk.with_preceding(df, ["user"], ORDER, depth, add, size)
+    whole = hk.with_preceding(df, ["user"], ORDER, depth, add, WHOLE)
+    cut = hk.with_preceding(df, ["user"], ORDER, depth, add, width)
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
-@pytest.mark.parametrize("size", SIZES)
-def test_next(df, size):
-    whole = hk.with_next(df, ["user"], ORDER, "flag", "next", 10_000)
-    cut = hk.with_next(df, ["user"], ORDER, "flag", "next", size)
+@pytest.mark.parametrize("width", WIDTHS)
+def test_next(df, width):
+    whole = hk.with_next(df, ["user"], ORDER, "flag", "next", WHOLE)
+    cut = hk.with_next(df, ["user"], ORDER, "flag", "next", width)
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
-@pytest.mark.parametrize("size", SIZES)
-def test_nearest_sides(df, size):
+@pytest.mark.parametrize("width", WIDTHS)
+def test_nearest_sides(df, width):
     sides = {"L": "l", "R": "r"}
-    whole = hk.with_nearest_sides(df, ["user"], "ts_ms", sides, "side", 10_000)
-    cut = hk.with_nearest_sides(df, ["user"], "ts_ms", sides, "side", size)
+    whole = hk.with_nearest_sides(df, ["user"], "ts_ms", sides, "side", WHOLE)
+    cut = hk.with_nearest_sides(df, ["user"], "ts_ms", sides, "side", width)
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
 def test_two_key_columns(df):
-    whole = hk.position(df, ["user", "side"], ORDER, "nth", 10_000)
-    cut = hk.position(df, ["user", "side"], ORDER, "nth", 10)
+    whole = hk.position(df, ["user", "side"], ORDER, "nth", WHOLE)
+    cut = hk.position(df, ["user", "side"], ORDER, "nth", WIDTHS[0])
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(1, 2), st.integers(0, 40)), min_size=1, max_size=60), st.integers(1, 9))
-def test_position_property(spark, points, size):
+def test_position_property(spark, points, width):
     data = [(u, t, i, True, "L") for i, (u, t) in enumerate(points)]
-    got = hk.position(frame(spark, data, SCHEMA).drop("ts"), ["user"], ORDER, "nth", size)
+    got = hk.position(frame(spark, data, SCHEMA).drop("ts"), ["user"], ORDER, "nth", D(milliseconds=width))
     expected, seen = [], {}
     for user, ts, seq, *_ in sorted(data):
         seen[user] = seen.get(user, 0) + 1

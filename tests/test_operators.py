@@ -87,7 +87,7 @@ def test_distinct_forms_agree(spark):
     assert rows(distinct_bitmap(df, "user", 10 * S), "window_end_ms", "uv") == exact
     last = distinct_running(df, "user", "seq", 10 * S).groupBy("window_end_ms").agg(F.max("uv").alias("uv"))
     assert rows(last, "window_end_ms", "uv") == exact
-    cut = distinct_running(df, "user", "seq", 10 * S, task_rows=4)
+    cut = distinct_running(df, "user", "seq", 10 * S, width=3 * S)
     assert rows(cut) == rows(distinct_running(df, "user", "seq", 10 * S))
     for (_, near), (_, uv) in zip(rows(distinct_sketch(df, "user", 10 * S), "window_end_ms", "uv"), exact):
         assert abs(near - uv) <= 2
@@ -166,11 +166,11 @@ def late_rows(data, bound, size, slide, allowed):
     return sorted(tags), sorted((k, e, n) for (k, e), n in counts.items())
 
 
-@pytest.mark.parametrize("task_rows", [None, 7])
-def test_lateness_against_replay(spark, task_rows):
+@pytest.mark.parametrize("width", [D(days=1), 7 * S])
+def test_lateness_against_replay(spark, width):
     data = [(i * 1000, i, (i * 1000 - (i * 37 % 90) * 1000), i % 2) for i in range(200)]
     df = frame(spark, data, "arrival long, seq long, ts_ms long, key long")
-    seen = lateness.arrival_watermark(df, ["arrival", "seq"], 2 * S, task_rows)
+    seen = lateness.arrival_watermark(df, ["arrival", "seq"], 2 * S, width)
     tagged = lateness.tag_late(seen, 20 * S, 5 * S, 10 * S)
     counts = lateness.accepted_counts(tagged, ["key"], 20 * S, 5 * S, 10 * S)
     tags, expected = late_rows(data, 2000, 20000, 5000, 10000)
@@ -198,10 +198,10 @@ def logins(spark, events):
     return frame(spark, [(u, t, i, s) for i, (u, t, s) in enumerate(events)], LOGIN)
 
 
-@pytest.mark.parametrize("task_rows", [None, 2])
-def test_consecutive_runs_overlap(spark, task_rows):
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=700)])
+def test_consecutive_runs_overlap(spark, width):
     df = logins(spark, [(1, 1000 * i, "fail") for i in range(6)] + [(1, 6000, "success")])
-    got = patterns.consecutive(df, ["user"], "seq", fail(), 5, 10 * S, task_rows=task_rows)
+    got = patterns.consecutive(df, ["user"], "seq", fail(), 5, 10 * S, width=width)
     assert rows(got, "first_ts_ms", "last_ts_ms") == [(0, 4000), (1000, 5000)]
 
 
@@ -211,21 +211,21 @@ def test_consecutive_span_ends(spark):
     assert patterns.consecutive(df, ["user"], "seq", fail(), 2, 10 * S, inclusive=True).count() == 1
 
 
-@pytest.mark.parametrize("task_rows", [None, 2])
-def test_strict_sequence(spark, task_rows):
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=700)])
+def test_strict_sequence(spark, width):
     df = logins(spark, [(1, 0, "a"), (1, 1, "b"), (1, 2, "x"), (1, 3, "a"), (1, 4, "b"), (1, 5, "c"), (2, 6, "c")])
     steps = [F.col("state") == s for s in "abc"]
-    got = patterns.strict_sequence(df, ["user"], "seq", steps, S, task_rows=task_rows)
+    got = patterns.strict_sequence(df, ["user"], "seq", steps, S, width=width)
     assert rows(got, "user", "first_ts_ms", "last_ts_ms") == [(1, 3, 5)]
 
 
-@pytest.mark.parametrize("task_rows", [None, 1])
-def test_followed_by(spark, task_rows):
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=700)])
+def test_followed_by(spark, width):
     events = [(1, 0, "create"), (1, 1, "create"), (1, 2, "pay"), (1, 3, "pay"), (2, 0, "pay"), (3, 0, "create"),
               (3, 900_000, "pay"), (4, 0, "create")]
     df = logins(spark, events)
     got = patterns.followed_by(
-        df, ["user"], "seq", F.col("state") == "create", F.col("state") == "pay", 15 * MIN, task_rows
+        df, ["user"], "seq", F.col("state") == "create", F.col("state") == "pay", 15 * MIN, width
     )
     assert sorted(map(tuple, got.select("user", "begin_ms", F.coalesce("end_ms", F.lit(-1)), "outcome").collect())) == [
         (1, 0, 2, "matched"), (1, 1, 2, "matched"), (3, 0, -1, "timeout"), (4, 0, -1, "timeout")
@@ -239,15 +239,15 @@ def brute_pairs(left, right, low, high):
     return sorted((a[2], b[2]) for a in left for b in right if a[0] == b[0] and -low <= b[1] - a[1] <= high)
 
 
-@pytest.mark.parametrize("task_rows", [None, 5])
-def test_reconcile_against_brute_force(spark, task_rows):
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=700)])
+def test_reconcile_against_brute_force(spark, width):
     left = [(f"t{i % 3}", i * 1700 % 90_000, i) for i in range(80)]
     right = [(f"t{i % 4}", i * 2900 % 90_000, i) for i in range(60)]
     schema = "tx string, ts_ms long, seq long"
     a, b = frame(spark, left, schema), frame(spark, right, schema)
     pairs = brute_pairs(left, right, 300, 500)
     assert rows(matching.interval_join(a, b, "tx", 300 * S / 1000, 500 * S / 1000), "l_seq", "r_seq") == pairs
-    got = matching.reconcile(a, b, "tx", 300 * S / 1000, 500 * S / 1000, task_rows=task_rows).cache()
+    got = matching.reconcile(a, b, "tx", 300 * S / 1000, 500 * S / 1000, width=width).cache()
     assert rows(got.where("outcome = 'matched'"), "l_seq", "r_seq") == pairs
     lone = {p for p, _ in pairs}, {r for _, r in pairs}
     assert [r[0] for r in rows(got.where("outcome = 'unmatched_left'"), "l_seq")] == [
