@@ -69,6 +69,12 @@ class AnchoredFailures:
         self.kept.popleft()
         return []
 
+    def deadline(self) -> int | None:
+        return None
+
+    def expire(self, now: int) -> list[tuple]:
+        return []
+
     def state(self) -> list[int]:
         return list(self.kept)
 
@@ -102,6 +108,12 @@ class TimerFailures:
             self.slot = (ts, ts, 1)
         return closed
 
+    def deadline(self) -> int | None:
+        return self.slot[0] + self.within if self.slot else None
+
+    def expire(self, now: int) -> list[tuple]:
+        return self.finish() if self.slot and self.slot[0] + self.within <= now else []
+
     def state(self) -> list[int]:
         return list(self.slot)
 
@@ -129,6 +141,14 @@ class ConsecutiveRun:
         full = len(self.run) == self.times
         return [(self.run[0], ts)] if full and ts - self.run[0] < self.limit else []
 
+    def deadline(self) -> int | None:
+        return self.run[0] + self.limit if self.run else None
+
+    def expire(self, now: int) -> list[tuple]:
+        while self.run and self.run[0] + self.limit <= now:
+            self.run.popleft()
+        return []
+
     def state(self) -> list[int]:
         return list(self.run)
 
@@ -136,6 +156,38 @@ class ConsecutiveRun:
         return []
 
 
+class StrictSequence:
+    """Adjacent rows that meet the steps in turn, within a span. Bit ``k`` of a tag: the row meets step ``k``."""
+
+    outputs = ("first_ts_ms", "last_ts_ms")
+
+    def __init__(self, steps: int, limit_ms: int):
+        self.steps, self.limit = steps, limit_ms
+
+    def start(self, state: list[int]) -> None:
+        self.recent = deque(zip(state[::2], state[1::2]), maxlen=self.steps)
+
+    def step(self, ts: int, seq: int, tag: int) -> list[tuple]:
+        self.recent.append((ts, tag))
+        met = len(self.recent) == self.steps and all(t >> k & 1 for k, (_, t) in enumerate(self.recent))
+        first = self.recent[0][0]
+        return [(first, ts)] if met and ts - first < self.limit else []
+
+    def deadline(self) -> int | None:
+        return self.recent[0][0] + self.limit if self.recent else None
+
+    def expire(self, now: int) -> list[tuple]:
+        while self.recent and self.recent[0][0] + self.limit <= now:
+            self.recent.popleft()
+        return []
+
+    def state(self) -> list[int]:
+        return [v for pair in self.recent for v in pair]
+
+    def finish(self) -> list[tuple]:
+        return []
+
+
 class FifoPairs:
     """Pairs each row with the oldest row of the other side that still waits for it.
 
@@ -165,24 +217,73 @@ class FifoPairs:
             self.waiting.append((ts, seq))
         return out
 
+    def deadline(self) -> int | None:
+        return self.waiting[0][0] + self.patience[self.side] if self.waiting else None
+
+    def expire(self, now: int) -> list[tuple]:
+        out = []
+        while self.waiting and self.waiting[0][0] + self.patience[self.side] <= now:
+            out.append(self._lone(self.waiting.popleft()[1]))
+        return out
+
     def _lone(self, seq: int) -> tuple:
         return (self.LONE_LEFT, seq, None) if self.side else (self.LONE_RIGHT, None, seq)
 
     def state(self) -> list[int]:
-        return [self.side, *[v for pair in self.waiting for v in pair]]
+        return [self.side, *[v for pair in self.waiting for v in pair]] if self.waiting else []
 
     def finish(self) -> list[tuple]:
         return [self._lone(self.waiting.popleft()[1]) for _ in range(len(self.waiting))]
 
 
+class FollowedBy:
+    """Begin rows (tag bit 1) that wait for the first end row (tag bit 2), or for their time to run out."""
+
+    outputs = ("begin_ms", "end_ms")
+
+    def __init__(self, within_ms: int):
+        self.within = within_ms
+
+    def start(self, state: list[int]) -> None:
+        self.waiting = deque(state)
+
+    def step(self, ts: int, seq: int, tag: int) -> list[tuple]:
+        found = []
+        if tag & 2:
+            found = [(t, ts if ts - t < self.within else None) for t in self.waiting]
+            self.waiting.clear()
+        if tag & 1:
+            self.waiting.append(ts)
+        return found
+
+    def deadline(self) -> int | None:
+        return self.waiting[0] + self.within if self.waiting else None
+
+    def expire(self, now: int) -> list[tuple]:
+        found = []
+        while self.waiting and self.waiting[0] + self.within <= now:
+            found.append((self.waiting.popleft(), None))
+        return found
+
+    def state(self) -> list[int]:
+        return list(self.waiting)
+
+    def finish(self) -> list[tuple]:
+        return self.expire(2**63)
+
+
 class OrderCycles:
-    """Create and pay events matched in turn; a key may run through several cycles."""
+    """Create and pay events matched in turn; a key may run through several cycles.
+
+    A stream gives up on a waiting event at the end of its span, or after ``keep_ms`` if that is
+    longer; until then a pay that comes too late still finds its create.
+    """
 
     outputs = ("code", "create_ms", "pay_ms")
     PAID, PAID_LATE, NEVER_PAID, NEVER_CREATED = 0, 1, 2, 3
 
-    def __init__(self, within_ms: int, max_early_ms: int | None):
-        self.within, self.max_early = within_ms, max_early_ms
+    def __init__(self, within_ms: int, max_early_ms: int | None, keep_ms: int = 0):
+        self.within, self.max_early, self.keep = within_ms, max_early_ms, keep_ms
 
     def start(self, state: list[int]) -> None:
         self.waiting = tuple(state)
@@ -202,6 +303,16 @@ class OrderCycles:
         self.waiting = (tag, ts)
         return [(self.NEVER_CREATED, None, since)]
 
+    def deadline(self) -> int | None:
+        if not self.waiting:
+            return None
+        kind, since = self.waiting
+        return since + max(self.keep, self.within if kind else self.max_early or 0)
+
+    def expire(self, now: int) -> list[tuple]:
+        end = self.deadline()
+        return self.finish() if end is not None and end <= now else []
+
     def state(self) -> list[int]:
         return list(self.waiting)
 

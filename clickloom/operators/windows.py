@@ -53,9 +53,19 @@ def windowed_count(
     count: str = "cnt",
     counted: str | None = None,
     keep_window: bool = False,
+    chained: bool = False,
 ) -> DataFrame:
-    """Rows (or non-null values of ``counted``) per key and window."""
+    """Rows (or non-null values of ``counted``) per key and window.
+
+    A stream counts each row in all its windows at once, or, ``chained``, once in its slide-wide
+    pane and then adds the panes up; that needs append mode but no copies of the input rows.
+    """
     one = F.lit(1) if counted is None else F.col(counted)
+    if df.isStreaming and chained and _has_panes(size, slide):
+        panes = df.groupBy(*keys, time_window(slide).alias("_pane")).agg(F.count(one).alias(count))
+        window = F.window(F.window_time("_pane"), interval_text(size), interval_text(slide)).alias(WINDOW)
+        sums = panes.groupBy(*keys, window).agg(F.sum(count).alias(count))
+        return sums.select(*keys, *([WINDOW] if keep_window else []), window_end().alias(WINDOW_END), count)
     if df.isStreaming or not _has_panes(size, slide):
         return windowed_agg(df, keys, [F.count(one).alias(count)], size, slide, keep_window)
     panes = df.groupBy(*keys, _pane_start(slide)).agg(F.count(one).alias(count))

@@ -7,16 +7,24 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom import schemas
 from clickloom.functions.hashing import poly_hash
-from clickloom.functions.time import TS_MS, format_ms, java_timestamp_text, next_midnight_ms
+from clickloom.functions.time import (
+    TS,
+    TS_MS,
+    display_shift,
+    format_ms,
+    java_timestamp_text,
+    next_midnight_ms,
+)
 from clickloom.operators import matching, patterns
 from clickloom.operators.windows import windowed_count
 from clickloom.plans import frames, jobs, sql
-from clickloom.session import stateful_session
+from clickloom.session import shared_folder, stateful_session
 from clickloom.sources import files, kafka
-from clickloom.sources.sinks import append_files
+from clickloom.sources.sinks import append_files, by_outcome, each_batch, run_to_end
 from clickloom.streaming import jobs as stream_jobs
 from clickloom.streaming import processors
 
@@ -114,7 +122,12 @@ def unique_visitor_running(spark, sf):
 
 @query
 def unique_visitor_sketch(spark, sf):
-    return jobs.unique_visitor_sketch(frames.behavior(frames.events(spark, sf)), DAY, view="view")
+    """Whether each window's estimate lies within three times its relative error of the exact count."""
+    rows = frames.behavior(frames.events(spark, sf))
+    exact = jobs.unique_visitor(rows, DAY, "view").withColumnRenamed("uv", "exact")
+    both = jobs.unique_visitor_sketch(rows, DAY, "view").join(exact, "window_end_ms")
+    near = F.abs(F.col("uv") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * 0.02 * F.col("exact"))
+    return both.select("window_end_ms", near.alias("near"))
 
 
 @query
@@ -272,6 +285,7 @@ def time_texts(spark, sf):
         format_ms(F.col(TS_MS), zone="+08:00").alias("shifted"),
         java_timestamp_text(F.col(TS_MS)).alias("full_text"),
         next_midnight_ms(F.col(TS_MS), 8 * HOUR).alias("next_midnight_ms"),
+        F.unix_millis(display_shift(TS)).alias("display_ms"),
     )
 
 
@@ -282,18 +296,38 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
     return frames.event_stream(stateful_session(spark), sf)
 
 
+def _disturbed(spark: SparkSession, sf: str) -> DataFrame:
+    return frames.disturbed_stream(stateful_session(spark), sf)
+
+
 @query
 def stream_hot_items(spark, sf):
-    counts = jobs.item_view_counts(frames.behavior(_stream(spark, sf)), DAY, HOUR, "view")
+    views = frames.behavior(_stream(spark, sf)).where(F.col("behavior") == "view")
+    counts = windowed_count(views, ["item_id"], DAY, HOUR, chained=True)
     return stream_jobs.rank_closed_windows(counts, spark, "hot_items", 5, "item_id")
 
 
+@query
+def stream_hot_items_sql(spark, sf):
+    counts = sql.counted_in_sql(frames.behavior(_stream(spark, sf)), DAY, HOUR, "view")
+    schema = T.StructType([*counts.schema, T.StructField("row_num", T.LongType())])
+    return each_batch(counts, spark, "hot_items_sql", schema, lambda batch: sql.ranked_in_sql(batch, 5))
+
+
 @query
 def stream_hot_pages_updated(spark, sf):
-    counts = jobs.page_counts(frames.page_log(_stream(spark, sf)), DAY, HOUR, "click")
+    rows = frames.event_stream(stateful_session(spark), sf, closed=False)
+    counts = jobs.page_counts(frames.page_log(rows), DAY, HOUR, "click")
     return stream_jobs.rank_updated_windows(counts, spark, "hot_pages", 3, "url")
 
 
+@query
+def stream_hot_pages_late_updates(spark, sf):
+    counts = jobs.page_counts(frames.page_log(_disturbed(spark, sf)), DAY, HOUR, "click")
+    ranked = stream_jobs.rank_updated_windows(counts, spark, "hot_pages_late", 3, "url")
+    return ranked.where(F.col("url").isNotNull())  # the closing rows have none
+
+
 @query
 def stream_page_view_salted(spark, sf):
     counts = jobs.page_view_salted(frames.behavior(_stream(spark, sf)), DAY, view="view")
@@ -314,7 +348,8 @@ def stream_unique_visitor_bitmap(spark, sf):
 
 @query
 def stream_unique_visitor_updating(spark, sf):
-    views = frames.behavior(_stream(spark, sf)).where(F.col("behavior") == "view")
+    rows = frames.event_stream(stateful_session(spark), sf, closed=False)
+    views = frames.behavior(rows).where(F.col("behavior") == "view")
     return stream_jobs.visitors_updating(views, spark, DAY)
 
 
@@ -331,11 +366,31 @@ def stream_channel_promotion(spark, sf):
 
 @query
 def stream_ad_cap(spark, sf):
-    clicks = frames.ad_clicks(_stream(spark, sf))
-    capped = processors.stream_daily_cap(clicks, jobs.AD_KEYS, 1)
+    return _stream_ad_cap(spark, _stream(spark, sf))
+
+
+@query
+def stream_ad_cap_out_of_order(spark, sf):
+    return _stream_ad_cap(spark, _disturbed(spark, sf))
+
+
+def _stream_ad_cap(spark, rows):
+    capped = processors.stream_daily_cap(frames.ad_clicks(rows), jobs.AD_KEYS, 1)
     return append_files(capped, spark, "ad_cap").select("user_id", "ad_id", "seq", "outcome")
 
 
+@query
+def stream_ad_blacklist(spark, sf):
+    """Passed rows and warnings go to folders of their own; these are the warnings."""
+    capped = processors.stream_daily_cap(frames.ad_clicks(_stream(spark, sf)), jobs.AD_KEYS, 1)
+    folder = shared_folder(spark, "ad_side")
+    writer = capped.writeStream.foreachBatch(by_outcome(f"{folder}/rows", ["passed", "warning"]))
+    run_to_end(writer, f"{folder}/checkpoint")
+    fields = [f for f in capped.schema if f.name != "outcome"]
+    schema = T.StructType([*fields, T.StructField("outcome", T.StringType())])
+    return jobs.ad_blacklist(spark.read.schema(schema).parquet(f"{folder}/rows"), 1)
+
+
 @query
 def stream_ad_by_province(spark, sf):
     capped = processors.stream_daily_cap(frames.ad_clicks(_stream(spark, sf)), jobs.AD_KEYS, 1)
@@ -349,8 +404,8 @@ def stream_marketing_total(spark, sf):
     return append_files(counts, spark, "marketing_total")
 
 
-def _stream_failures(spark, sf, rule, times, within, inclusive=False):
-    rows = frames.logins(_stream(spark, sf))
+def _stream_failures(spark, stream, rule, times, within, inclusive=False):
+    rows = frames.logins(stream)
     fail = F.col("login_state") == "error"
     found = processors.stream_failures(rows, ["user_id"], fail, times, within, rule, inclusive)
     return append_files(found, spark, f"login_fail_{rule}")
@@ -358,22 +413,58 @@ def _stream_failures(spark, sf, rule, times, within, inclusive=False):
 
 @query
 def stream_login_fail_anchored(spark, sf):
-    return _stream_failures(spark, sf, "anchored", **FEW)
+    return _stream_failures(spark, _stream(spark, sf), "anchored", **FEW)
+
+
+@query
+def stream_login_fail_anchored_out_of_order(spark, sf):
+    return _stream_failures(spark, _disturbed(spark, sf), "anchored", **FEW)
 
 
 @query
 def stream_login_fail_timer(spark, sf):
-    return _stream_failures(spark, sf, "timer", **FEW)
+    return _stream_failures(spark, _stream(spark, sf), "timer", **FEW)
+
+
+@query
+def stream_login_fail_timer_out_of_order(spark, sf):
+    return _stream_failures(spark, _disturbed(spark, sf), "timer", **FEW)
 
 
 @query
 def stream_login_fail_pattern(spark, sf):
-    return _stream_failures(spark, sf, "consecutive", **MORE)
+    return _stream_failures(spark, _stream(spark, sf), "consecutive", **MORE)
+
+
+@query
+def stream_login_fail_pattern_out_of_order(spark, sf):
+    return _stream_failures(spark, _disturbed(spark, sf), "consecutive", **MORE)
+
+
+@query
+def stream_login_fail_sliding(spark, sf):
+    return _stream_failures(spark, _stream(spark, sf), "consecutive", **FEW, inclusive=True)
+
+
+@query
+def stream_login_fail_sequence(spark, sf):
+    rows = frames.logins(_stream(spark, sf))
+    steps = [F.col("login_state") == s for s in ("error", "error", "view")]
+    return append_files(processors.stream_sequence(rows, ["user_id"], steps, 48 * HOUR), spark, "login_sequence")
 
 
 @query
 def stream_order_timeout_pattern(spark, sf):
-    rows = frames.user_orders(_stream(spark, sf))
+    return _stream_order_pattern(spark, _stream(spark, sf))
+
+
+@query
+def stream_order_timeout_pattern_out_of_order(spark, sf):
+    return _stream_order_pattern(spark, _disturbed(spark, sf))
+
+
+def _stream_order_pattern(spark, stream):
+    rows = frames.user_orders(stream)
     kind = F.col("event_type")
     found = processors.stream_followed_by(
         rows, ["order_id"], kind == "view", kind == "purchase", ORDER["within"]
@@ -384,10 +475,19 @@ def stream_order_timeout_pattern(spark, sf):
 
 @query
 def stream_order_timeout_cycles(spark, sf):
-    rows = frames.user_orders(_stream(spark, sf))
+    return _stream_order_cycles(spark, _stream(spark, sf))
+
+
+@query
+def stream_order_timeout_cycles_out_of_order(spark, sf):
+    return _stream_order_cycles(spark, _disturbed(spark, sf))
+
+
+def _stream_order_cycles(spark, stream):
+    rows = frames.user_orders(stream)
     kind = F.col("event_type")
     found = processors.stream_order_lifecycle(
-        rows, "order_id", kind == "view", kind == "purchase", ORDER["within"], 6 * HOUR
+        rows, "order_id", kind == "view", kind == "purchase", ORDER["within"], 6 * HOUR, 365 * DAY
     )
     return append_files(found, spark, "order_cycles")
 
@@ -402,7 +502,7 @@ def _two_streams(spark, sf):
 def stream_tx_interval_join(spark, sf):
     pays, receipts = _two_streams(spark, sf)
     pairs = matching.interval_join(pays, receipts, "tx_id", **NEAR, prefixes=jobs.PAIR_PREFIXES)
-    return append_files(pairs.select(*PAIR), spark, "tx_join")
+    return append_files(pairs.select(*PAIR), spark, "tx_join").where(F.col("pay_seq") != frames.RESERVED)
 
 
 @query
@@ -416,13 +516,23 @@ def stream_tx_reconcile(spark, sf):
         .when(F.col("pay_seq").isNull(), matching.UNMATCHED_RIGHT)
         .otherwise(matching.MATCHED)
     )
-    return append_files(pairs.select(*PAIR, outcome.alias("outcome")), spark, "tx_reconcile")
+    found = append_files(pairs.select(*PAIR, outcome.alias("outcome")), spark, "tx_reconcile")
+    return found.where(F.coalesce("pay_seq", "receipt_seq") != frames.RESERVED)
 
 
 @query
 def stream_tx_one_to_one(spark, sf):
+    return _stream_one_to_one(spark, _stream(spark, sf))
+
+
+@query
+def stream_tx_one_to_one_out_of_order(spark, sf):
+    return _stream_one_to_one(spark, _disturbed(spark, sf))
+
+
+def _stream_one_to_one(spark, stream):
     # One source feeds both sides: a connected stream has one watermark.
-    rows = frames.payments(_stream(spark, sf)).where(F.col("event_type").isin("view", "purchase"))
+    rows = frames.payments(stream).where(F.col("event_type").isin("view", "purchase"))
     side = F.when(F.col("event_type") == "view", matching.LEFT).otherwise(matching.RIGHT)
     found = processors.stream_one_to_one(rows.withColumn("side", side), "tx_id", **NEAR)
     return append_files(found, spark, "tx_one_to_one")
@@ -430,7 +540,7 @@ def stream_tx_one_to_one(spark, sf):
 
 @query
 def stream_late_pages(spark, sf):
-    log = frames.late_page_log(frames.event_stream(stateful_session(spark), sf))
+    log = frames.late_page_log(frames.event_stream(stateful_session(spark), sf, closed=False))
     router = stream_jobs.LateRouter(
         spark, "late_pages", ["arrival_ms", "seq"], 10 * MINUTE, HOUR, 5 * MINUTE, 60 * MINUTE
     )

@@ -6,14 +6,15 @@ order event, and the number in ``props`` is the item. Rows are neither filtered
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.time import TS, TS_MS, epoch_ms, millis, with_event_time
-from clickloom.sources.files import read_table, replay
+from clickloom.session import shared_folder
+from clickloom.sources.files import read_table, replay, staged_replay
 
 EVENTS = T.StructType(
     [
@@ -43,10 +44,48 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return _typed(read_table(spark, folder, "events"))
 
 
-def event_stream(spark: SparkSession, folder: str, delay: timedelta = timedelta(0)) -> DataFrame:
-    """The same rows as a stream, watermarked by ``delay``."""
-    rows = _typed(replay(spark, folder, "events", EVENTS))
-    return rows.withWatermark(TS, f"{millis(delay)} milliseconds")
+# The end of a bounded replay: rows of a reserved key, so far off that the watermark closes all before
+# them, one of each type, since a filter by type may run before the watermark is taken.
+FAR, RESERVED = datetime(2100, 1, 1), -1
+TYPES = "click error purchase signup view".split()
+
+
+def _closing_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(RESERVED, FAR, RESERVED, t, None, None) for t in TYPES], EVENTS)
+
+
+def event_stream(
+    spark: SparkSession, folder: str, delay: timedelta = timedelta(0), closed: bool = True
+) -> DataFrame:
+    """The same rows as a stream, watermarked by ``delay``.
+
+    A closed stream reads the table in one micro-batch and with it the closing rows, which themselves
+    stay in windows and state that never end.
+    """
+    rows = replay(spark, folder, "events", EVENTS, None if closed else 1)
+    if closed:
+        path = shared_folder(spark, "closing")
+        _closing_rows(spark).coalesce(1).write.parquet(path)
+        rows = rows.unionByName(spark.readStream.schema(EVENTS).parquet(path))
+        delay = max(delay, timedelta(milliseconds=1))  # the watermark stays before the closing rows
+    return _typed(rows).withWatermark(TS, f"{millis(delay)} milliseconds")
+
+
+def disturbed_stream(spark: SparkSession, folder: str, delay: timedelta = timedelta(days=1)) -> DataFrame:
+    """The table replayed in several micro-batches, out of order within ``delay``, then closed.
+
+    A batch is five days; of each batch's last twelve hours, every third row comes with the next one.
+    Within a batch the newest rows come first.
+    """
+    span, hold = 5 * 24 * 3_600_000, 12 * 3_600_000
+    raw = read_table(spark, folder, "events")
+    ms = epoch_ms(raw, "ts")
+    late = (F.col("event_id") % 3 == 1) & (F.pmod(ms, F.lit(span)) >= span - hold)
+    batch = F.floor(ms / span) + F.when(late, 1).otherwise(0)
+    ordered = raw.select(*EVENTS.names)
+    path = shared_folder(spark, "disturbed")
+    stream = staged_replay(ordered, batch, F.desc("ts"), _closing_rows(spark), path)
+    return _typed(stream).withWatermark(TS, f"{millis(delay)} milliseconds")
 
 
 def behavior(rows: DataFrame) -> DataFrame:
@@ -70,9 +109,8 @@ def marketing(rows: DataFrame) -> DataFrame:
 
 
 def ad_clicks(rows: DataFrame) -> DataFrame:
-    clicks = rows.where(F.col("event_type").isin("click", "view"))
     province = (F.col("user_id") % 6).cast("string")
-    return clicks.select("user_id", F.col("event_type").alias("ad_id"), province.alias("province"), TS, TS_MS, "seq")
+    return rows.select("user_id", F.col("event_type").alias("ad_id"), province.alias("province"), TS, TS_MS, "seq")
 
 
 def logins(rows: DataFrame) -> DataFrame:
@@ -95,12 +133,13 @@ def receipts(rows: DataFrame, kind: str = "purchase") -> DataFrame:
 
 
 def shop_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders not pending as creates, and the shipping of each line as a pay."""
+    """Orders as creates, and the shipping of each line as a pay; every fifth order's pays bear another number."""
     orders = read_table(spark, folder, "orders")
     lines = read_table(spark, folder, "lineitem")
 
     def as_events(df: DataFrame, order: str, time: str, kind: Column) -> DataFrame:
         return df.select(F.col(order).alias("order_id"), kind.alias("event_type"), epoch_ms(df, time).alias(TS_MS))
 
-    creates = as_events(orders.where(F.col("o_orderstatus") != "P"), "o_orderkey", "o_orderdate", F.lit("create"))
-    return creates.unionByName(as_events(lines, "l_orderkey", "l_shipdate", F.lit("pay")))
+    paid = F.when(F.col("l_orderkey") % 5 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    creates = as_events(orders, "o_orderkey", "o_orderdate", F.lit("create"))
+    return creates.unionByName(as_events(lines.withColumn("_paid", paid), "_paid", "l_shipdate", F.lit("pay")))

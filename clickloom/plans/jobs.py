@@ -122,7 +122,7 @@ def page_view(
 def page_view_salted(
     behavior: DataFrame,
     size: timedelta = 10 * SECOND,
-    salt_by: str = "user_id",
+    salt_by: str = "seq",
     view: str = "pv",
     label: str = "pv",
 ) -> DataFrame:

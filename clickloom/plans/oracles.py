@@ -30,11 +30,6 @@ def _ranked(counts: str, key: str, n: int) -> str:
     WHERE row_num <= {n}"""
 
 
-def _last(kind: str) -> str:
-    """The final watermark of a stream of one kind of event."""
-    return f"(SELECT max(ms) FROM e WHERE {kind})"
-
-
 ITEMS = _sliding("item_id", "e", DAY, HOUR, "item_id", "event_type = 'view'")
 URL = "'/p/' || (item_id % 8)"
 PAGES = _sliding(f"{URL} AS url", "e", DAY, HOUR, "url", "event_type = 'click'")
@@ -63,7 +58,7 @@ t AS (SELECT *, {URL} AS url, (ms // 300000) * 300000 + {HOUR} + {HOUR} <= wm_ms
 
 CAPPED = f"""WITH {E},
 c AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, ms // {DAY} ORDER BY ms, seq) AS nth
-      FROM e WHERE event_type IN ('click', 'view'))"""
+      FROM e)"""
 
 # Islands of adjacent errors per user; the row that ends an island belongs to it.
 ISLANDS = f"""{E},
@@ -100,7 +95,6 @@ def _timer(times: int, within: int, stream: bool = False) -> str:
             "user_id, slot AS first_fail_time, max(ms) AS last_fail_time, "
             "'login fail in 2s for ' || count(*) || 'times.' AS warning_msg"
         )
-    closed = f"AND (bool_or(stop IS NOT NULL) OR slot + {within} < (SELECT max(ms) FROM e) OR max(later) IS NOT NULL)"
     return f"""WITH RECURSIVE {ISLANDS},
     fold(user_id, island, i, slot, ms) AS (
         SELECT user_id, island, i, ms, ms FROM f WHERE i = 1
@@ -113,8 +107,7 @@ def _timer(times: int, within: int, stream: bool = False) -> str:
           FROM fold LEFT JOIN s ON s.user_id = fold.user_id AND s.island = fold.island)
     SELECT {columns}
     FROM x GROUP BY user_id, island, slot
-    HAVING count(*) >= {times} AND coalesce(max(stop), slot + {within} + 1) > slot + {within}
-    {closed if stream else ''}"""
+    HAVING count(*) >= {times} AND coalesce(max(stop), slot + {within} + 1) > slot + {within}"""
 
 
 def _runs(times: int, within: int, compare: str, message: str | None) -> str:
@@ -130,7 +123,7 @@ def _runs(times: int, within: int, compare: str, message: str | None) -> str:
 MS_TEXT = "regexp_replace(strftime(make_timestamp({} * 1000), '%Y-%m-%d %H:%M:%S.%g'), '0{{1,2}}$', '')"
 
 
-def _order_pattern(closed: str = "true") -> str:
+def _order_pattern() -> str:
     half = 12 * HOUR
     expired = f"'order create time : ' || {MS_TEXT.format('ms')} || ' |  order timeout : ' || {MS_TEXT.format(f'(ms + {half})')}"
     return f"""WITH {E},
@@ -139,14 +132,14 @@ def _order_pattern(closed: str = "true") -> str:
           FROM e WHERE event_type IN ('view', 'purchase'))
     SELECT user_id AS order_id, CASE WHEN pay - ms < {half} THEN 'payed' ELSE {expired} END AS result_state,
            CASE WHEN pay - ms < {half} THEN 'matched' ELSE 'timeout' END AS outcome
-    FROM n WHERE event_type = 'view' AND ({closed})"""
+    FROM n WHERE event_type = 'view'"""
 
 
 def _shop(within: int, max_early: int | None) -> str:
     early = "false" if max_early is None else f"c - p > {max_early}"
-    return f"""WITH c AS (SELECT o_orderkey AS k, epoch_ms(min(o_orderdate)) AS c FROM orders
-                        WHERE o_orderstatus <> 'P' GROUP BY 1),
-    p AS (SELECT l_orderkey AS k, epoch_ms(min(l_shipdate)) AS p FROM lineitem GROUP BY 1),
+    return f"""WITH c AS (SELECT o_orderkey AS k, epoch_ms(min(o_orderdate)) AS c FROM orders GROUP BY 1),
+    p AS (SELECT CASE WHEN l_orderkey % 5 = 0 THEN -l_orderkey ELSE l_orderkey END AS k,
+                 epoch_ms(min(l_shipdate)) AS p FROM lineitem GROUP BY 1),
     j AS (SELECT coalesce(c.k, p.k) AS order_id, c, p FROM c FULL JOIN p ON c.k = p.k),
     r AS (
         SELECT order_id, CASE WHEN p IS NULL THEN 'payed timeout'
@@ -160,12 +153,7 @@ def _shop(within: int, max_early: int | None) -> str:
            CASE WHEN result_state = 'payed successfully' THEN 'main' ELSE 'side' END AS output FROM r"""
 
 
-def _cycles(within: int, early: int, stream: bool = False) -> str:
-    tail = ""
-    if stream:
-        # A row still waiting at the end comes out only when the last watermark passed its timer.
-        tail = f"""AND state_since + CASE WHEN state = 'view' THEN {within} ELSE {early} END
-                   < (SELECT max(ms) FROM o)"""
+def _cycles(within: int, early: int) -> str:
     return f"""WITH RECURSIVE {E},
     o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms, event_type DESC, seq) AS i,
                  count(*) OVER (PARTITION BY user_id) AS n
@@ -197,7 +185,7 @@ def _cycles(within: int, early: int, stream: bool = False) -> str:
         SELECT user_id, CASE WHEN state = 'view' THEN state_since END,
                CASE WHEN state = 'purchase' THEN state_since END,
                CASE WHEN state = 'view' THEN 'payed timeout' ELSE 'payed but not found created log' END
-        FROM fold WHERE i = n AND state IS NOT NULL {tail})
+        FROM fold WHERE i = n AND state IS NOT NULL)
     SELECT *, CASE WHEN result_state = 'payed successfully' THEN 'main' ELSE 'side' END AS output FROM r"""
 
 
@@ -209,27 +197,19 @@ PAIRS = f"""SELECT p.tx AS pay_tx_id, p.seq AS pay_seq, p.ms AS pay_ts_ms,
        r.tx AS receipt_tx_id, r.seq AS receipt_seq, r.ms AS receipt_ts_ms"""
 
 
-def _reconcile(lone_pay: str = "true", lone_receipt: str = "true") -> str:
+def _reconcile() -> str:
     return f"""WITH {SIDES}
     {PAIRS}, 'matched' AS outcome FROM p JOIN r ON {NEAR}
     UNION ALL
     SELECT tx, seq, ms, NULL, NULL, NULL, 'unmatched_left' FROM p
-    WHERE NOT EXISTS (SELECT 1 FROM r WHERE {NEAR}) AND {lone_pay}
+    WHERE NOT EXISTS (SELECT 1 FROM r WHERE {NEAR})
     UNION ALL
     SELECT NULL, NULL, NULL, tx, seq, ms, 'unmatched_right' FROM r
-    WHERE NOT EXISTS (SELECT 1 FROM p WHERE {NEAR}) AND {lone_receipt}"""
+    WHERE NOT EXISTS (SELECT 1 FROM p WHERE {NEAR})"""
 
 
-BOTH = "(SELECT least((SELECT max(ms) FROM p), (SELECT max(ms) FROM r)))"
-
-
-def _one_to_one(stream: bool = False) -> str:
+def _one_to_one() -> str:
     before, after = 3 * HOUR, 5 * HOUR
-    open_rows = (
-        f"AND o.ms + CASE WHEN o.event_type = 'view' THEN {after} ELSE {before} END < (SELECT max(ms) FROM o)"
-        if stream
-        else ""
-    )
     return f"""WITH RECURSIVE {E},
     o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms, event_type DESC, seq) AS i
           FROM e WHERE event_type IN ('view', 'purchase')),
@@ -254,17 +234,12 @@ def _one_to_one(stream: bool = False) -> str:
     SELECT CAST(user_id AS VARCHAR) AS tx_id, left_seq, right_seq, 'matched' AS outcome FROM m
     UNION ALL
     SELECT CAST(user_id AS VARCHAR), seq, NULL, 'unmatched_left' FROM o
-    WHERE event_type = 'view' AND seq NOT IN (SELECT left_seq FROM m) {open_rows}
+    WHERE event_type = 'view' AND seq NOT IN (SELECT left_seq FROM m)
     UNION ALL
     SELECT CAST(user_id AS VARCHAR), NULL, seq, 'unmatched_right' FROM o
-    WHERE event_type = 'purchase' AND seq NOT IN (SELECT right_seq FROM m) {open_rows}"""
-
+    WHERE event_type = 'purchase' AND seq NOT IN (SELECT right_seq FROM m)"""
 
-def _closed(rows: str, kind: str = "true") -> str:
-    return f"SELECT * FROM ({rows}) WHERE window_end_ms <= {_last(kind)}"
 
-
-KIND = "event_type = 'view'"
 VIEWS = f"""SELECT {TUMBLING} AS window_end_ms, count(DISTINCT user_id) AS uv
 FROM e WHERE event_type = 'view' GROUP BY 1"""
 PAGE_VIEWS = f"""SELECT 'pv' AS label, {TUMBLING} AS window_end_ms, count(*) AS cnt
@@ -348,32 +323,50 @@ SQL: dict[str, str] = {
         strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS formatted,
         strftime(make_timestamp(ms * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS shifted,
         {MS_TEXT.format('ms')} AS full_text,
-        ((ms + {8 * HOUR}) // {DAY} + 1) * {DAY} - {8 * HOUR} AS next_midnight_ms FROM e""",
-    "stream_hot_items": f"WITH {E} {_closed(HOT_ITEMS, KIND)}",
-    "stream_hot_pages_updated": f"WITH {E} {_ranked(PAGES, 'url', 3)}",
-    "stream_page_view_salted": f"WITH {E} {_closed(PAGE_VIEWS, KIND)}",
-    "stream_unique_visitor": f"WITH {E} {_closed(VIEWS, KIND)}",
-    "stream_unique_visitor_bitmap": f"WITH {E} {_closed(VIEWS, KIND)}",
-    "stream_window_event_count": f"WITH {E} {_closed(ALL_ROWS)}",
-    "stream_channel_promotion": f"""WITH {E} {_closed(PROMOTION, "event_type <> 'signup'")}""",
-    # The window counts follow the cap, so the last closed window is set by the rows that passed it.
-    "stream_ad_by_province": f"""{CAPPED} SELECT *, {STAMP} || '.0' AS window_end FROM ({PROVINCES})
-        WHERE window_end_ms <= (SELECT max(ms) FROM c)""",
-    "stream_marketing_total": f"""WITH {E} {_closed(MARKETING, "event_type <> 'signup'")}""",
+        ((ms + {8 * HOUR}) // {DAY} + 1) * {DAY} - {8 * HOUR} AS next_midnight_ms,
+        ms + {8 * HOUR} AS display_ms FROM e""",
+    "stream_late_pages": f"{LATE} SELECT seq, url, ms AS ts_ms, arrival_ms, wm_ms FROM t WHERE late",
     "stream_ad_cap": f"""{CAPPED} SELECT user_id, event_type AS ad_id, seq,
         CASE WHEN nth <= 2 THEN 'passed' ELSE 'warning' END AS outcome FROM c WHERE nth <= 3""",
     "stream_login_fail_anchored": _anchored(2, 24 * HOUR, text=False),
     "stream_login_fail_timer": _timer(2, 24 * HOUR, stream=True),
     "stream_login_fail_pattern": _runs(3, 48 * HOUR, "<", None),
-    "stream_order_timeout_pattern": _order_pattern(
-        f"pay IS NOT NULL OR ms + {12 * HOUR} <= (SELECT max(ms) FROM n)"
-    ),
-    "stream_order_timeout_cycles": _cycles(12 * HOUR, 6 * HOUR, stream=True),
-    "stream_tx_interval_join": f"WITH {SIDES} {PAIRS} FROM p JOIN r ON {NEAR}",
-    # A row without a partner comes out once the lesser of the two last watermarks has passed its interval.
-    "stream_tx_reconcile": _reconcile(
-        f"ms + {5 * HOUR} <= {BOTH}", f"ms + {3 * HOUR} <= {BOTH}"
-    ),
-    "stream_tx_one_to_one": _one_to_one(stream=True),
-    "stream_late_pages": f"{LATE} SELECT seq, url, ms AS ts_ms, arrival_ms, wm_ms FROM t WHERE late",
+    "stream_login_fail_sliding": _runs(2, 24 * HOUR, "<=", None),
+    "unique_visitor_sketch": f"WITH {E} SELECT window_end_ms, true AS near FROM ({VIEWS})",
 }
+
+# A closed stream gives what the batch form of the same analysis gives.
+SQL |= {
+    stream: SQL[batch]
+    for stream, batch in {
+        "stream_hot_items": "hot_items",
+        "stream_hot_items_sql": "hot_items",
+        "stream_hot_pages_updated": "hot_pages",
+        "stream_hot_pages_late_updates": "hot_pages",
+        "stream_page_view_salted": "page_view",
+        "stream_unique_visitor": "unique_visitor",
+        "stream_unique_visitor_bitmap": "unique_visitor",
+        "stream_unique_visitor_updating": "unique_visitor",
+        "stream_window_event_count": "window_event_count",
+        "stream_channel_promotion": "channel_promotion",
+        "stream_marketing_total": "marketing_total",
+        "stream_ad_by_province": "ad_by_province",
+        "stream_ad_blacklist": "ad_blacklist",
+        "stream_ad_cap_out_of_order": "stream_ad_cap",
+        "stream_login_fail_anchored_out_of_order": "stream_login_fail_anchored",
+        "stream_login_fail_timer_out_of_order": "stream_login_fail_timer",
+        "stream_login_fail_pattern_out_of_order": "stream_login_fail_pattern",
+        "stream_order_timeout_pattern": "order_timeout_pattern",
+        "stream_order_timeout_pattern_out_of_order": "order_timeout_pattern",
+        "stream_order_timeout_cycles": "order_timeout_cycles",
+        "stream_order_timeout_cycles_out_of_order": "order_timeout_cycles",
+        "stream_tx_interval_join": "tx_interval_join",
+        "stream_tx_reconcile": "tx_reconcile",
+        "stream_tx_one_to_one": "tx_reconcile_one_to_one",
+        "stream_tx_one_to_one_out_of_order": "tx_reconcile_one_to_one",
+    }.items()
+}
+SQL["stream_login_fail_sequence"] = (
+    "SELECT user_id, first_fail_time AS first_ts_ms, last_fail_time AS last_ts_ms "
+    f"FROM ({SQL['login_fail_sequence']})"
+)

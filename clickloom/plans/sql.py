@@ -11,12 +11,6 @@ from clickloom.functions.time import interval_text
 from clickloom.operators.windows import windowed_count
 
 
-def register(df: DataFrame, name: str) -> str:
-    """Make a frame queryable by name."""
-    df.createOrReplaceTempView(name)
-    return name
-
-
 def hot_items_from_table(
     behavior: DataFrame,
     n: int = 5,
@@ -28,7 +22,6 @@ def hot_items_from_table(
     counts = windowed_count(
         behavior.where(F.col("behavior") == view), ["item_id"], size, slide, counted="item_id"
     )
-    register(counts, "item_counts")
     return behavior.sparkSession.sql(
         f"""
         SELECT item_id,
@@ -37,9 +30,10 @@ def hot_items_from_table(
                    'yyyy-MM-dd HH:mm:ss') AS window_end,
                cnt, CAST(row_num AS BIGINT) AS row_num
         FROM (SELECT *, row_number() OVER (PARTITION BY window_end_ms ORDER BY cnt DESC, item_id) AS row_num
-              FROM item_counts)
+              FROM {{counts}})
         WHERE row_num <= {int(n)}
-        """
+        """,
+        counts=counts,
     )
 
 
@@ -50,22 +44,35 @@ def hot_items_in_sql(
     slide: timedelta = timedelta(seconds=5),
     view: str = "pv",
 ) -> DataFrame:
-    """Filter, window, count and rank in one SQL statement."""
-    register(behavior, "behavior_table")
+    """Filter, window, count and rank in SQL."""
+    return ranked_in_sql(counted_in_sql(behavior, size, slide, view), n)
+
+
+def counted_in_sql(behavior: DataFrame, size: timedelta, slide: timedelta, view: str = "pv") -> DataFrame:
+    """Views per item and sliding window by a SQL statement. Batch or stream."""
     return behavior.sparkSession.sql(
+        f"""
+        SELECT item_id, unix_millis(window.end) AS window_end_ms, count(item_id) AS cnt
+        FROM {{behavior}}
+        WHERE behavior = :view
+        GROUP BY item_id, window(ts, '{interval_text(size)}', '{interval_text(slide)}')
+        """,
+        args={"view": view},
+        behavior=behavior,
+    )
+
+
+def ranked_in_sql(counts: DataFrame, n: int) -> DataFrame:
+    """The most frequent items of each window by a SQL statement."""
+    return counts.sparkSession.sql(
         f"""
         SELECT item_id, window_end_ms, cnt, CAST(row_num AS BIGINT) AS row_num
         FROM (
             SELECT item_id, window_end_ms, cnt,
                    row_number() OVER (PARTITION BY window_end_ms ORDER BY cnt DESC, item_id) AS row_num
-            FROM (
-                SELECT item_id, unix_millis(window.end) AS window_end_ms, count(item_id) AS cnt
-                FROM behavior_table
-                WHERE behavior = :view
-                GROUP BY item_id, window(ts, '{interval_text(size)}', '{interval_text(slide)}')
-            )
+            FROM {{counts}}
         )
         WHERE row_num <= {int(n)}
         """,
-        args={"view": view},
+        counts=counts,
     )

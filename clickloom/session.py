@@ -47,10 +47,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def stateful_session(spark: SparkSession) -> SparkSession:
     """A sibling session whose streams keep state in RocksDB, as stateful processors need."""
     sibling = spark.newSession()
-    # A stream keeps its number of state partitions for life: more than one per core gains nothing.
-    cores = spark.sparkContext.defaultParallelism
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
-    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    # A stream keeps its number of state partitions for life, so it is the configured one.
+    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return sibling

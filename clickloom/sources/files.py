@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,16 +16,32 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def replay(
-    spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_trigger: int = 1
+    spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_trigger: int | None = 1
 ) -> DataFrame:
-    """A parquet table as a stream that takes at most some files per micro-batch.
+    """A parquet table as a stream that takes at most some files per micro-batch, or all in one.
 
     The braces make the path a pattern, which matches a single file as well as a folder.
     """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(f"{folder}/{{{name}}}.parquet")
 
 
+def staged_replay(rows: DataFrame, batch: Column, order: Column, closing: DataFrame, path: str) -> DataFrame:
+    """Rows written below ``path`` as one file for each value of ``batch``, then ``closing``, and streamed file by file.
+
+    A file is a micro-batch, sorted by ``order``; the source takes files in the order in which they were written.
+    """
+    staged = rows.withColumn("_batch", batch)
+    for number in [r[0] for r in staged.select("_batch").distinct().orderBy("_batch").collect()]:
+        part = staged.where(F.col("_batch") == number).drop("_batch").coalesce(1)
+        part.sortWithinPartitions(order).write.mode("append").parquet(path)
+    closing.coalesce(1).write.mode("append").parquet(path)
+    reader = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
 def delimited(
     spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False
 ) -> DataFrame:

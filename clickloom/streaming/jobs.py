@@ -1,7 +1,8 @@
 """The analyses as streams. Inputs are watermarked streaming frames; results are read back
 from what the streams wrote, once their sources are used up.
 
-Windows that the last watermark has not closed stay open, as they would in a running stream.
+Windows that the last watermark has not closed stay open, as they would in a running stream;
+the registered replays end with a far-off row that closes them.
 """
 
 from __future__ import annotations
@@ -49,23 +50,29 @@ def rank_updated_windows(
 def visitors_updating(
     behavior: DataFrame, spark: SparkSession, size: timedelta, visitor: str = "user_id"
 ) -> DataFrame:
-    """Approximate visitors per window, updated as rows come and kept newest per window."""
-    counts = behavior.groupBy(time_window(size).alias(WINDOW)).agg(
-        F.approx_count_distinct(visitor, 0.02).alias("uv")
-    )
-    rows = counts.select(window_end().alias(WINDOW_END), "uv")
+    """Visitors per window by hashed bitmap, updated as rows come.
+
+    The table holds the newest bitmap of each (window, bucket); a window's count is read from it.
+    """
+    parts = _visitor_bitmaps(behavior, size, visitor)
+    rows = parts.select(window_end().alias(WINDOW_END), "_bucket", "_bits")
     folder = shared_folder(spark, "visitors")
-    log = UpsertLog(spark, f"{folder}/rows", [WINDOW_END], rows.schema)
-    return log.run(rows, f"{folder}/checkpoint")
+    log = UpsertLog(spark, f"{folder}/rows", [WINDOW_END, "_bucket"], rows.schema)
+    newest = log.run(rows, f"{folder}/checkpoint")
+    return newest.groupBy(WINDOW_END).agg(F.sum(F.bitmap_count("_bits")).alias("uv"))
 
 
-def visitors_bitmap(behavior: DataFrame, size: timedelta, visitor: str = "user_id") -> DataFrame:
-    """Visitors per closed window by hashed bitmap, in two chained aggregations."""
+def _visitor_bitmaps(behavior: DataFrame, size: timedelta, visitor: str) -> DataFrame:
     offset = F.col("_offset")
     rows = behavior.withColumn("_offset", poly_hash(F.col(visitor).cast("string")))
     bits = F.bitmap_construct_agg(F.bitmap_bit_position(offset))
     window = time_window(size).alias(WINDOW)
-    parts = rows.groupBy(window, F.bitmap_bucket_number(offset).alias("_bucket")).agg(bits.alias("_bits"))
+    return rows.groupBy(window, F.bitmap_bucket_number(offset).alias("_bucket")).agg(bits.alias("_bits"))
+
+
+def visitors_bitmap(behavior: DataFrame, size: timedelta, visitor: str = "user_id") -> DataFrame:
+    """Visitors per closed window by hashed bitmap, in two chained aggregations."""
+    parts = _visitor_bitmaps(behavior, size, visitor)
     counts = parts.groupBy(WINDOW).agg(F.sum(F.bitmap_count("_bits")).alias("uv"))
     return counts.select(window_end().alias(WINDOW_END), "uv")
 

@@ -1,15 +1,15 @@
 """Keyed stateful processors for rules that built-in streaming operators cannot express.
 
-Each processor orders the rows a key gets in one micro-batch by event time, so its memory
-is bounded by the batch; bound that at the source (``maxFilesPerTrigger`` or
-``maxOffsetsPerTrigger``). Input columns: the keys, ``ts_ms``, ``seq`` and what the
-processor names.
+Rows are held in state until the watermark has passed them, and are then met in the order of
+event time, so the result does not depend on how they were split into micro-batches or on their
+order of arrival within the watermark's delay. What a key holds is the rows of that delay and its
+rule's small memory, which goes when no later row can need it.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
 from pyspark import cloudpickle
@@ -24,192 +24,111 @@ from clickloom.operators.folds import (
     AnchoredFailures,
     ConsecutiveRun,
     FifoPairs,
+    FollowedBy,
     OrderCycles,
+    StrictSequence,
     TimerFailures,
 )
 from clickloom.operators.matching import LEFT, MATCHED, SIDE, UNMATCHED_LEFT, UNMATCHED_RIGHT
+from clickloom.operators.patterns import TIMED_OUT
 from clickloom.operators.ratelimit import PASSED, WARNING
 
 cloudpickle.register_pickle_by_value(sys.modules["clickloom"])
 
 LONGS = T.StructType([T.StructField("values", T.ArrayType(T.LongType()))])
+BY_SEQ, BY_TAG = "seq", "tag"
 
 
-def _in_order(rows: Iterable[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r[TS_MS], r["seq"]))
+class InEventTime(StatefulProcessor):
+    """Meets each key's rows in event time.
 
+    ``held`` is the schema of what a row keeps while it waits. A row's place among those of the
+    same time is by ``seq``, or by the higher tag and then ``seq``.
+    """
 
-class _Remembering(StatefulProcessor):
-    """Keeps a short list of longs per key."""
-
-    names: list[str] = []
-
-    def row(self, *values) -> Row:
-        return Row(**dict(zip(self.names, values)))
+    def __init__(self, held: T.StructType, ties: str = BY_SEQ):
+        self.held, self.ties = held, ties
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.memory = handle.getValueState("memory", LONGS)
-
-    def recall(self) -> list[int]:
-        return list(self.memory.get()[0]) if self.memory.exists() else []
-
-    def remember(self, values: Sequence[int]) -> None:
-        if values:
-            self.memory.update(([int(v) for v in values],))
-        elif self.memory.exists():
-            self.memory.clear()
-
-    def only_timer(self, at: int | None) -> None:
-        """Leave exactly one timer, or none."""
-        for old in list(self.handle.listTimers()):
-            if old != at:
-                self.handle.deleteTimer(old)
-        if at is not None:
-            self.handle.registerTimer(at)
-
-    def close(self) -> None:
-        pass
-
-
-class ClickCap(_Remembering):
-    """Daily cap per key: state is the day and the rows counted; past the cap one warning a day."""
-
-    def __init__(self, cap: int):
-        self.cap = cap
+        self.waiting = handle.getListState("waiting", self.held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        counts = self.recall()
-        days = dict(zip(counts[::2], counts[1::2]))
-        for row in _in_order(rows):
-            day = row["_day"]
-            days[day] = days.get(day, 0) + 1
-            if days[day] <= self.cap + 2:
-                outcome = PASSED if days[day] <= self.cap + 1 else WARNING
-                yield Row(**{k: row[k] for k in row.__fields__ if k != "_day"}, outcome=outcome)
-        newest = max(days)
-        kept = [(d, n) for d, n in days.items() if d >= newest - 1]
-        self.remember([v for pair in kept for v in pair])
-
-
-class FoldFailures(_Remembering):
-    """A failure fold (anchored or timer) kept alive between micro-batches."""
-
-    def __init__(self, rule, names: Sequence[str], timer_ms: int | None = None):
-        self.rule, self.names, self.timer_ms = rule, list(names), timer_ms
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self.rule.start(self.recall())
-        found = []
-        for row in _in_order(rows):
-            found += self.rule.step(row[TS_MS], row["seq"], row["_tag"])
-        state = self.rule.state()
-        self.remember(state)
-        if self.timer_ms is not None:
-            # One past the end: a row at the very end still belongs to the span.
-            self.only_timer(state[0] + self.timer_ms + 1 if state else None)
-        for out in found:
-            yield self.row(*key, *out)
+        new = [tuple(row[name] for name in self.held.names) for row in rows]
+        self.waiting.appendList(new)
+        at = self.held.names.index(TS_MS)
+        self.handle.registerTimer(min(row[at] for row in new))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.rule.start(self.recall())
-        found = self.rule.finish()
-        self.remember([])
-        for out in found:
-            yield self.row(*key, *out)
-
-
-class FollowedBy(_Remembering):
-    """Begin rows that wait for the first end row of their key, or for their time to run out."""
-
-    def __init__(self, within_ms: int, names: Sequence[str]):
-        self.within, self.names = within_ms, list(names)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        waiting, found = self.recall(), []
-        for row in _in_order(rows):
-            if row["_end"]:
-                found += [self._outcome(key, t, row[TS_MS]) for t in waiting]
-                waiting = []
-            if row["_begin"]:
-                waiting.append(row[TS_MS])
-        self._await(waiting)
+        now = timerValues.getCurrentWatermarkInMs()
+        names = self.held.names
+        rows = [dict(zip(names, row)) for row in self.waiting.get()] if self.waiting.exists() else []
+        due = [row for row in rows if row[TS_MS] <= now]
+        if due:
+            later = [tuple(row[n] for n in names) for row in rows if row[TS_MS] > now]
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+        due.sort(key=lambda r: (r[TS_MS], -r["_tag"] if self.ties == BY_TAG else 0, r["seq"]))
+        known = list(self.memory.get()[0]) if self.memory.exists() else []
+        found, state, deadline = self.meet(key, due, known, now)
+        if state:
+            self.memory.update(([int(v) for v in state],))
+        elif known:
+            self.memory.clear()
+        nexts = [row[TS_MS] for row in rows if row[TS_MS] > now]
+        if deadline is not None:
+            nexts.append(deadline)
+        if nexts:
+            self.handle.registerTimer(min(nexts))
         yield from found
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        watermark, waiting = timerValues.getCurrentWatermarkInMs(), self.recall()
-        self._await([t for t in waiting if t + self.within > watermark])
-        for begin in waiting:
-            if begin + self.within <= watermark:
-                yield self.row(*key, begin, None, "timeout")
+    def meet(self, key, rows: list[dict], state: list[int], now: int) -> tuple[list[Row], list[int], int | None]:
+        """Results of the rows and of what ran out by ``now``, the new state, and when to look again."""
+        raise NotImplementedError
 
-    def _await(self, waiting: list[int]) -> None:
-        self.remember(waiting)
-        self.only_timer(waiting[0] + self.within if waiting else None)
-
-    def _outcome(self, key, begin: int, end: int) -> Row:
-        if end - begin < self.within:
-            return self.row(*key, begin, end, "matched")
-        return self.row(*key, begin, None, "timeout")
+    def close(self) -> None:
+        pass
 
 
-class OrderLifecycle(_Remembering):
-    """Create and pay in any order, with event-time timers for the one that does not come."""
+class Folded(InEventTime):
+    """A fold of :mod:`clickloom.operators.folds` kept alive between micro-batches."""
 
-    def __init__(self, within_ms: int, max_early_ms: int, names: Sequence[str]):
-        self.rule, self.names = OrderCycles(within_ms, max_early_ms), list(names)
-        self.within, self.early = within_ms, max_early_ms
+    def __init__(self, rule, held: T.StructType, names: Sequence[str], ties: str):
+        super().__init__(held, ties)
+        self.rule, self.names = rule, list(names)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self.rule.start(self.recall())
+    def meet(self, key, rows, state, now):
+        self.rule.start(state)
         found = []
-        for row in _in_order(rows):
+        for row in rows:
             found += self.rule.step(row[TS_MS], row["seq"], row["_tag"])
-        state = self.rule.state()
-        self.remember(state)
-        wait = (self.within if state[0] else self.early) if state else 0
-        self.only_timer(state[1] + wait + 1 if state else None)
-        for out in found:
-            yield self.row(*key, *out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.rule.start(self.recall())
-        found = self.rule.finish()
-        self.remember([])
-        for out in found:
-            yield self.row(*key, *out)
-
+        found += self.rule.expire(now)
+        out = [Row(**dict(zip(self.names, (*key, *values)))) for values in found]
+        return out, self.rule.state(), self.rule.deadline()
 
-class OneToOne(_Remembering):
-    """First come, first served pairs of two tagged streams; timers release those that wait in vain."""
 
-    def __init__(self, before_ms: int, after_ms: int, names: Sequence[str]):
-        self.rule, self.names = FifoPairs(before_ms, after_ms), list(names)
+class ClickCap(InEventTime):
+    """Daily cap per key: state is the rows counted on each day, which goes when the watermark ends the day."""
 
-    def _await_oldest(self) -> None:
-        waiting = self.rule.waiting
-        self.remember(self.rule.state() if waiting else [])
-        patience = self.rule.patience[self.rule.side]
-        self.only_timer(waiting[0][0] + patience + 1 if waiting else None)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self.rule.start(self.recall())
-        found = []
-        for row in sorted(rows, key=lambda r: (r[TS_MS], -r["_tag"], r["seq"])):
-            found += self.rule.step(row[TS_MS], row["seq"], row["_tag"])
-        self._await_oldest()
-        for out in found:
-            yield self.row(*key, *out)
+    def __init__(self, cap: int, held: T.StructType):
+        super().__init__(held)
+        self.cap = cap
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.rule.start(self.recall())
-        limit = timerValues.getCurrentWatermarkInMs() - self.rule.patience[self.rule.side]
-        found = []
-        while self.rule.waiting and self.rule.waiting[0][0] < limit:
-            found.append(self.rule._lone(self.rule.waiting.popleft()[1]))
-        self._await_oldest()
-        for out in found:
-            yield self.row(*key, *out)
+    def meet(self, key, rows, state, now):
+        days = {end: n for end, n in zip(state[::2], state[1::2])}
+        out = []
+        for row in rows:
+            end = row["_day_end"]
+            days[end] = n = days.get(end, 0) + 1
+            if n <= self.cap + 2:
+                values = {k: v for k, v in row.items() if k != "_day_end"}
+                out.append(Row(**values, outcome=PASSED if n <= self.cap + 1 else WARNING))
+        open_days = sorted((end, n) for end, n in days.items() if end > now)
+        return out, [v for pair in open_days for v in pair], open_days[0][0] if open_days else None
 
 
 def _schema(df: DataFrame, names: Sequence[str], **added: T.DataType) -> T.StructType:
@@ -231,11 +150,23 @@ def _run(
     )
 
 
+def _fold(
+    rows: DataFrame, source: DataFrame, keys: Sequence[str], rule, ties: str, outputs: Sequence[str]
+) -> DataFrame:
+    held = _schema(rows, [TS_MS, "seq", "_tag"])
+    schema = _schema(source, keys, **{o: T.LongType() for o in outputs})
+    return _run(rows, keys, Folded(rule, held, schema.names, ties), schema)
+
+
 def stream_daily_cap(df: DataFrame, keys: Sequence[str], cap: int, zone: str = "UTC") -> DataFrame:
     """Stream form of :func:`clickloom.operators.ratelimit.daily_cap`; windows may follow on its ``ts``."""
     names = df.columns
-    rows = df.withColumn("_day", calendar_day(F.col(TS_MS), zone).cast("bigint"))
-    return _run(rows, keys, ClickCap(cap), _schema(df, names, outcome=T.StringType()), TS)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), calendar_day(F.col(TS_MS), zone) + 1)
+    midnight = F.convert_timezone(F.lit(zone), F.lit("UTC"), day.cast("timestamp_ntz"))
+    end = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), midnight)
+    rows = df.withColumn("_day_end", end)
+    held = _schema(rows, rows.columns)
+    return _run(rows, keys, ClickCap(cap, held), _schema(df, names, outcome=T.StringType()), TS)
 
 
 def stream_failures(
@@ -247,35 +178,59 @@ def stream_failures(
     rule: str = "anchored",
     inclusive: bool = False,
 ) -> DataFrame:
-    """Stream form of the failure rules: ``anchored``, ``timer`` or ``consecutive``."""
-    span, timer = millis(within), rule == "timer"
-    if rule == "consecutive":
-        rule = ConsecutiveRun(times, span, inclusive)
-    else:
-        rule = TimerFailures(times, span) if timer else AnchoredFailures(times, span)
+    """Stream form of the failure rules: ``anchored``, ``timer`` or ``consecutive``.
+
+    The anchored rule keeps its list until a success, as it must; the others forget with the watermark.
+    """
+    span = millis(within)
     rows = df.select(*keys, TS, TS_MS, "seq", fail.cast("bigint").alias("_tag"))
-    schema = _schema(df, keys, **{o: T.LongType() for o in rule.outputs})
-    return _run(rows, keys, FoldFailures(rule, schema.names, span if timer else None), schema)
+    if rule == "consecutive":
+        return _fold(rows, df, keys, ConsecutiveRun(times, span, inclusive), BY_SEQ, ConsecutiveRun.outputs)
+    kind = {"anchored": AnchoredFailures, "timer": TimerFailures}[rule]
+    return _fold(rows, df, keys, kind(times, span), BY_TAG, kind.outputs)
+
+
+def stream_sequence(
+    df: DataFrame, keys: Sequence[str], steps: Sequence[Column], within: timedelta, inclusive: bool = False
+) -> DataFrame:
+    """Stream form of :func:`clickloom.operators.patterns.strict_sequence`: first and last time of each match."""
+    met = F.lit(0).cast("bigint")
+    for k, step in enumerate(steps):
+        met = met + F.when(F.coalesce(step, F.lit(False)), 1 << k).otherwise(0)
+    rows = df.select(*keys, TS, TS_MS, "seq", met.alias("_tag"))
+    rule = StrictSequence(len(steps), millis(within) + (1 if inclusive else 0))
+    return _fold(rows, df, keys, rule, BY_SEQ, StrictSequence.outputs)
 
 
 def stream_followed_by(
     df: DataFrame, keys: Sequence[str], begin: Column, end: Column, within: timedelta
 ) -> DataFrame:
     """Stream form of :func:`clickloom.operators.patterns.followed_by`."""
-    rows = df.select(*keys, TS, TS_MS, "seq", begin.alias("_begin"), end.alias("_end"))
-    rows = rows.where(F.col("_begin") | F.col("_end"))
-    schema = _schema(df, keys, begin_ms=T.LongType(), end_ms=T.LongType(), outcome=T.StringType())
-    return _run(rows, keys, FollowedBy(millis(within), schema.names), schema)
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("bigint")
+    rows = df.select(*keys, TS, TS_MS, "seq", (flag(begin) + 2 * flag(end)).alias("_tag")).where("_tag > 0")
+    found = _fold(rows, df, keys, FollowedBy(millis(within)), BY_SEQ, FollowedBy.outputs)
+    outcome = F.when(F.col("end_ms").isNotNull(), MATCHED).otherwise(TIMED_OUT)
+    return found.select(*keys, "begin_ms", "end_ms", outcome.alias("outcome"))
 
 
 def stream_order_lifecycle(
-    df: DataFrame, order: str, create: Column, pay: Column, within: timedelta, max_early: timedelta
+    df: DataFrame,
+    order: str,
+    create: Column,
+    pay: Column,
+    within: timedelta,
+    max_early: timedelta,
+    keep: timedelta = timedelta(0),
 ) -> DataFrame:
-    """Stream form of the order lifecycle, timeouts included."""
+    """Stream form of the order lifecycle, timeouts included.
+
+    With ``keep`` an event waits longer for its counterpart than its span, so that what comes
+    too late is told apart from what never comes.
+    """
     tag = F.when(create, F.lit(1)).when(pay, F.lit(0)).cast("bigint")
     rows = df.select(order, TS, TS_MS, "seq", tag.alias("_tag")).where(F.col("_tag").isNotNull())
-    schema = _schema(df, [order], **{o: T.LongType() for o in OrderCycles.outputs})
-    found = _run(rows, [order], OrderLifecycle(millis(within), millis(max_early), schema.names), schema)
+    rule = OrderCycles(millis(within), millis(max_early), millis(keep))
+    found = _fold(rows, df, [order], rule, BY_TAG, OrderCycles.outputs)
     names = [lifecycle.PAID, lifecycle.PAID_LATE, lifecycle.NEVER_PAID, lifecycle.NEVER_CREATED]
     state = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("code") + 1).cast("int"))
     return lifecycle.with_output(found.select(order, "create_ms", "pay_ms", state.alias("result_state")))
@@ -286,8 +241,8 @@ def stream_one_to_one(
 ) -> DataFrame:
     """Stream form of one-to-one pairing, on both streams connected under a ``side`` tag."""
     rows = connected.select(on, TS, TS_MS, "seq", (F.col(SIDE) == LEFT).cast("bigint").alias("_tag"))
-    schema = _schema(connected, [on], **{o: T.LongType() for o in FifoPairs.outputs})
-    found = _run(rows, [on], OneToOne(millis(before), millis(after), schema.names), schema)
+    rule = FifoPairs(millis(before), millis(after))
+    found = _fold(rows, connected, [on], rule, BY_TAG, FifoPairs.outputs)
     names = [MATCHED, UNMATCHED_LEFT, UNMATCHED_RIGHT]
     outcome = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("code") + 1).cast("int"))
     return found.select(on, "left_seq", "right_seq", outcome.alias("outcome"))

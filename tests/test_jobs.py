@@ -9,9 +9,8 @@ from clickloom.sources import order_events, receipt_events
 from clickloom.sources.files import with_file_order
 
 PAIRS = [
-    ("6432p5tFKr", 4, "alipay"), ("6454p5tFKr", 5, "alipay"), ("6454p5tFKr", 5, "wechat"),
-    ("6454p5tFKr", 8, "alipay"), ("6454p5tFKr", 8, "wechat"), ("6485p5tFKr", 7, "alipay"),
-    ("64BPp5tFKr", 2, "alipay"), ("64w1p5tFKr", 1, "wechat"), ("64wfp5tghr", 3, "wechat"),
+    ("aa01", 11, "card"), ("aa03", 13, "card"), ("aa06", 16, "card"),
+    ("aa06", 16, "cash"), ("aa06", 17, "card"), ("aa06", 17, "cash"),
 ]
 
 
@@ -32,11 +31,12 @@ def test_empty_transaction_is_text(orders):
 def test_order_pattern(orders):
     got = jobs.order_timeout_pattern(orders)
     assert rows(got.where("outcome = 'matched'"), "order_id", "result_state") == [
-        (i, "payed") for i in (0, 1, 3, 4, 7)
+        (i, "payed") for i in (11, 16, 17, 18)
     ]
     assert rows(got.where("outcome = 'timeout'"), "order_id", "result_state") == [
-        (2, "order create time : 2021-04-12 05:14:59.0 |  order timeout : 2021-04-12 05:29:59.0"),
-        (5, "order create time : 2021-04-12 05:36:59.0 |  order timeout : 2021-04-12 05:51:59.0"),
+        (12, "order create time : 2023-11-14 22:13:30.0 |  order timeout : 2023-11-14 22:28:30.0"),
+        (13, "order create time : 2023-11-14 22:14:40.0 |  order timeout : 2023-11-14 22:29:40.0"),
+        (14, "order create time : 2023-11-14 22:13:50.0 |  order timeout : 2023-11-14 22:28:50.0"),
     ]
 
 
@@ -44,28 +44,28 @@ def test_order_pattern(orders):
 def test_order_outcomes(orders, job):
     got = job(orders)
     assert rows(got.where("output = 'main'"), "order_id", "result_state") == [
-        (i, "payed successfully") for i in (0, 1, 3, 4, 7)
+        (i, "payed successfully") for i in (11, 13, 16, 17, 18)
     ]
     assert rows(got.where("output = 'side'"), "order_id", "result_state") == [
-        (2, "payed but already timeout"),
-        (5, "payed but already timeout"),
-        (8, "payed but not found created log"),
-        (9, "payed but not found created log"),
+        (12, "payed but already timeout"),
+        (14, "payed timeout"),
+        (15, "payed but not found created log"),
     ]
 
 
 def test_interval_join(orders, receipts):
     got = jobs.tx_interval_join(orders, receipts)
     assert rows(got, "pay_tx_id", "pay_order_id", "receipt_pay_channel") == PAIRS
-    assert {r[0] for r in rows(got.select(F.col("receipt_ts_ms") - F.col("pay_ts_ms")))} == {500, 600}
+    apart = rows(got.select("pay_order_id", F.col("receipt_ts_ms") - F.col("pay_ts_ms")))
+    assert apart == [(11, 5000), (13, -3000), (16, 500), (16, 3000), (17, -1500), (17, 1000)]
 
 
 def test_reconcile(orders, receipts):
     got = jobs.tx_reconcile(orders, receipts)
     assert rows(got.where("outcome = 'matched'"), "pay_tx_id", "pay_order_id", "receipt_pay_channel") == PAIRS
-    assert rows(got.where("outcome = 'unmatched_left'"), "pay_order_id") == [(0,), (9,)]
+    assert rows(got.where("outcome = 'unmatched_left'"), "pay_order_id") == [(12,), (15,), (18,)]
     assert rows(got.where("outcome = 'unmatched_right'"), "receipt_tx_id", "receipt_pay_channel") == [
-        ("64swp5tqtr", "wechat"), ("wdrtp5tFKr", "alipay")
+        ("aa02", "cash"), ("aa05", "cash"), ("zz99", "card")
     ]
 
 
@@ -76,10 +76,10 @@ def test_one_to_one(orders, receipts):
         .join(orders.select(F.col("seq").alias("left_seq"), "order_id"), "left_seq")
         .join(receipts.select(F.col("seq").alias("right_seq"), "pay_channel"), "right_seq")
     )
-    assert rows(pairs, "order_id", "pay_channel") == [
-        (1, "wechat"), (2, "alipay"), (3, "wechat"), (4, "alipay"), (5, "wechat"), (7, "alipay"), (8, "alipay")
+    assert rows(pairs, "order_id", "pay_channel") == [(11, "card"), (13, "card"), (16, "card"), (17, "cash")]
+    assert rows(found.where("outcome <> 'matched'").groupBy("outcome").count()) == [
+        ("unmatched_left", 3), ("unmatched_right", 3)
     ]
-    assert found.groupBy("outcome").count().where("outcome <> 'matched'").count() == 2
 
 
 def test_row_order_does_not_matter(orders, receipts):

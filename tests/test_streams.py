@@ -218,6 +218,92 @@ def test_order_lifecycle(spark, feed):
     ]
 
 
+MINUTE = 60_000
+
+
+def out_of_order(f):
+    """The feed in batches against its watermark of 15 minutes; the last batch closes it."""
+    return f.stream(15 * MIN)
+
+
+def test_a_pay_before_its_create_in_a_later_batch(spark, feed):
+    f = feed(ORDER, [[(1, 20 * MINUTE, 1, "create")], [(2, 15 * MINUTE, 1, "pay")], [(9, FAR, 0, "pay")]])
+    got = append_files(processors.stream_followed_by(out_of_order(f), ["order_id"], *kinds(), 15 * MIN), spark, "t")
+    assert rows(got, "order_id", "begin_ms", "outcome") == [(1, T0 + 20 * MINUTE, "timeout")]
+
+
+def test_a_success_between_two_failures_in_a_later_batch(spark, feed):
+    batches = [
+        [(1, 0, 1, "fail"), (2, 2 * MINUTE, 1, "fail")],
+        [(3, MINUTE, 1, "ok"), (4, 3 * MINUTE, 1, "fail")],
+        [(9, FAR, 0, "ok")],
+    ]
+    for rule, expected in (
+        ("anchored", [(1, T0 + 2 * MINUTE, T0 + 3 * MINUTE)]),
+        ("timer", [(1, T0 + 2 * MINUTE, T0 + 3 * MINUTE, 2)]),
+        ("consecutive", [(1, T0 + 2 * MINUTE, T0 + 3 * MINUTE)]),
+    ):
+        f = feed(LOGIN, batches, rule)
+        found = processors.stream_failures(out_of_order(f), ["user_id"], fail(), 2, 10 * MIN, rule)
+        assert rows(append_files(found, spark, "t")) == expected
+
+
+def test_an_earlier_pay_in_a_later_batch(spark, feed):
+    batches = [
+        [(1, 30 * MINUTE, 1, "create"), (2, 46 * MINUTE, 1, "pay")],
+        [(3, 32 * MINUTE, 1, "pay")],
+        [(9, FAR, 0, "pay")],
+    ]
+    f = feed(ORDER, batches)
+    found = processors.stream_order_lifecycle(out_of_order(f), "order_id", *kinds(), 15 * MIN, 15 * MIN)
+    got = rows(append_files(found, spark, "t"), "order_id", "pay_ms", "result_state")
+    assert got == [
+        (1, T0 + 32 * MINUTE, "payed successfully"),
+        (1, T0 + 46 * MINUTE, "payed but not found created log"),
+    ]
+
+
+def test_a_nearer_partner_in_a_later_batch(spark, feed):
+    batches = [
+        [(1, 10 * MINUTE, "x", "left"), (2, 12 * MINUTE, "x", "right")],
+        [(3, 11 * MINUTE, "x", "right")],
+        [(9, FAR, "y", "left")],
+    ]
+    f = feed(PAY, batches)
+    got = append_files(processors.stream_one_to_one(out_of_order(f), "tx_id", 3 * MIN, 5 * MIN), spark, "t")
+    assert rows(got.where("outcome = 'matched'"), "left_seq", "right_seq") == [(1, 3)]
+    assert rows(got.where("outcome <> 'matched'"), "right_seq") == [(2,)]
+
+
+def test_daily_cap_on_three_days_with_late_rows(spark, feed):
+    day = 86_400_000
+    batches = [
+        [(1, 0, 1, "ad"), (2, 1000, 1, "ad"), (3, 2000, 1, "ad")],
+        [(4, 2 * day, 1, "ad")],
+        [(5, 3000, 1, "ad"), (6, 4000, 1, "ad")],
+        [(9, 30 * day, 0, "ad")],
+    ]
+    f = feed(VISIT, batches)
+    rows_in = f.stream(D(days=5)).select("seq", "ts", "ts_ms", "user_id", "behavior")
+    got = append_files(processors.stream_daily_cap(rows_in, ["user_id", "behavior"], 1), spark, "t")
+    assert rows(got, "seq", "outcome") == [(1, "passed"), (2, "passed"), (3, "warning"), (4, "passed")]
+
+
+def test_strict_sequence(spark, feed):
+    f = feed(LOGIN, logins())
+    steps = [fail(), fail(), F.col("state") == "ok"]
+    got = append_files(processors.stream_sequence(f.stream(), ["user_id"], steps, 9 * S), spark, "t")
+    expected = patterns.strict_sequence(f.table(), ["user_id"], "seq", steps, 9 * S)
+    assert rows(got) == rows(expected, "user_id", "first_ts_ms", "last_ts_ms")
+    assert got.count()
+
+
+def test_chained_panes(spark, feed):
+    f = feed(VISIT, visits())
+    got = append_files(windowed_count(f.stream(), ["behavior"], 20 * S, 5 * S, chained=True), spark, "t")
+    assert before_close(got) == before_close(windowed_count(f.table(), ["behavior"], 20 * S, 5 * S))
+
+
 PAY = [long("seq"), long("time"), text("tx_id"), text("side")]
 
 
