@@ -4,8 +4,8 @@ A fold holds a small state and meets the rows of its key in order. Spark shuffle
 sorts the rows; the Python side walks each partition once, batch by batch, and keeps
 only the current state, so no group is ever held whole. Before that, keys are cut where a
 fold starts afresh, by window functions that run per time slice: failure rules between
-successes (the timer rule also at pauses), pairing at pauses. Order cycles drop the rows that
-cannot change anything.
+successes (the timer rule also at pauses), pairing at pauses. Order cycles are folded per time
+slice for each state that a slice may begin in, and the slices' results are chained per key.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from clickloom.functions.time import TS_MS, millis
 from clickloom.operators import lifecycle
-from clickloom.operators.hotkeys import WIDTH, running, with_preceding
+from clickloom.operators.hotkeys import SLICE, WIDTH, cut_by_time, running, with_preceding
 from clickloom.operators.matching import (
     LEFT,
     MATCHED,
@@ -324,8 +324,97 @@ class OrderCycles:
         return [(self.NEVER_PAID, since, None) if kind else (self.NEVER_CREATED, None, since)]
 
 
-def _walker(make: Callable, keys: int, schema: pa.Schema) -> Callable:
-    """The function that folds one sorted partition. Columns: keys, time, seq, tag."""
+class SliceCycles:
+    """:class:`OrderCycles` over one time slice of a key, for each state in which the slice may begin.
+
+    Beginnings: nothing waits; a create waits; a pay waits that the first create finds in time; a
+    pay waits that it finds too late. Since when the old event waits is not known here, so a
+    beginning is only resolved by the time of its first unlike row. Rows come out as (beginning,
+    kind, code, create, pay): of kind ``RESULT``, or one ``SUMMARY`` each with code = the tag that
+    waits at the end or null, create = its time, or null if the old event still waits, pay = the
+    resolving time.
+    """
+
+    outputs = ("beginning", "kind", "code", "create_ms", "pay_ms")
+    NOTHING, CREATE, PAY_IN_TIME, PAY_LATE = range(4)
+    RESULT, SUMMARY = 0, 1
+
+    def __init__(self, within_ms: int, max_early_ms: int | None):
+        self.folds = [OrderCycles(within_ms, max_early_ms) for _ in range(4)]
+
+    def start(self, state: list[int]) -> None:
+        self.resolved: list[int | None] = [0, None, None, None]
+        for fold in self.folds:
+            fold.start([])
+
+    def step(self, ts: int, seq: int, tag: int) -> list[tuple]:
+        out = []
+        for beginning, fold in enumerate(self.folds):
+            if self.resolved[beginning] is None:
+                old = 1 if beginning == self.CREATE else 0
+                if tag != old:
+                    self.resolved[beginning] = ts
+                    if beginning == self.PAY_LATE:
+                        fold.waiting = (tag, ts)
+                continue
+            out += [(beginning, self.RESULT, *found) for found in fold.step(ts, seq, tag)]
+        return out
+
+    def finish(self) -> list[tuple]:
+        out = []
+        for beginning, fold in enumerate(self.folds):
+            old = beginning != self.NOTHING and self.resolved[beginning] is None
+            tag, since = (None, None) if old or not fold.waiting else fold.waiting
+            if old:
+                tag = 1 if beginning == self.CREATE else 0
+            out.append((beginning, self.SUMMARY, tag, since, self.resolved[beginning]))
+        return out
+
+
+class ChainedCycles:
+    """The slices of a key in turn: from the summaries, which beginning was true, and what crosses slices.
+
+    Tags are beginnings in order; a step gets (slice, beginning, code, create, pay) of a summary.
+    Rows come out as (slice, beginning, code, create, pay): slice null for results that cross slices,
+    code null for the true beginning of a slice.
+    """
+
+    outputs = ("slice", "beginning", "code", "create_ms", "pay_ms")
+
+    def __init__(self, within_ms: int, max_early_ms: int | None):
+        self.fold = OrderCycles(within_ms, max_early_ms)
+
+    def start(self) -> None:
+        self.fold.start([])
+        self.held: dict[int, tuple] = {}
+
+    def step(self, number: int, beginning: int, code: int | None, create: int | None, pay: int | None) -> list[tuple]:
+        self.held[beginning] = (code, create, pay)
+        return self._met(number) if len(self.held) == 4 else []
+
+    def _met(self, number: int) -> list[tuple]:
+        held, self.held = self.held, {}
+        true, out = SliceCycles.NOTHING, []
+        if self.fold.waiting:
+            kind, _ = self.fold.waiting
+            true = SliceCycles.CREATE if kind else SliceCycles.PAY_IN_TIME
+            resolved = held[true][2]
+            if resolved is not None:
+                found = self.fold.step(resolved, 0, 1 - kind)
+                if self.fold.waiting:
+                    true = SliceCycles.PAY_LATE
+                out += [(None, None, *row) for row in found]
+        tag, since, _ = held[true]
+        if since is not None or tag is None:
+            self.fold.waiting = () if tag is None else (tag, since)
+        return [*out, (number, true, None, None, None)]
+
+    def finish(self) -> list[tuple]:
+        return [(None, None, *row) for row in self.fold.finish()]
+
+
+def _walker(make: Callable, keys: int, schema: pa.Schema, started: bool = True) -> Callable:
+    """The function that folds one sorted partition. Columns: the keys, then what a step takes."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold, key = make(), None
@@ -337,7 +426,7 @@ def _walker(make: Callable, keys: int, schema: pa.Schema) -> Callable:
                     if key is not None:
                         rows.extend((*key, *out) for out in fold.finish())
                     key = found
-                    fold.start([])
+                    fold.start(*([[]] if started else []))
                 rows.extend((*key, *out) for out in fold.step(*event))
             if rows:
                 yield _batch(rows, schema)
@@ -492,22 +581,32 @@ def order_cycles(
 ) -> DataFrame:
     """Every create/pay cycle of each order with its outcome, for orders with repeated events.
 
-    In a run of rows of one kind only the first two can change the outcome, so the others are
-    dropped before the fold. What is left of one order is folded by one task.
+    Each (order, time slice) is folded by itself, once for each state it may begin in; the slices'
+    short summaries are then chained per order, which tells the true states.
     """
     tag = F.when(create, F.lit(1)).when(pay, F.lit(0)).cast("bigint")
-    rows = df.select(order, TS_MS, seq, tag.alias(TAG)).where(F.col(TAG).isNotNull())
+    rows = df.select(order, TS_MS, seq, tag.alias(TAG)).where(F.col(TAG).isNotNull() & F.col(TS_MS).isNotNull())
     span, early = millis(within), None if max_early is None else millis(max_early)
-    # Creates come before pays at the same time, as in the fold.
-    rows = rows.withColumn("_kind", 1 - F.col(TAG))
-
-    def look_back(spec):
-        return {"_one": F.lag(TAG).over(spec), "_two": F.lag(TAG, 2).over(spec)}
-
-    rows = with_preceding(rows, [order], [TS_MS, "_kind", seq], 2, look_back, width)
-    third = F.coalesce((F.col("_one") == F.col(TAG)) & (F.col("_two") == F.col(TAG)), F.lit(False))
-    rows = rows.where(~third).select(order, TS_MS, seq, TAG)
-    found = ordered_fold(rows, [order], seq, lambda: OrderCycles(span, early), OrderCycles.outputs)
+    sliced = cut_by_time(rows, [order], TS_MS, width)
+    folded = ordered_fold(sliced.df, sliced.group, seq, lambda: SliceCycles(span, early), SliceCycles.outputs)
+    summaries = folded.where(F.col("kind") == SliceCycles.SUMMARY).drop("kind")
+    schema = T.StructType([rows.schema[order]] + [T.StructField(o, T.LongType()) for o in ChainedCycles.outputs])
+    by_slice = [order, SLICE, "beginning"]
+    clustered = summaries.repartition(order).sortWithinPartitions(*by_slice).select(*by_slice, *OrderCycles.outputs)
+    chained = clustered.mapInArrow(
+        _walker(lambda: ChainedCycles(span, early), 1, to_arrow_schema(schema), started=False), schema
+    )
+    true = chained.where(F.col("slice").isNotNull()).select(
+        F.col(order).alias("_order"), F.col("slice").alias("_number"), F.col("beginning").alias("_true")
+    )
+    results = folded.where(F.col("kind") == SliceCycles.RESULT)
+    same = (
+        results[order].eqNullSafe(true["_order"])
+        & (results[SLICE] == true["_number"])
+        & (results["beginning"] == true["_true"])
+    )
+    inside = results.join(true, same).select(order, *OrderCycles.outputs)
+    found = inside.unionByName(chained.where(F.col("slice").isNull()).select(order, *OrderCycles.outputs))
     names = [lifecycle.PAID, lifecycle.PAID_LATE, lifecycle.NEVER_PAID, lifecycle.NEVER_CREATED]
     states = found.select(order, "create_ms", "pay_ms", _named("code", names).alias("result_state"))
     return lifecycle.with_output(states)

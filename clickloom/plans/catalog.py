@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from clickloom.functions.time import (
     next_midnight_ms,
 )
 from clickloom.operators import matching, patterns
+from clickloom.operators.topn import descending
 from clickloom.operators.windows import windowed_count
 from clickloom.plans import frames, jobs, sql
 from clickloom.session import shared_folder, stateful_session
@@ -276,6 +277,42 @@ def delimited_lines(spark, sf):
     return files.split_line(rows.select(line.alias("value")), schemas.ORDER_EVENT)
 
 
+def _as_file(spark, name, *columns):
+    """Rows as comma-separated lines in the shared folder, for the delimited readers."""
+
+    def write(rows: DataFrame) -> str:
+        path = shared_folder(spark, name)
+        rows.select(F.concat_ws(",", *columns).alias("value")).write.text(path)
+        return path
+
+    return write
+
+
+@query
+def order_file(spark, sf):
+    tx = F.when(F.col("event_type") == "purchase", F.col("seq").cast("string")).otherwise("")
+    write = _as_file(spark, "order_file", F.col("user_id").cast("string"), "event_type", tx, F.col(TS_MS).cast("string"))
+    rows = files.order_events(spark, write(frames.events(spark, sf)))
+    return rows.select("order_id", "event_type", "tx_id", TS_MS)
+
+
+@query
+def receipt_file(spark, sf):
+    write = _as_file(spark, "receipt_file", F.col("seq").cast("string"), "event_type", F.col(TS_MS).cast("string"))
+    paid = frames.events(spark, sf).where(F.col("event_type") == "purchase")
+    return files.receipt_events(spark, write(paid)).select("tx_id", "pay_channel", TS_MS)
+
+
+@query
+def hot_items_descending(spark, sf):
+    """The items of most views, in falling order; a report of the first fifty."""
+    views = frames.behavior(frames.events(spark, sf)).where(F.col("behavior") == "view")
+    counts = views.groupBy("item_id").agg(F.count(F.lit(1)).alias("cnt"))
+    first = descending(counts, "cnt", "item_id").limit(50)
+    place = F.row_number().over(Window.orderBy(F.desc("cnt"), "item_id")).cast("bigint")
+    return first.withColumn("place", place)
+
+
 @query
 def time_texts(spark, sf):
     rows = frames.events(spark, sf)

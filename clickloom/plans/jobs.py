@@ -216,12 +216,29 @@ def _failed(fail: str):
     return F.coalesce(F.col("login_state") == fail, F.lit(False))
 
 
+def span_text(span: timedelta) -> str:
+    """A span in its largest whole unit, as in ``1min`` or ``10s``."""
+    for unit, name in ((timedelta(days=1), "d"), (timedelta(hours=1), "h"), (MINUTE, "min"), (SECOND, "s")):
+        if span >= unit and not span % unit:
+            return f"{span // unit}{name}"
+    return f"{span // timedelta(milliseconds=1)}ms"
+
+
+# The words of the warnings.
+def failure_text(times: int, within: timedelta) -> str:
+    return f"login fail {times} times in {span_text(within)}"
+
+
+def pattern_text(times: int, within: timedelta) -> str:
+    return f"login fail in {span_text(within)} for {times} times."
+
+
 def login_fail_anchored(
     logins: DataFrame, times: int = 3, within: timedelta = MINUTE, fail: str = "fail"
 ) -> DataFrame:
     """Alerts raised by each failure that completes a series since the oldest kept failure."""
     found = folds.anchored_failures(logins, ["user_id"], "seq", _failed(fail), times, within)
-    return _warning(found, F.lit(f"login fail {times} times in 1min"))
+    return _warning(found, F.lit(failure_text(times, within)))
 
 
 def login_fail_sliding(
@@ -229,7 +246,7 @@ def login_fail_sliding(
 ) -> DataFrame:
     """Alerts for every ``times`` adjacent failures within the span, ends included."""
     found = patterns.consecutive(logins, ["user_id"], "seq", _failed(fail), times, within, True)
-    return _warning(found, F.lit(f"login fail {times} times in 1min"))
+    return _warning(found, F.lit(failure_text(times, within)))
 
 
 def login_fail_timer(
@@ -237,6 +254,7 @@ def login_fail_timer(
 ) -> DataFrame:
     """One alert at the end of a span that a first failure opened and no success ended."""
     found = folds.timer_failures(logins, ["user_id"], "seq", _failed(fail), times, within)
+    # Fixed value: the text says 2s whatever the span.
     text = F.concat(F.lit("login fail in 2s for "), F.col("fails").cast("string"), F.lit("times."))
     return _warning(found, text)
 
@@ -246,7 +264,7 @@ def login_fail_pattern(
 ) -> DataFrame:
     """Overlapping runs of adjacent failures within a span."""
     found = patterns.consecutive(logins, ["user_id"], "seq", _failed(fail), times, within)
-    return _warning(found, F.lit(f"login fail in 10s for {times} times."))
+    return _warning(found, F.lit(pattern_text(times, within)))
 
 
 def login_fail_sequence(
@@ -255,7 +273,7 @@ def login_fail_sequence(
     """Adjacent rows whose login states follow ``steps`` exactly."""
     states = [F.coalesce(F.col("login_state") == s, F.lit(False)) for s in steps]
     found = patterns.strict_sequence(logins, ["user_id"], "seq", states, within)
-    return _warning(found, F.lit(f"login fail in 10s for {len(steps)} times."))
+    return _warning(found, F.lit(pattern_text(len(steps), within)))
 
 
 # --- orders and payments ---------------------------------------------------------------

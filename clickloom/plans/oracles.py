@@ -71,7 +71,7 @@ f AS (SELECT *, row_number() OVER (PARTITION BY user_id, island ORDER BY ms, seq
 
 def _anchored(times: int, within: int, text: bool = True) -> str:
     fresh = f"len(kept) + 1 >= {times} AND f.ms - kept[1] <= {within}"
-    message = f", 'login fail {times} times in 1min' AS warning_msg" if text else ""
+    message = f", 'login fail {times} times in {within // DAY}d' AS warning_msg" if text else ""
     first, last = ("first_fail_time", "last_fail_time") if text else ("first_ts_ms", "last_ts_ms")
     return f"""WITH RECURSIVE {ISLANDS},
     fold(user_id, island, i, kept, first, last) AS (
@@ -292,8 +292,8 @@ SQL: dict[str, str] = {
     "ad_blacklist": f"""{CAPPED} SELECT user_id, event_type AS ad_id, 'click over 1times.' AS warning_msg
         FROM c WHERE nth = 3""",
     "ad_by_province": f"{CAPPED} SELECT *, {STAMP} || '.0' AS window_end FROM ({PROVINCES})",
-    "login_fail_sliding": _runs(2, 24 * HOUR, "<=", "login fail 2 times in 1min"),
-    "login_fail_pattern": _runs(3, 48 * HOUR, "<", "login fail in 10s for 3 times."),
+    "login_fail_sliding": _runs(2, 24 * HOUR, "<=", "login fail 2 times in 1d"),
+    "login_fail_pattern": _runs(3, 48 * HOUR, "<", "login fail in 2d for 3 times."),
     "login_fail_anchored": _anchored(2, 24 * HOUR),
     "login_fail_anchored_three": _anchored(3, 48 * HOUR),
     "login_fail_timer": _timer(2, 24 * HOUR),
@@ -302,7 +302,7 @@ SQL: dict[str, str] = {
         q AS (SELECT *, lag(event_type, 2) OVER w AS a, lag(event_type, 1) OVER w AS b, lag(ms, 2) OVER w AS first
               FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ms, seq))
         SELECT user_id, first AS first_fail_time, ms AS last_fail_time,
-               'login fail in 10s for 3 times.' AS warning_msg
+               'login fail in 2d for 3 times.' AS warning_msg
         FROM q WHERE a = 'error' AND b = 'error' AND event_type = 'view' AND ms - first < {48 * HOUR}""",
     "order_timeout_pattern": _order_pattern(),
     "order_timeout": _shop(365 * DAY, None),
@@ -319,6 +319,13 @@ SQL: dict[str, str] = {
         ms AS "timestamp" FROM e""",
     "delimited_lines": f"""WITH {E} SELECT user_id AS order_id, event_type,
         CASE WHEN event_type = 'purchase' THEN CAST(seq AS VARCHAR) ELSE '' END AS tx_id, ms AS "timestamp" FROM e""",
+    "order_file": f"""WITH {E} SELECT user_id AS order_id, event_type,
+        CASE WHEN event_type = 'purchase' THEN CAST(seq AS VARCHAR) ELSE '' END AS tx_id, ms AS ts_ms FROM e""",
+    "receipt_file": f"""WITH {E} SELECT CAST(seq AS VARCHAR) AS tx_id, event_type AS pay_channel, ms AS ts_ms
+        FROM e WHERE event_type = 'purchase'""",
+    "hot_items_descending": f"""WITH {E} SELECT item_id, count(*) AS cnt,
+        row_number() OVER (ORDER BY count(*) DESC, item_id) AS place FROM e WHERE event_type = 'view'
+        GROUP BY item_id QUALIFY place <= 50""",
     "time_texts": f"""WITH {E} SELECT seq,
         strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS formatted,
         strftime(make_timestamp(ms * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS shifted,

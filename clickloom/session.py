@@ -31,12 +31,12 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> Sp
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under the folder that every executor shares.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in local
-    tests, is a temporary folder set in its place.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and all work is
+    done in this one process, as in tests, is a temporary folder set in its place.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root and context.master.startswith("local"):
+    if not root and context.master.split("[")[0] == "local":
         context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
         root = context.getCheckpointDir()
     if not root:

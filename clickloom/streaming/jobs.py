@@ -103,9 +103,9 @@ class LateRouter:
     def _seen_before(self, batch_id: int) -> int | None:
         if batch_id == 0:
             return None
-        path, schema = f"{self.folder}/seen", T.StructType([T.StructField("latest", T.LongType())])
-        earlier = self.spark.read.schema(schema).parquet(path).where(F.col(BATCH) < batch_id)
-        return earlier.agg(F.max("latest")).first()[0]
+        schema = T.StructType([T.StructField("latest", T.LongType())])
+        row = self.spark.read.schema(schema).parquet(f"{self.folder}/seen/{BATCH}={batch_id - 1}").first()
+        return row[0]
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         before = self._seen_before(batch_id)
@@ -116,7 +116,7 @@ class LateRouter:
             rows = rows.withColumn(lateness.WATERMARK, F.greatest(lateness.WATERMARK, carried))
         tagged = lateness.tag_late(rows, self.size, self.slide, self.lateness)
         tagged.write.mode("overwrite").parquet(f"{self.folder}/rows/{BATCH}={batch_id}")
-        latest = batch.agg(F.max(TS_MS).alias("latest"))
+        latest = batch.agg(F.greatest(F.max(TS_MS), F.lit(before).cast("bigint")).alias("latest"))
         latest.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/seen/{BATCH}={batch_id}")
         batch.unpersist()
 

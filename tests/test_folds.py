@@ -154,9 +154,10 @@ def cycles(events, within, early):
     return sorted(out)
 
 
-@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=25)])
-def test_cycles_against_replay(spark, width):
-    r = random.Random(11)
+@pytest.mark.parametrize("seed", [11, 12])
+@pytest.mark.parametrize("width", [D(days=1), D(milliseconds=25), D(milliseconds=4)])
+def test_cycles_against_replay(spark, width, seed):
+    r = random.Random(seed)
     events = [(1 if r.random() < 0.6 else r.randrange(2, 9), r.choice(["create", "pay"]), t * 3) for t in range(200)]
     df = frame(spark, [(*e, i) for i, e in enumerate(events)], "order_id long, kind string, ts_ms long, seq long")
     got = folds.order_cycles(
