@@ -1,6 +1,6 @@
 from clickloom.sources.files import order_events, read_table, receipt_events, replay
 from clickloom.sources.kafka import decode_json, encode_json, kafka_options, read_kafka, write_kafka
-from clickloom.sources.sinks import UpsertLog, append_files, by_outcome, console, each_batch, run_to_end
+from clickloom.sources.sinks import UpsertLog, append_files, by_outcome, console, each_batch, run_every, run_to_end
 
 __all__ = [
     "UpsertLog",
@@ -16,6 +16,7 @@ __all__ = [
     "read_table",
     "receipt_events",
     "replay",
+    "run_every",
     "run_to_end",
     "write_kafka",
 ]

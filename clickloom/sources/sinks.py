@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom.session import shared_folder
 
@@ -26,6 +27,12 @@ def run_to_end(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def run_every(writer: DataStreamWriter, checkpoint: str, every: timedelta) -> StreamingQuery:
+    """Start a stream that takes what has come, again and again, until it is stopped."""
+    trigger = f"{every // timedelta(milliseconds=1)} milliseconds"
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start()
+
+
 def append_files(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """Run an appending stream to its end into parquet in the shared folder, and read that."""
     folder = shared_folder(spark, name)

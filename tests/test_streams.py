@@ -14,7 +14,7 @@ from clickloom.operators import folds, lateness, matching, patterns, ratelimit
 from clickloom.operators.distinct import distinct_exact
 from clickloom.operators.windows import labelled_total, salted_count, windowed_count
 from clickloom.plans import frames, jobs
-from clickloom.sources import append_files, by_outcome, console, order_events, replay, run_to_end
+from clickloom.sources import append_files, by_outcome, console, order_events, replay, run_every, run_to_end
 from clickloom.sources.sinks import UpsertLog
 from clickloom.streaming import jobs as stream_jobs
 from clickloom.streaming import processors
@@ -365,9 +365,25 @@ def test_tagged_rows_go_to_their_folders(spark, feed, tmp_path):
     assert got.count() == f.table().count()
 
 
-def test_console_label(feed):
+def test_console_label(spark, feed, tmp_path):
+    """The console prints every micro-batch of the stream under its label."""
     f = feed(VISIT, visits())
-    assert console(f.stream(), "label") is not None
+    writer = console(f.stream(), "label").option("checkpointLocation", str(tmp_path / "check"))
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.name == "label" and query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) == f.table().count()
+
+
+def test_a_trigger_by_the_clock_gives_the_same(spark, feed, tmp_path):
+    f = feed(VISIT, visits())
+    counts = windowed_count(f.stream(), ["behavior"], 10 * S)
+    writer = counts.writeStream.format("parquet").option("path", str(tmp_path / "rows"))
+    query = run_every(writer, str(tmp_path / "check"), D(milliseconds=200))
+    query.processAllAvailable()
+    query.stop()
+    got = spark.read.schema(counts.schema).parquet(str(tmp_path / "rows"))
+    assert before_close(got) == before_close(windowed_count(f.table(), ["behavior"], 10 * S))
 
 
 def test_delimited_stream(spark, order_files):
