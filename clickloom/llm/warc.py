@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.storage import shared_folder, stored
@@ -138,18 +138,41 @@ def _system(folder: str):  # type: ignore[no-untyped-def]
     return fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
 
 
-def with_revisits(pages: DataFrame, payload: str = "html") -> DataFrame:
-    """``page, url, payload, payload_digest, revisit, response`` (the response's id) of each row."""
-    content = F.coalesce(F.col(payload), F.lit("")).cast("binary")
+def _packed(pages: DataFrame, content: Column) -> DataFrame:
+    """``page, url, payload_digest`` and the compressed ``payload``, which is what is shuffled."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                raw = part.column("payload").to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("page"),
+                        part.column("url"),
+                        pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()),
+                        pa.array([press.compress(r) for r in raw], pa.binary()),
+                    ],
+                    names=["page", "url", "payload_digest", "payload"],
+                )
+
     rows = pages.select(
-        F.col("page_id").alias("page"),
-        F.col("url").cast("string").alias("url"),
-        content.alias("payload"),
-        F.sha2(content, 256).alias("payload_digest"),
+        F.col("page_id").cast("long").alias("page"), F.col("url").cast("string").alias("url"), content.alias("payload")
     )
+    return rows.mapInArrow(pack, "page long, url string, payload_digest string, payload binary")
+
+
+def with_revisits(pages: DataFrame, payload: str = "html") -> DataFrame:
+    """``page, url, payload`` (compressed), ``payload_digest, revisit, response`` (the response's id) of each row."""
+    content = F.coalesce(F.col(payload), F.lit("")).cast("binary")
+    rows = _packed(pages, content)
     order = F.struct(F.col("page").isNull().alias("none"), F.col("page").alias("page"))
     first = stored(
-        rows.where(F.octet_length("payload") >= LEAST)
+        pages.where(F.octet_length(content) >= LEAST)
+        .select(F.col("page_id").cast("long").alias("page"), F.sha2(content, 256).alias("payload_digest"))
         .groupBy("payload_digest")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
@@ -170,9 +193,11 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
     """Write each row of ``with_revisits`` as a record; ``archive`` and ``records`` of each whole-file gzip stream."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         system, root = _system(folder)
         system.create_dir(root, recursive=True)
-        out = None
+        inflate, out = zstandard.ZstdDecompressor(), None
 
         def closed() -> pa.RecordBatch:
             nonlocal out
@@ -185,7 +210,8 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             columns = [batch.column(c) for c in ("page", "url", "payload", "payload_digest", "revisit", "response")]
             for row in range(batch.num_rows):
-                page, url, content, digest, revisit, response = (c[row].as_py() for c in columns)
+                page, url, packed, digest, revisit, response = (c[row].as_py() for c in columns)
+                content = inflate.decompress(packed)
                 body = b"" if revisit else content
                 record = record_head("revisit" if revisit else "response", page, url, digest, len(content), len(body), response) + body + b"\r\n\r\n"
                 if out is None:
