@@ -172,7 +172,7 @@ _models: dict[str, PieceModel] = {}
 
 
 def piece_model(path: str) -> PieceModel:
-    """One model, and one cache, for each Python worker."""
+    """One model, and one cache, for a task; for the worker, where it has this package itself."""
     if path not in _models:
         _models[path] = PieceModel(path)
     return _models[path]
