@@ -482,23 +482,25 @@ def failure_pieces(
     """
     order = [TS_MS, seq]
     rows = df.select(*keys, TS_MS, seq, fail.cast("bigint").alias(TAG))
-
-    def look_back(spec):
-        return {"_tag_before": F.lag(TAG).over(spec), "_time_before": F.lag(TS_MS).over(spec)}
-
-    rows = with_preceding(rows, keys, order, 1, look_back, width)
-    fresh = F.col("_tag_before") == 0
-    if pause_ms is not None:
-        fresh = fresh | (F.col(TS_MS) - F.col("_time_before") > pause_ms)
-    # A failure-free stretch has nothing to fold: only a non-failure that ends a run stays.
-    starts = F.coalesce(fresh, F.lit(False)).cast("bigint")
-    pieces = running(rows, keys, order, starts, "_piece", F.sum, width)
-    pieces = pieces.where((F.col(TAG) == 1) | (F.col("_tag_before") == 1)).drop("_tag_before", "_time_before")
-    if times < 2:
-        return pieces
-    counted = pieces.groupBy(*keys, "_piece").agg(F.sum(TAG).alias("_fails")).where(F.col("_fails") >= times)
-    same = [pieces[k].eqNullSafe(counted[k]) for k in (*keys, "_piece")]
-    return pieces.join(counted, same, "left_semi")
+    ended = 1 - F.col(TAG)
+    if pause_ms is None:
+        # The row that ends a run still belongs to it.
+        pieces = running(rows, keys, order, ended, "_ended", F.sum, width)
+        pieces = pieces.withColumn("_piece", F.col("_ended") - ended).drop("_ended")
+    else:
+
+        def look_back(spec):
+            return {"_tag_before": F.lag(TAG).over(spec), "_time_before": F.lag(TS_MS).over(spec)}
+
+        rows = with_preceding(rows, keys, order, 1, look_back, width)
+        fresh = (F.col("_tag_before") == 0) | (F.col(TS_MS) - F.col("_time_before") > pause_ms)
+        starts = F.coalesce(fresh, F.lit(False)).cast("bigint")
+        # A non-failure after a non-failure ends nothing.
+        pieces = running(rows, keys, order, starts, "_piece", F.sum, width)
+        pieces = pieces.where((F.col(TAG) == 1) | (F.col("_tag_before") == 1)).drop("_tag_before", "_time_before")
+    # The fold needs a piece's rows together anyway, so counting them there moves nothing.
+    fails = F.sum(TAG).over(Window.partitionBy(*keys, "_piece"))
+    return pieces.withColumn("_fails", fails).where(F.col("_fails") >= times).drop("_fails")
 
 
 def anchored_failures(
