@@ -31,7 +31,7 @@ END = 1
 #: A piece of at most a sixteenth of a sequence, or one that wastes at most a fiftieth of it, is left whole.
 SMALL, WASTE = 16, 50
 #: Pieces that one (class, shard) numbers; a bound of a task's sort, not of the data.
-SHARD_ROWS = 50_000
+SHARD_ROWS = 4_096
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -127,7 +127,7 @@ _tokenizers: dict[str, WordTokenizer] = {}
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer, and one cache, for each Python worker."""
+    """One tokenizer, and one cache, for a task; for the worker, where it has this package itself."""
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
     return _tokenizers[path]
