@@ -47,3 +47,35 @@ def documents(spark, texts, langs=None, ids=None):
 
 def by_id(frame):
     return {r["doc_id"]: r for r in frame.collect()}
+
+
+def joined(pairs):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: root(x) for x in list(parent)}
+
+
+def shingles(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def near(texts):
+    sets = [shingles(t) for t in texts]
+    pairs = [(k, k) for k in range(len(sets))]
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * len(sets[a] | sets[b]):
+                pairs.append((a, b))
+    return sets, joined(pairs)

@@ -6,33 +6,19 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_helpers import AWKWARD, WORD, by_id, documents, edit, prose
+from llm_helpers import AWKWARD, WORD, by_id, documents, edit, joined, near, prose
 
 from clickloom.llm import fingerprints, neardup, passages
 from clickloom.llm.graph import components
 
 
-def _components(pairs):
-    parent = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    for a, b in pairs:
-        x, y = root(a), root(b)
-        parent[max(x, y)] = min(x, y)
-    return {x: root(x) for x in list(parent)}
-
-
 @pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+def testjoined(spark, seed):
     pick = random.Random(seed)
     pairs = [(pick.randrange(200) * 10**12, pick.randrange(200) * 10**12) for _ in range(110)]
     pairs += [(k, k + 1) for k in range(1, 40)] + [(5000, 5001 + k) for k in range(50)]
     out = components(spark.createDataFrame(pairs, "a long, b long"))
-    assert {r["node"]: r["component"] for r in out.collect()} == _components([p for p in pairs if p[0] != p[1]])
+    assert {r["node"]: r["component"] for r in out.collect()} == joined([p for p in pairs if p[0] != p[1]])
 
 
 def test_components_of_nothing(spark):
@@ -99,24 +85,6 @@ def test_one_fingerprint_and_none(spark):
     assert fingerprints.fingerprint_documents(docs.where("false")).collect() == []
 
 
-def _set(text):
-    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    if len(words) < 5:
-        return {tuple(words)} if words else set()
-    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
-
-
-def _near(texts):
-    sets = [_set(t) for t in texts]
-    pairs = [(k, k) for k in range(len(sets))]
-    for a in range(len(sets)):
-        for b in range(a):
-            both = len(sets[a] & sets[b])
-            if both and 100 * both >= 75 * len(sets[a] | sets[b]):
-                pairs.append((a, b))
-    return sets, _components(pairs)
-
-
 @pytest.mark.parametrize("block", [256, 8])
 def test_near_duplicates(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
@@ -127,7 +95,7 @@ def test_near_duplicates(spark, monkeypatch, block):
     texts += [f"{prose(200 + k, k)} {passage}" for k in range(0, 60, 2)]  # a passage in many short texts
     texts += [edit(prose(300 + k // 3, 30 + 40 * (k // 3)), k, k % 3) for k in range(30)]
     texts += [prose(5, 120)] * 4
-    sets, expected = _near(texts)
+    sets, expected = near(texts)
     out = by_id(neardup.near_duplicates(documents(spark, texts)))
     assert {k: r["component_id"] for k, r in out.items()} == expected
     assert [out[k]["n_shingles"] for k in range(len(texts))] == [len(s) for s in sets]

@@ -1,11 +1,15 @@
 """The pipeline's stages and the registered queries."""
 
 import re
+import zlib
 
 import corpus_pipeline
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
-from llm_helpers import AWKWARD, by_id, documents, prose
+from llm_helpers import AWKWARD, WORD, by_id, documents, near, prose
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from clickloom.llm.queries import QUERIES, SQL
@@ -61,6 +65,47 @@ def test_stages_on_awkward_rows(spark, tmp_path):
     assert set(at["packing"]) == set(at["secrets"])
 
 
+def test_stages_by_brute_force(spark, tmp_path):
+    """Each stage on what its predecessor kept of the smallest table, against plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [{r["doc_id"]: r["text"] for r in docs.collect()}]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        texts.append({r["doc_id"]: r["text"] for r in docs.collect()})
+    raw, spoken, single, cut, clean = texts
+    assert set(spoken) == {k for k, t in raw.items() if any(c.isalpha() for c in t or "")}
+
+    ids = sorted(spoken)
+    _, component = near([spoken[k] for k in ids])
+    assert sorted(single) == [k for n, k in enumerate(ids) if component.get(n, n) == n]
+
+    # no run of 66 words (a passage, and what alignment may leave at its ends) is left in two documents
+    seen = {}
+    for k, t in cut.items():
+        words = WORD.findall(t.lower())
+        for n in range(len(words) - 65):
+            assert seen.setdefault(tuple(words[n : n + 66]), k) == k
+    for k, t in single.items():
+        left = iter(WORD.findall(t))
+        assert all(w in left for w in WORD.findall(cut.get(k, "")))  # words are only taken out
+
+    key = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}""", re.I | re.A)
+    for k, t in clean.items():
+        assert not key.search(t) and not re.search("[0-9a-f]{16,}|AKIA[A-Z0-9]{14,}", t)
+        assert ("[secret]" in t) or t == cut[k]
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r["doc_id"] for r in rows} == set(clean)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for k, t in clean.items():
+        own = sorted((r for r in rows if r["doc_id"] == k), key=lambda r: r["start"])
+        found = [*library.encode(t, add_special_tokens=False).ids, 1]
+        assert sum(r["length"] for r in own) == len(found)
+        for r in own:
+            part = np.array(found[r["start"] : r["start"] + r["length"]], "<u4")
+            assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
+
+
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(rows[0].asDict())
