@@ -20,12 +20,11 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.storage import stored
+from clickloom.llm.storage import small_batches, stored
 from clickloom.llm.text import map_texts, slices
 
 UNKNOWN = "und"
@@ -97,7 +96,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         yield from passed()
 
     return (
-        docs.where(F.col("lang").isNotNull())
+        small_batches(docs.where(F.col("lang").isNotNull()))
         .select("lang", F.col("text").alias("_text"))
         .mapInArrow(count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
@@ -204,9 +203,9 @@ def identify_documents(docs: DataFrame) -> DataFrame:
 def share_of_best(model: Languages, text: str = "text") -> Column:
     """The largest proportion of a language in the text, as a column; 0 without letters."""
 
-    @F.pandas_udf("double")
-    def share(texts: pd.Series) -> pd.Series:
-        parts = [model.mixtures(data, offsets)[0].max(1, initial=0) for _, _, data, offsets in slices(pa.array(texts, pa.large_string(), from_pandas=True))]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    @F.arrow_udf("double")
+    def share(texts: pa.Array) -> pa.Array:
+        parts = [model.mixtures(data, offsets)[0].max(1, initial=0) for _, _, data, offsets in slices(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return share(F.col(text))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.statistics import KINDS, Texts
-from clickloom.llm.storage import stored
+from clickloom.llm.storage import small_batches, stored
 from clickloom.llm.text import map_texts, slices
 
 BUCKETS = 4096
@@ -75,7 +75,8 @@ def reference_counts(docs: DataFrame) -> DataFrame:
         yield from passed()
 
     return (
-        docs.select("lang", F.col("text").alias("_text"))
+        small_batches(docs)
+        .select("lang", F.col("text").alias("_text"))
         .mapInArrow(count, "lang string, item int, n long")
         .groupBy("lang", "item")
         .agg(F.sum("n").alias("n"))

@@ -32,6 +32,14 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def small_batches(frame: DataFrame, rows: int = 1000) -> DataFrame:
+    """The frame, in a session that hands Python at most ``rows`` texts at a time, not the default ten thousand."""
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return frame
+
+
 def unused(frame: DataFrame, name: str) -> str:
     """A column name that the frame does not have, made from ``name``."""
     taken = {c.lower() for c in frame.columns}

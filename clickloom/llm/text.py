@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.storage import small_batches
+
 SLICE = 1 << 20
 
 SPACE = np.zeros(256, bool)
@@ -211,4 +213,4 @@ def map_texts(
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, wanted)
+    return small_batches(docs).select(*keep, F.col(text).alias("_text")).mapInArrow(run, wanted)
