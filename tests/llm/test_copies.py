@@ -154,6 +154,48 @@ def test_passages(spark):
     assert cut[0]["text"] is None
 
 
+def _uncut_runs(texts, rows, n=50):
+    """Runs of ``n`` words that a document shares with an earlier one and that no passage of it covers."""
+    split = [[w.lower() for w in WORD.findall(t)] for t in texts]
+    first, left = {}, []
+    for doc, words in enumerate(split):
+        for k in range(len(words) - n + 1):
+            if first.setdefault(tuple(words[k : k + n]), doc) != doc:
+                spans = [(r["first_word"], r["last_word"]) for r in rows if r["doc_id"] == doc]
+                if not any(low <= k and k + n <= high for low, high in spans):
+                    left.append((doc, k))
+    return left
+
+
+def test_passages_whose_parts_have_other_partners(spark):
+    x, y, line = prose(60, 30), prose(61, 30), prose(62, 25)
+    long, same = prose(63, 70), "again " * 90
+    texts = [prose(k, 60) for k in range(20)]
+    for k, part in [(1, x), (8, x), (2, y), (9, y), (3, f"{x} {y}"), (4, f"{x} {y}")]:
+        texts[k] = f"{prose(100 + k, 40)} {part} {prose(200 + k, 40)}"
+    # the parts in one first document, and a line that the first document has earlier too
+    texts[0] = f"{x} {prose(300, 300)} {y}"
+    texts[5] = f"{line} {prose(301, 300)} {prose(302, 25)} {line} {prose(303, 20)}"
+    texts[6] = f"{prose(304, 40)} {prose(302, 25)} {line} {prose(303, 20)}"
+    texts[7], texts[10] = f"{prose(305, 40)} {same} end", f"{same} {prose(306, 40)}"
+    # boilerplate of which each text has another stretch
+    words = long.split()
+    for k in range(11, 20):
+        texts[k] = f"{texts[k]} {' '.join(words[k - 11 : k + 44])} {prose(400 + k, 30)}"
+    rows = passages.shared_passages(documents(spark, texts)).collect()
+    assert _uncut_runs(texts, rows) == []
+    assert (4, 3) in {(r["doc_id"], r["other_id"]) for r in rows}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_all_shared_runs_by_brute_force(spark, seed):
+    pick = random.Random(seed)
+    lines = [prose(1000 + k, pick.randrange(8, 40)) for k in range(25)]
+    texts = ["\n".join([pick.choice(lines) if pick.random() < 0.7 else prose(pick.random(), 12) for _ in range(12)]) for _ in range(60)]
+    rows = passages.shared_passages(documents(spark, texts)).collect()
+    assert _uncut_runs(texts, rows) == []
+
+
 def test_whole_copies_and_empty_tables(spark):
     text = prose(1, 80)
     docs = documents(spark, [text, text, text, text], ids=[4, 9, 9, 12])
