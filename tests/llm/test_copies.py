@@ -118,6 +118,22 @@ def test_chains():
     assert line in found and far in found
 
 
+def test_chains_after_a_long_passage():
+    long = [(k, k) for k in range(0, 1000, 8)]
+    second = [(k, k) for k in range(1100, 1155, 8)]
+    third = [(k, k - 300) for k in range(1400, 1440, 8)]
+    assert sorted(passages.chains([*long, *second, *third])) == [long, second, third]
+
+
+def test_two_exact_passages_of_one_pair(spark):
+    long, short = prose(70, 1000), prose(71, 60)
+    texts = [f"{long} {prose(72 + k, 100)} {short} {prose(74 + k, 20)}" for k in range(2)]
+    found = passages.chained(passages.matches(passages.several(passages.seeds(documents(spark, texts))))).collect()
+    assert any(r["at_a"][0] < 1000 for r in found) and any(r["at_a"][0] >= 1100 for r in found)
+    rows = passages.shared_passages(documents(spark, texts)).collect()
+    assert _uncut_runs(texts, rows) == []
+
+
 def test_prefix_best():
     pick = random.Random(3)
     tree, known = passages.PrefixBest(50), {}
