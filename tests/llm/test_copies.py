@@ -134,6 +134,18 @@ def test_two_exact_passages_of_one_pair(spark):
     assert _uncut_runs(texts, rows) == []
 
 
+def test_edited_passages_are_found(spark):
+    pick, texts = random.Random(8), []
+    for k in range(60):
+        words = prose(500 + k, 60).split()
+        changed = [f"new{pick.randrange(10**9)}" if pick.random() < 0.1 else w for w in words]
+        texts += [f"{prose(600 + 2 * k + n, 40)} {' '.join(part)} {prose(800 + 2 * k + n, 40)}" for n, part in enumerate((words, changed))]
+    rows = passages.shared_passages(documents(spark, texts)).collect()
+    assert all(r["similarity"] >= 0.75 for r in rows)
+    found = {(r["doc_id"], r["other_id"]) for r in rows}
+    assert sum((2 * k + 1, 2 * k) in found for k in range(60)) >= 39  # 32 with 16 neighbours and chains of two
+
+
 def test_prefix_best():
     pick = random.Random(3)
     tree, known = passages.PrefixBest(50), {}
