@@ -209,3 +209,14 @@ def share_of_best(model: Languages, text: str = "text") -> Column:
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return share(F.col(text))
+
+
+def lettered(text: str = "text") -> Column:
+    """Whether the text has a letter, as a column; false for null."""
+
+    @F.arrow_udf("boolean")
+    def has(texts: pa.Array) -> pa.Array:
+        parts = [np.bincount(trigrams(data, offsets)[2], minlength=len(offsets) - 1) > 0 for _, _, data, offsets in slices(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
+
+    return has(F.col(text))

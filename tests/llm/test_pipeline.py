@@ -65,6 +65,16 @@ def test_stages_on_awkward_rows(spark, tmp_path):
     assert set(at["packing"]) == set(at["secrets"])
 
 
+def test_language_stage_keeps_mixed_and_unlearned_texts(spark):
+    parts = {"en": "the of and ing", "de": "sch keit ung ich", "fr": "eau oi que ment"}
+    texts = [" ".join(words.split() * 20) for words in parts.values() for _ in range(8)]
+    langs = [lang for lang in parts for _ in range(8)]
+    texts, langs = [*texts, " ".join(" ".join(parts.values()).split() * 20), "12 34", None], [*langs, "en", "en", "en"]
+    for given in (langs, [None] * len(texts)):
+        kept = corpus_pipeline.known_language(spark, documents(spark, texts, given), SF)
+        assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts) - 2))
+
+
 def test_stages_by_brute_force(spark, tmp_path):
     """Each stage on what its predecessor kept of the smallest table, against plain Python."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
