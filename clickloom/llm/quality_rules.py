@@ -4,8 +4,9 @@ For each language of the corpus, two reference histograms are added up over all
 kinds of characters, and words by bucket of a hash, of which the ``COMMON`` fullest are that
 language's common words and the others one rest class. A document fails if the Jensen-Shannon
 distance of one of its histograms from the reference is above a limit; a histogram with too few
-counts is not judged. A document of a language with under a thousandth of all words, or of none,
-is held against the nearest reference.
+counts is not judged. The references of languages with under a thousandth of all words lie in a
+table, which their documents are joined with. A document of no language is held against the
+nearest of the other references.
 
 Null texts have no words. Repeated rows are judged each and counted each in the references; a
 null ``doc_id`` stays null; extra columns are ignored; without documents there is nothing to judge.
@@ -26,7 +27,7 @@ from clickloom.llm.text import map_texts, slices
 
 BUCKETS = 4096
 COMMON = 64
-#: A language has a reference from this share of all words on, so there are at most a thousand.
+#: The references of languages from this share of all words on are held in memory, a thousand at most.
 LEAST_SHARE = 1000
 #: Largest distances of a good document, and the counts from which a histogram is judged.
 MAX_KIND_DISTANCE, MAX_WORD_DISTANCE = 0.315, 0.47
@@ -83,27 +84,50 @@ def reference_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(docs: DataFrame) -> Reference:
-    """By language: shares of the kinds, the class of each word bucket, shares of the word classes."""
+def _reference(counts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of the kinds, the common word buckets, shares of the word classes."""
+    width = KINDS.index("inside")
+    sums = np.zeros(width + BUCKETS)
+    for item, n in counts:
+        sums[item] = n
+    kinds, buckets = sums[:width], sums[width:]
+    common = np.argsort(-buckets, kind="stable")[:COMMON]
+    shares = np.append(buckets[common], buckets.sum() - buckets[common].sum())
+    return kinds / kinds.sum(), common, shares / shares.sum()
+
+
+def _classes(common: np.ndarray) -> np.ndarray:
+    """The class of each word bucket."""
+    classes = np.full(BUCKETS, COMMON)
+    classes[common] = np.arange(COMMON)
+    return classes
+
+
+def references(docs: DataFrame) -> tuple[Reference, DataFrame]:
+    """By language: shares of the kinds, the class of each word bucket, shares of the word classes.
+
+    Those of small languages come as a table ``lang, reference``.
+    """
     width = KINDS.index("inside")
     counts = stored(reference_counts(docs))
     words_of = F.sum(F.when(F.col("item") >= width, F.col("n")).otherwise(0))
-    sizes = counts.groupBy("lang").agg(words_of.alias("size"))
+    sizes = counts.groupBy("lang").agg(words_of.alias("size")).where("size > 0")
     whole = sizes.agg(F.sum("size")).first()[0] or 0
-    large = sizes.where((F.col("size") > 0) & (F.col("size") * LEAST_SHARE >= whole)).select("lang")
-    rows = counts.join(large, "lang").groupBy("lang").agg(F.collect_list(F.struct("item", "n")).alias("counts")).collect()
+    large = F.col("size") * LEAST_SHARE >= whole
+
+    def listed(sizes: DataFrame) -> DataFrame:
+        return counts.join(sizes.select("lang"), "lang").groupBy("lang").agg(F.collect_list(F.struct("item", "n")).alias("counts"))
+
     found: Reference = {}
-    for row in sorted(rows, key=lambda r: r["lang"]):
-        sums = np.zeros(width + BUCKETS)
-        for item, n in row["counts"]:
-            sums[item] = n
-        kinds, buckets = sums[:width], sums[width:]
-        common = np.argsort(-buckets, kind="stable")[:COMMON]
-        classes = np.full(BUCKETS, COMMON)
-        classes[common] = np.arange(COMMON)
-        shares = np.append(buckets[common], buckets.sum() - buckets[common].sum())
-        found[row["lang"]] = (kinds / kinds.sum(), classes, shares / shares.sum())
-    return found
+    for row in sorted(listed(sizes.where(large)).collect(), key=lambda r: r["lang"]):
+        kinds, common, shares = _reference(row["counts"])
+        found[row["lang"]] = (kinds, _classes(common), shares)
+
+    @F.udf("kinds array<double>, common array<int>, shares array<double>")
+    def made(counts: list) -> tuple:
+        return tuple(x.tolist() for x in _reference(counts))
+
+    return found, stored(listed(sizes.where(~large)).select("lang", made("counts").alias("reference")))
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -119,7 +143,7 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def judge_documents(docs: DataFrame) -> DataFrame:
     """Counts, ``base_failed``, the two distances (null: not judged) and ``kept`` of each document."""
-    known = references(docs)
+    large, small = references(docs)
     schema = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, kept boolean, kind_distance double, word_distance double"
@@ -131,11 +155,18 @@ def judge_documents(docs: DataFrame) -> DataFrame:
         failed = (texts.n_words < 50) | (100 * repeated > 50 * texts.n_words)
         kinds, buckets = _histograms(texts)
         langs = kept.column("lang").to_pylist()
+        known = large
+        if "reference" in kept.schema.names:
+            own_of = zip(langs, kept.column("reference").to_pylist(), strict=True)
+            known = {
+                x: (np.array(r["kinds"]), _classes(np.array(r["common"])), np.array(r["shares"]))
+                for x, r in {x: r for x, r in own_of if r is not None}.items()
+            }
         kind_distance, word_distance = np.full(texts.n, np.nan), np.full(texts.n, np.nan)
         far = np.full(texts.n, np.inf)
         size = kinds.sum(1)
         for name, (kind_share, classes, word_share) in known.items():
-            own = np.array([x == name or x is None or x not in known for x in langs])
+            own = np.array([x == name or x is None for x in langs])
             if not own.any():
                 continue
             found = np.bincount(texts.owner * (COMMON + 1) + classes[buckets], minlength=texts.n * (COMMON + 1)).reshape(texts.n, -1)
@@ -160,4 +191,9 @@ def judge_documents(docs: DataFrame) -> DataFrame:
             "word_distance": pa.array(word_distance, from_pandas=True),
         }
 
-    return map_texts(docs, ["doc_id", "lang"], schema, judge)
+    rows = docs.select("doc_id", "lang", "text")
+    held = F.col("lang").isNull() | F.col("lang").isin(list(large))
+    joined = rows.where(~held).join(small, "lang", "left")
+    return map_texts(rows.where(held), ["doc_id", "lang"], schema, judge).unionByName(
+        map_texts(joined, ["doc_id", "lang", "reference"], schema, judge)
+    )

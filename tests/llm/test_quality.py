@@ -90,6 +90,14 @@ def test_quality_rules(spark):
     assert quality_rules.judge_documents(documents(spark, ["x"]).where("false")).collect() == []
 
 
+def test_rules_of_a_rare_language(spark):
+    texts = [tongue("en", k, 3000) for k in range(40)] + [tongue("fr", k, 50) for k in range(2)]
+    out = by_id(quality_rules.judge_documents(documents(spark, texts, ["en"] * 40 + ["fr"] * 2)))
+    assert len(out) == 42
+    assert all(r["kept"] for r in out.values())
+    assert all(out[k]["word_distance"] is not None for k in (40, 41))
+
+
 def test_divergence():
     p, q = np.array([[1.0, 0.0], [0.5, 0.5], [0.25, 0.75]]), np.array([0.5, 0.5])
     m = (p + q) / 2
