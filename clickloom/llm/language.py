@@ -1,16 +1,16 @@
 """Languages of a document as a mixture, by expectation-maximisation over its words.
 
 Learning counts letter trigrams (with word boundaries) by language over all training documents,
-in hash buckets; smoothed shares of the buckets give each word a likelihood under each language,
+in hash buckets; shares of the buckets, smoothed by those of all languages together, give each word a likelihood under each language,
 the product over its trigrams. A document's language proportions maximise the likelihood of its
 words as a mixture; expectation-maximisation finds them for a whole slice of documents at once.
 Languages enter the set one by one, the largest proportion first, and the set with the best
-likelihood less ``penalty * languages * log(words)`` is kept. ``lang_pred`` is its largest part.
+likelihood less ``penalty * languages * log(words)`` is kept; past three, it grows as long as each
+language improves it. ``lang_pred`` is its largest part.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text when nothing could
-be learned. Rows without a language are not learned from; repeated rows count once each. A
-language with under a thousandth of the training trigrams is not learned, so that the model has
-a bounded size. Ties go to the name that sorts first. Extra columns are ignored.
+be learned. Rows without a language are not learned from; repeated rows count once each. All
+other languages are learned; the model has 256 KB for each. Ties go to the name that sorts first. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from clickloom.llm.text import map_texts, slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
-LEAST_SHARE = 1000
 _HELD = 64  # languages that a task adds up before it passes its sums on
 #: A part below this proportion of the words is not reported as a language of the document.
 LEAST_PART = 0.02
@@ -136,16 +135,21 @@ class Languages:
         parts, _ = expected(np.full((len(filled), width), 1 / width), rounds)
         rank = np.argsort(np.argsort(-parts, axis=1, kind="stable"), axis=1, kind="stable")
         best, best_value = None, None
-        for size in range(1, min(width, 3) + 1):
+        growing = np.ones(len(filled), bool)
+        for size in range(1, width + 1):
             chosen = np.where(rank < size, np.maximum(parts, 1e-6), 0)
             chosen, value = expected(chosen / chosen.sum(1, keepdims=True), 0 if size == 1 else rounds // 2)
             value = value - penalty * size * np.log(count + 1)
             if best is None:
                 best, best_value = chosen, value
             else:
-                better = (value > best_value) & (np.where(rank == size - 1, chosen, 0).sum(1) >= LEAST_PART)
+                better = growing & (value > best_value) & (np.where(rank == size - 1, chosen, 0).sum(1) >= LEAST_PART)
                 best = np.where(better[:, None], chosen, best)
                 best_value = np.where(better, value, best_value)
+                if size >= 3:
+                    growing = better
+                    if not growing.any():
+                        break
         out = np.zeros((n, width))
         out[filled] = best
         return out, n_words
@@ -154,14 +158,13 @@ class Languages:
 def learn(docs: DataFrame, smoothing: float = 0.5) -> Languages:
     """Trigram shares of each language over all rows of ``docs`` that have one."""
     counts = stored(trigram_counts(docs))
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("size"))
-    whole = sizes.agg(F.sum("size")).first()[0] or 0
-    large = sizes.where(F.col("size") * LEAST_SHARE >= whole).select("lang")  # a thousand languages at most
-    rows = counts.join(large, "lang").toPandas()
+    rows = counts.toPandas()
     names = sorted(set(rows["lang"]))
     table = np.zeros((BUCKETS, len(names)))
     table[rows["bucket"].to_numpy(), rows["lang"].map(names.index).to_numpy(np.int64)] = rows["n"].to_numpy()
-    table = np.log((table + smoothing) / (table.sum(0) + smoothing * BUCKETS))
+    whole = table.sum(1, keepdims=True) + smoothing
+    whole *= smoothing * BUCKETS / whole.sum()
+    table = np.log((table + whole) / (table.sum(0) + smoothing * BUCKETS))
     return Languages(names, table.astype(np.float32))
 
 

@@ -125,6 +125,20 @@ def test_languages(spark):
     assert abs(mixed["score"] - 0.6) < 0.15
 
 
+def test_rare_languages_and_four_in_one_text(spark):
+    LANGS["ru"], LANGS["el"] = "по не ст но на ен то ра", "και το αι στ ου ρα με"
+    try:
+        names = ["en", "de", "fr", "ru"]
+        texts = [tongue(names[k % 4], k, 3000) for k in range(40)] + [tongue("el", k, 20) for k in range(4)]
+        texts.append(" ".join(tongue(lang, 99, 60) for lang in names))
+        langs = [names[k % 4] for k in range(40)] + ["el"] * 4 + [None]
+        out = by_id(language.identify_documents(documents(spark, texts, langs)))
+    finally:
+        del LANGS["ru"], LANGS["el"]
+    assert all(out[k]["lang_pred"] == langs[k] for k in range(44))
+    assert sorted(out[44]["languages"]) == sorted(names)
+
+
 def test_languages_without_anything_learned(spark):
     docs = documents(spark, ["a b", None], [None, None])
     assert {(r["lang_pred"], r["score"]) for r in language.identify_documents(docs).collect()} == {("und", 0.0)}
