@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF
+from helpers import SF
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

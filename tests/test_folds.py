@@ -4,7 +4,7 @@ import random
 from datetime import timedelta as D
 
 import pytest
-from conftest import frame, rows
+from helpers import frame, rows
 from pyspark.sql import functions as F
 
 from clickloom.operators import folds

@@ -1,7 +1,7 @@
 """The order and receipt files through the jobs, in batch."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from clickloom.plans import jobs

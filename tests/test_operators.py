@@ -2,7 +2,7 @@ from datetime import timedelta as D
 
 import pandas as pd
 import pytest
-from conftest import frame, rows
+from helpers import frame, rows
 from pyspark.sql import functions as F
 
 from clickloom.functions import calendar_day, display_shift, format_ms, java_timestamp_text, next_midnight_ms, poly_hash

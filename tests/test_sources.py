@@ -1,5 +1,5 @@
 import pytest
-from conftest import SF, frame, rows
+from helpers import SF, frame, rows
 from pyspark.sql import functions as F
 
 from clickloom import schemas

@@ -5,7 +5,7 @@ import os
 from datetime import timedelta as D
 
 import pytest
-from conftest import SF, rows
+from helpers import SF, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
