@@ -5,8 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from clickloom.llm import fingerprints, language, neardup, packing, passages, quality_rules, quality_trees, secrets, sentencepieces, warc
+from pyspark.sql import functions as F
+
+from clickloom.llm import (
+    fingerprints,
+    language,
+    lines,
+    neardup,
+    packing,
+    passages,
+    quality_rules,
+    quality_trees,
+    secrets,
+    sentencepieces,
+    vector_codes,
+    warc,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +74,19 @@ def op10_chained_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.shared_passages(_table(spark, folder, "documents"))
 
 
+def op11_block_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+def op12_hashed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.dedup_lines(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_ball_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress_vectors(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepieces": op1_sentencepieces,
     "op2_quality_trees": op2_quality_trees,
@@ -70,9 +98,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_divergence_rules": op8_divergence_rules,
     "op9_linked_secrets": op9_linked_secrets,
     "op10_chained_passages": op10_chained_passages,
+    "op11_block_whitening": op11_block_whitening,
+    "op12_hashed_lines": op12_hashed_lines,
+    "op13_ball_codes": op13_ball_codes,
 }
 
 SQL: dict[str, str] = {
     "op4_warc_members": warc.SQL,
     "op9_linked_secrets": secrets.SQL,
+    "op12_hashed_lines": lines.SQL,
+    "op13_ball_codes": vector_codes.SQL,
 }
