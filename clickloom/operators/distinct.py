@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.hashing import BITMAP_BITS, poly_hash
 from clickloom.functions.time import TS_MS, millis, slot_start
-from clickloom.operators.hotkeys import WIDTH, position
+from clickloom.operators.hotkeys import position
 from clickloom.operators.windows import (
     WINDOW,
     WINDOW_END,
@@ -17,6 +17,7 @@ from clickloom.operators.windows import (
     window_end,
     windowed_agg,
 )
+from clickloom.session import stored
 
 
 def distinct_exact(df: DataFrame, visitor: str, size: timedelta, count: str = "uv") -> DataFrame:
@@ -34,13 +35,18 @@ def distinct_exact(df: DataFrame, visitor: str, size: timedelta, count: str = "u
 
 
 def distinct_running(
-    df: DataFrame, visitor: str, seq: str, size: timedelta, count: str = "uv", width: timedelta = WIDTH
+    df: DataFrame, visitor: str, seq: str, size: timedelta, count: str = "uv", width: timedelta | None = None
 ) -> DataFrame:
-    """Each change of a window's distinct count: one row per first visit, with the count after it."""
+    """Each change of a window's distinct count: one row per first visit, with the count after it.
+
+    First visits are numbered over slices of about equally many of them, so a window is many tasks' work.
+    """
     span = millis(size)
     end = (slot_start(F.col(TS_MS), span) + span).alias(WINDOW_END)
     first = df.groupBy(end, visitor).agg(F.min(F.struct(TS_MS, seq)).alias("_first"))
     visits = first.select(WINDOW_END, visitor, "_first.*")
+    if width is None:
+        visits = stored(visits)  # their slices are found from a sample of them first
     return position(visits, [WINDOW_END], [TS_MS, seq], count, width)
 
 

@@ -8,16 +8,22 @@ sort in with its own. The window then runs per (key, slice) and gives exactly wh
 have given per key, whatever the width. Nothing is counted or collected first.
 
 Rows without a time belong to the first slice of their key.
+
+Where one order runs over a whole table, slices of one width would be as uneven as the rows in
+time. There slices hold about as many rows each instead: their bounds are quantiles of sampled rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.functions.time import millis
 
@@ -51,6 +57,48 @@ def cut_by_time(df: DataFrame, keys: Sequence[str], time: str, width: timedelta
     return Sliced(df.withColumn(SLICE, number), list(keys))
 
 
+def cut_by_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> Sliced:
+    """Number slices of about equally many rows in ``order``, whatever the keys.
+
+    ``order`` is a column of whole numbers, and another that cuts its ties where very many rows share one.
+    By default there are sixteen slices for each shuffle partition: dealt by hash, they load tasks
+    evenly. The driver samples some rows for each slice, and no more.
+    """
+    slices = slices or 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    time, tie = order if len(order) > 1 else (order[0], None)
+    bounds = _bounds(df.select(time, (F.col(tie) if tie else F.lit(0)).alias("_tie")), slices)
+    times = list(dict.fromkeys(t for t, _ in bounds))
+    if not times:
+        return Sliced(df.withColumn(SLICE, F.lit(0).cast("bigint")), list(keys))
+    at = F.coalesce(F.col(time).cast("double"), F.lit(float("-inf")))
+    splits = [float("-inf"), *map(float, times), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut").transform(df.withColumn("_at", at))
+    # A time that is a bound itself begins a slice; one that is several bounds is cut by the tie column too.
+    crowded = [sorted(v for t, v in bounds if t == time)[1:] for time in times]
+    after = [0]
+    for ties in crowded:
+        after.append(after[-1] + 1 + len(ties))
+    number = F.get(F.array(*map(F.lit, after)), F.col("_cut").cast("int"))
+    if any(crowded):
+        kind = T.ArrayType(T.ArrayType(df.schema[tie].dataType))
+        ties = F.get(F.from_json(F.lit(json.dumps([[], *crowded])), kind), F.col("_cut").cast("int"))
+        here = F.col(time) == F.get(F.array(F.lit(None).cast("bigint"), *map(F.lit, times)), F.col("_cut").cast("int"))
+        ahead = F.size(F.filter(ties, lambda v: v > F.col(tie)))
+        number = number - F.when(here, ahead).otherwise(0)
+    return Sliced(cut.withColumn(SLICE, number.cast("bigint")).drop("_at", "_cut"), list(keys))
+
+
+def _bounds(rows: DataFrame, slices: int, each: int = 20) -> list[tuple]:
+    """Different points that part the sampled rows into even slices."""
+    total = rows.count()
+    if slices < 2 or not total:
+        return []
+    share = min(1.0, each * slices / total)
+    sampled = rows if share == 1 else rows.sample(fraction=share, seed=1)
+    found = sorted(tuple(r) for r in sampled.na.drop().collect())
+    return list(dict.fromkeys(found[len(found) * k // slices] for k in range(1, slices))) if found else []
+
+
 def _with_boundary(sliced: Sliced, boundary: DataFrame) -> DataFrame:
     rows = sliced.df.withColumn(BOUNDARY, F.lit(False))
     return rows.unionByName(boundary.withColumn(BOUNDARY, F.lit(True)), allowMissingColumns=True)
@@ -67,13 +115,15 @@ def running(
     value: Column,
     out: str,
     agg: Callable[[Column], Column] = F.sum,
-    width: timedelta = WIDTH,
+    width: timedelta | None = WIDTH,
 ) -> DataFrame:
     """Running ``agg`` (sum, max or min) of ``value`` per key, up to and including each row.
 
-    ``order`` starts with a millisecond column and must order the rows of a key totally.
+    ``order`` starts with a millisecond column and must order the rows of a key totally. Slices are
+    ``width`` wide; with none, they are cut by numbers of rows.
     """
-    sliced = cut_by_time(df.withColumn("_value", value), keys, order[0], width)
+    valued = df.withColumn("_value", value)
+    sliced = cut_by_rows(valued, keys, order) if width is None else cut_by_time(valued, keys, order[0], width)
     before = Window.partitionBy(*sliced.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         sliced.df.groupBy(*sliced.group)
@@ -93,7 +143,7 @@ def running(
 
 
 def position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, width: timedelta = WIDTH
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, width: timedelta | None = WIDTH
 ) -> DataFrame:
     """Exact 1-based row number per key."""
     return running(df, keys, order, F.lit(1).cast("bigint"), out, F.sum, width)

@@ -17,8 +17,6 @@ from clickloom.operators.windows import WINDOW_END, ends_of_pane
 
 WATERMARK = "wm_ms"
 OUTCOME = "outcome"
-# The arrival order runs over the whole table, so it is cut into narrower slices than a key.
-ARRIVAL_WIDTH = timedelta(hours=1)
 LATE, ON_TIME = "late", "on_time"
 
 
@@ -28,13 +26,13 @@ def watermark(df: DataFrame, delay: timedelta = timedelta(0)) -> DataFrame:
 
 
 def arrival_watermark(
-    df: DataFrame, arrival: Sequence[str], bound: timedelta, width: timedelta = ARRIVAL_WIDTH
+    df: DataFrame, arrival: Sequence[str], bound: timedelta, width: timedelta | None = None
 ) -> DataFrame:
     """Add the watermark each row met: the latest event time so far, in arrival order, less ``bound``.
 
     ``arrival`` orders the rows totally and starts with a millisecond column. The whole
-    table is one ordered group here, cut into slices of arrival time ``width`` wide; what crosses
-    them is one running maximum for each slice.
+    table is one ordered group here, cut into slices of about equally many rows (or of arrival time
+    ``width`` wide); what crosses them is one running maximum for each slice.
     """
     everything = df.withColumn("_all", F.lit(0))
     seen = running(everything, ["_all"], arrival, F.col(TS_MS), "_seen", F.max, width)

@@ -28,6 +28,7 @@ from clickloom.sources import files, kafka
 from clickloom.sources.sinks import append_files, by_outcome, each_batch, run_to_end
 from clickloom.streaming import jobs as stream_jobs
 from clickloom.streaming import processors
+from clickloom.streaming.rankings import InTimeRanking, RankedCounts, ranking_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -351,6 +352,39 @@ def stream_hot_items_sql(spark, sf):
     return each_batch(counts, spark, "hot_items_sql", schema, lambda batch: sql.ranked_in_sql(batch, 5))
 
 
+def _hot_item_changes(spark, sf) -> RankedCounts:
+    views = frames.behavior(_disturbed(spark, sf)).where((F.col("behavior") == "view") & F.col("item_id").isNotNull())
+    return ranking_changes(windowed_count(views, ["item_id"], DAY, HOUR), spark, "hot_item_changes", 5, "item_id")
+
+
+@query
+def stream_hot_items_retract(spark, sf):
+    """The rankings that the added and taken back rows add up to."""
+    return _hot_item_changes(spark, sf).folded()
+
+
+@query
+def stream_hot_items_changes(spark, sf):
+    """How many rows each window's ranking added and took back while the stream ran."""
+    changes = _hot_item_changes(spark, sf).changes()
+    return changes.groupBy("window_end_ms").agg(
+        F.count_if("added").alias("added"), F.count_if(~F.col("added")).alias("taken_back")
+    )
+
+
+@query
+def stream_hot_pages_one_pass(spark, sf):
+    """Rankings by what came in time, and the rows that came too late, out of one stream."""
+    log = frames.late_page_log(frames.arriving_stream(stateful_session(spark), sf))
+    key = T.StructField("url", T.StringType())
+    one_pass = InTimeRanking(
+        spark, "hot_pages_one_pass", key, 3, ["arrival_ms", "seq"], 10 * MINUTE, HOUR, 5 * MINUTE, 60 * MINUTE, ("method", "click")
+    )
+    ranked, late = one_pass.run(log)
+    late = late.select(F.lit("late").alias("output"), "seq", "url", TS_MS, "arrival_ms", "wm_ms")
+    return ranked.withColumn("output", F.lit("ranking")).unionByName(late, allowMissingColumns=True)
+
+
 @query
 def stream_hot_pages_updated(spark, sf):
     rows = frames.event_stream(stateful_session(spark), sf, closed=False)

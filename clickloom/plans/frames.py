@@ -44,6 +44,9 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return _typed(read_table(spark, folder, "events"))
 
 
+# Milliseconds by which an item's rows arrive late, for each number of the item.
+ITEM_DELAY = 180_000
+
 # The end of a bounded replay: rows of a reserved key, so far off that the watermark closes all before
 # them, one of each type, since a filter by type may run before the watermark is taken.
 FAR, RESERVED = datetime(2100, 1, 1), -1
@@ -88,6 +91,19 @@ def disturbed_stream(spark: SparkSession, folder: str, delay: timedelta = timede
     return _typed(stream).withWatermark(TS, f"{millis(delay)} milliseconds")
 
 
+def arriving_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The table replayed in several micro-batches in the order of :func:`late_page_log`'s arrival, without a watermark.
+
+    A batch is five days of arrival.
+    """
+    raw = read_table(spark, folder, "events")
+    item = F.get_json_object("props", "$.k").cast("bigint")
+    batch = F.floor((epoch_ms(raw, "ts") + item * ITEM_DELAY) / (5 * 24 * 3_600_000))
+    path = shared_folder(spark, "arriving")
+    closing = _closing_rows(spark).where("false")
+    return _typed(staged_replay(raw.select(*EVENTS.names), batch, F.col("event_id"), closing, path))
+
+
 def behavior(rows: DataFrame) -> DataFrame:
     return rows.select("user_id", "item_id", F.col("event_type").alias("behavior"), TS, TS_MS, "seq")
 
@@ -99,7 +115,7 @@ def page_log(rows: DataFrame) -> DataFrame:
 
 def late_page_log(rows: DataFrame) -> DataFrame:
     """The log with a made arrival time: each item's rows are delayed by three minutes per item number."""
-    arrival = F.col(TS_MS) + F.col("item_id") * 180_000
+    arrival = F.col(TS_MS) + F.col("item_id") * ITEM_DELAY
     return page_log(rows).withColumn("arrival_ms", arrival)
 
 

@@ -342,12 +342,39 @@ SQL: dict[str, str] = {
     "unique_visitor_sketch": f"WITH {E} SELECT window_end_ms, true AS near FROM ({VIEWS})",
 }
 
+# What the micro-batches of the disturbed replay add to each window, and the rankings after each of them.
+SPAN = 5 * DAY
+SQL["stream_hot_items_changes"] = f"""WITH {E},
+    v AS (SELECT item_id, (ms // {HOUR} + i) * {HOUR} AS w,
+                 ms // {SPAN} + CASE WHEN seq % 3 = 1 AND ms % {SPAN} >= {SPAN - 12 * HOUR} THEN 1 ELSE 0 END AS batch
+          FROM e, range(1, 25) r(i) WHERE event_type = 'view'),
+    p AS (SELECT w, batch, item_id, count(*) AS c FROM v GROUP BY w, batch, item_id),
+    t AS (SELECT w, batch, lag(batch) OVER (PARTITION BY w ORDER BY batch) AS before FROM (SELECT DISTINCT w, batch FROM p)),
+    s AS (SELECT t.w, t.batch, p.item_id, sum(p.c) AS cnt FROM t JOIN p ON p.w = t.w AND p.batch <= t.batch GROUP BY t.w, t.batch, p.item_id),
+    n AS (SELECT *, row_number() OVER (PARTITION BY w, batch ORDER BY cnt DESC, item_id) AS row_num FROM s),
+    k AS (SELECT * FROM n WHERE row_num <= 5),
+    a AS (SELECT k.w, 1 AS sign FROM k JOIN t ON t.w = k.w AND t.batch = k.batch
+          LEFT JOIN k o ON o.w = k.w AND o.batch = t.before AND o.row_num = k.row_num AND o.item_id = k.item_id AND o.cnt = k.cnt
+          WHERE o.w IS NULL),
+    b AS (SELECT k.w, -1 AS sign FROM k JOIN t ON t.w = k.w AND t.before = k.batch
+          LEFT JOIN k o ON o.w = k.w AND o.batch = t.batch AND o.row_num = k.row_num AND o.item_id = k.item_id AND o.cnt = k.cnt
+          WHERE o.w IS NULL)
+    SELECT w AS window_end_ms, count(*) FILTER (WHERE sign = 1) AS added, count(*) FILTER (WHERE sign = -1) AS taken_back
+    FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY w"""
+
+SQL["stream_hot_pages_one_pass"] = f"""
+    SELECT 'ranking' AS output, NULL::BIGINT AS seq, url, window_end_ms, cnt, row_num, NULL::BIGINT AS ts_ms,
+           NULL::BIGINT AS arrival_ms, NULL::BIGINT AS wm_ms FROM ({SQL["hot_pages_in_time"]})
+    UNION ALL
+    SELECT 'late', seq, url, NULL, NULL, NULL, ts_ms, arrival_ms, wm_ms FROM ({SQL["hot_pages_late"]})"""
+
 # A closed stream gives what the batch form of the same analysis gives.
 SQL |= {
     stream: SQL[batch]
     for stream, batch in {
         "stream_hot_items": "hot_items",
         "stream_hot_items_sql": "hot_items",
+        "stream_hot_items_retract": "hot_items",
         "stream_hot_pages_updated": "hot_pages",
         "stream_hot_pages_late_updates": "hot_pages",
         "stream_page_view_salted": "page_view",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,6 +44,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/clickloom/{name}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared folder, so that a lost executor does not take them along."""
+    spark = frame.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder) if folder else shared_folder(spark, "stored")
+    return frame.checkpoint()
+
+
 def stateful_session(spark: SparkSession) -> SparkSession:
     """A sibling session whose streams keep state in RocksDB, as stateful processors need."""
     sibling = spark.newSession()

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from clickloom.functions.time import with_event_time
 from clickloom.schemas import ORDER_EVENT, RECEIPT_EVENT
+from clickloom.sources.tables import Folder
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,18 +29,32 @@ def replay(
     return reader.parquet(f"{folder}/{{{name}}}.parquet")
 
 
-def staged_replay(rows: DataFrame, batch: Column, order: Column, closing: DataFrame, path: str) -> DataFrame:
-    """Rows written below ``path`` as one file for each value of ``batch``, then ``closing``, and streamed file by file.
+def staged_replay(
+    rows: DataFrame, batch: Column, order: Column, closing: DataFrame, path: str, files: int = 2
+) -> DataFrame:
+    """Rows written once below ``path``, ``files`` files for each value of ``batch``, then ``closing``, and streamed batch by batch.
 
-    A file is a micro-batch, sorted by ``order``; the source takes files in the order in which they were written.
+    A micro-batch is the files of one value, each sorted by ``order``. The source takes files in the
+    order of their times, which are set by batch; a batch of few rows is filled up with empty files.
     """
-    staged = rows.withColumn("_batch", batch)
-    for number in [r[0] for r in staged.select("_batch").distinct().orderBy("_batch").collect()]:
-        part = staged.where(F.col("_batch") == number).drop("_batch").coalesce(1)
-        part.sortWithinPartitions(order).write.mode("append").parquet(path)
-    closing.coalesce(1).write.mode("append").parquet(path)
-    reader = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(path)
+    spark = rows.sparkSession
+    staged = rows.withColumn("_batch", batch).repartition(files).sortWithinPartitions("_batch", order)
+    staged.write.partitionBy("_batch").parquet(path)
+    folder = Folder(spark, path)
+    numbers = sorted(int(n.split("=")[1]) for n in folder.names("") if n.startswith("_batch="))
+    closing.coalesce(1).write.parquet(f"{path}/_batch={numbers[-1] + 1}")
+    for place, number in enumerate([*numbers, numbers[-1] + 1]):
+        name = f"_batch={number}"
+        for _ in range(files - len(_data_files(folder, name))):
+            closing.limit(0).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+        for file in _data_files(folder, name):
+            folder.set_time(f"{name}/{file}", 1_000_000_000_000 + 60_000 * place)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{path}/*")
+
+
+def _data_files(folder: Folder, name: str) -> list[str]:
+    return [n for n in folder.names(name) if n.startswith("part-")]
 
 
 def delimited(

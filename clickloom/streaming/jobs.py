@@ -20,7 +20,8 @@ from clickloom.operators import lateness
 from clickloom.operators.topn import top_n
 from clickloom.operators.windows import WINDOW, WINDOW_END, time_window, window_end
 from clickloom.session import shared_folder
-from clickloom.sources.sinks import BATCH, UpsertLog, each_batch, run_to_end
+from clickloom.sources.sinks import BATCH, each_batch, run_to_end
+from clickloom.sources.tables import CompactTable
 
 
 def rank_closed_windows(
@@ -43,8 +44,8 @@ def rank_updated_windows(
     """Rank from the newest counts: a late row within the watermark updates its windows again."""
     rows = counts.select(key, WINDOW_END, "cnt")
     folder = shared_folder(spark, name)
-    log = UpsertLog(spark, f"{folder}/rows", [key, WINDOW_END], rows.schema)
-    return top_n(log.run(rows, f"{folder}/checkpoint"), n, key)
+    table = CompactTable(spark, f"{folder}/table", [WINDOW_END, key], rows.schema)
+    return top_n(table.run(rows, f"{folder}/checkpoint"), n, key)
 
 
 def visitors_updating(
@@ -57,8 +58,8 @@ def visitors_updating(
     parts = _visitor_bitmaps(behavior, size, visitor)
     rows = parts.select(window_end().alias(WINDOW_END), "_bucket", "_bits")
     folder = shared_folder(spark, "visitors")
-    log = UpsertLog(spark, f"{folder}/rows", [WINDOW_END, "_bucket"], rows.schema)
-    newest = log.run(rows, f"{folder}/checkpoint")
+    table = CompactTable(spark, f"{folder}/table", [WINDOW_END, "_bucket"], rows.schema)
+    newest = table.run(rows, f"{folder}/checkpoint")
     return newest.groupBy(WINDOW_END).agg(F.sum(F.bitmap_count("_bits")).alias("uv"))
 
 
@@ -107,22 +108,34 @@ class LateRouter:
         row = self.spark.read.schema(schema).parquet(f"{self.folder}/seen/{BATCH}={batch_id - 1}").first()
         return row[0]
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
+    def tagged(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The rows with the watermark they met and whether they are late."""
         before = self._seen_before(batch_id)
-        batch = batch.persist()
         rows = lateness.arrival_watermark(batch, self.arrival, self.bound)
         if before is not None:
             carried = F.lit(before - millis(self.bound))
             rows = rows.withColumn(lateness.WATERMARK, F.greatest(lateness.WATERMARK, carried))
-        tagged = lateness.tag_late(rows, self.size, self.slide, self.lateness)
-        tagged.write.mode("overwrite").parquet(f"{self.folder}/rows/{BATCH}={batch_id}")
-        latest = batch.agg(F.greatest(F.max(TS_MS), F.lit(before).cast("bigint")).alias("latest"))
+        return lateness.tag_late(rows, self.size, self.slide, self.lateness)
+
+    def remember(self, batch: DataFrame, batch_id: int) -> None:
+        """Record the latest event time seen up to this batch."""
+        before = F.lit(self._seen_before(batch_id)).cast("bigint")
+        latest = batch.agg(F.greatest(F.max(TS_MS), before).alias("latest"))
         latest.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/seen/{BATCH}={batch_id}")
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        self.tagged(batch, batch_id).write.mode("overwrite").parquet(f"{self.folder}/rows/{BATCH}={batch_id}")
+        self.remember(batch, batch_id)
         batch.unpersist()
 
+    def rows(self, schema: T.StructType) -> DataFrame:
+        """What was written of a stream of this schema, with ``wm_ms`` and ``outcome``."""
+        added = [T.StructField(lateness.WATERMARK, T.LongType()), T.StructField(lateness.OUTCOME, T.StringType())]
+        whole = T.StructType([*schema, *added])
+        return self.spark.read.schema(whole).parquet(f"{self.folder}/rows").select(*whole.names)
+
     def run(self, stream: DataFrame) -> DataFrame:
         """Run the stream to its end and read all rows with ``wm_ms`` and ``outcome``."""
         run_to_end(stream.writeStream.foreachBatch(self.write), f"{self.folder}/checkpoint")
-        added = [T.StructField(lateness.WATERMARK, T.LongType()), T.StructField(lateness.OUTCOME, T.StringType())]
-        schema = T.StructType([*stream.schema, *added])
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/rows").select(*schema.names)
+        return self.rows(stream.schema)

@@ -59,7 +59,47 @@ def test_building_a_frame_starts_no_job(df):
     assert len(tracker.getJobIdsForGroup(None)) == before
 
 
-@pytest.mark.parametrize("width", WIDTHS)
+def uneven(n, crowded):
+    """Nine of ten rows lie in one hour of a month, or share one millisecond of it."""
+    hour = 3_600_000
+    busy = [300 * hour if crowded else 300 * hour + k * hour // n for k in range(9 * n // 10)]
+    return busy + [k * 720 * hour // n for k in range(n // 10)]
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+@pytest.mark.parametrize("slices", [1, 7, 40])
+def test_slices_hold_about_equally_many_rows(spark, crowded, slices):
+    data = [(t, k) for k, t in enumerate(uneven(20_000, crowded))] + [(None, -1)]
+    df = spark.createDataFrame(data, "ts_ms long, seq long").repartition(3)
+    cut = hk.cut_by_rows(df, [], ORDER, slices).df
+    found = sorted(((r["ts_ms"] is not None, r["ts_ms"], r["seq"], r[hk.SLICE]) for r in cut.collect()), key=lambda r: r[:3])
+    numbers = [n for *_, n in found]
+    assert numbers == sorted(numbers) and len(numbers) == 20_001
+    sizes = sorted(numbers.count(n) for n in set(numbers))
+    assert len(sizes) >= 0.8 * slices and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_tasks_of_an_uneven_log_are_even(spark):
+    """Sixteen slices for each shuffle partition, dealt by hash: no task has twice the median's rows."""
+    data = [(0, t, k) for k, t in enumerate(uneven(40_000, False))]
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "6")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    df = session.createDataFrame(data, "one long, ts_ms long, seq long")
+    got = hk.running(df, ["one"], ORDER, F.col("ts_ms"), "latest", F.max, None)
+    by_task = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("latest"))
+    tasks = sorted(r["n"] for r in by_task.collect())
+    assert len(tasks) == 6 and tasks[-1] <= 2 * tasks[3]
+
+
+def test_slices_of_one_order_column(spark):
+    df = spark.range(1000).withColumnRenamed("id", "seq")
+    cut = hk.cut_by_rows(df, [], ["seq"], 5).df
+    assert [r["count"] > 150 for r in cut.groupBy(hk.SLICE).count().collect()] == [True] * 5
+    assert hk.cut_by_rows(df.where("false"), [], ["seq"], 5).df.count() == 0
+
+
+@pytest.mark.parametrize("width", [*WIDTHS, None])
 @pytest.mark.parametrize("agg", [F.sum, F.max, F.min])
 def test_running(df, width, agg):
     value = F.col("seq") * F.when(F.col("flag"), 1).otherwise(-1)
@@ -69,7 +109,7 @@ def test_running(df, width, agg):
     assert set(map(str, cut.collect())) == set(map(str, whole.collect()))
 
 
-@pytest.mark.parametrize("width", WIDTHS)
+@pytest.mark.parametrize("width", [*WIDTHS, None])
 def test_position(df, width):
     whole = hk.position(df, ["user"], ORDER, "nth", WHOLE)
     cut = hk.position(df, ["user"], ORDER, "nth", width)
