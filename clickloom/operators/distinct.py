@@ -17,7 +17,6 @@ from clickloom.operators.windows import (
     window_end,
     windowed_agg,
 )
-from clickloom.session import stored
 
 
 def distinct_exact(df: DataFrame, visitor: str, size: timedelta, count: str = "uv") -> DataFrame:
@@ -39,15 +38,14 @@ def distinct_running(
 ) -> DataFrame:
     """Each change of a window's distinct count: one row per first visit, with the count after it.
 
-    First visits are numbered over slices of about equally many of them, so a window is many tasks' work.
+    First visits are numbered over slices that hold about equally many of all rows, so a window is
+    many tasks' work.
     """
     span = millis(size)
     end = (slot_start(F.col(TS_MS), span) + span).alias(WINDOW_END)
     first = df.groupBy(end, visitor).agg(F.min(F.struct(TS_MS, seq)).alias("_first"))
     visits = first.select(WINDOW_END, visitor, "_first.*")
-    if width is None:
-        visits = stored(visits)  # their slices are found from a sample of them first
-    return position(visits, [WINDOW_END], [TS_MS, seq], count, width)
+    return position(visits, [WINDOW_END], [TS_MS, seq], count, width, df)
 
 
 def distinct_bitmap(

@@ -33,6 +33,7 @@ from clickloom.operators.matching import (
     UNMATCHED_RIGHT,
     connect,
 )
+from clickloom.session import stored
 
 # Workers need not have the package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules["clickloom"])
@@ -590,14 +591,14 @@ def order_cycles(
     rows = df.select(order, TS_MS, seq, tag.alias(TAG)).where(F.col(TAG).isNotNull() & F.col(TS_MS).isNotNull())
     span, early = millis(within), None if max_early is None else millis(max_early)
     sliced = cut_by_time(rows, [order], TS_MS, width)
-    folded = ordered_fold(sliced.df, sliced.group, seq, lambda: SliceCycles(span, early), SliceCycles.outputs)
+    # Both the summaries and the results are read from it, and the fold is the dear part.
+    folded = stored(ordered_fold(sliced.df, sliced.group, seq, lambda: SliceCycles(span, early), SliceCycles.outputs))
     summaries = folded.where(F.col("kind") == SliceCycles.SUMMARY).drop("kind")
     schema = T.StructType([rows.schema[order]] + [T.StructField(o, T.LongType()) for o in ChainedCycles.outputs])
     by_slice = [order, SLICE, "beginning"]
     clustered = summaries.repartition(order).sortWithinPartitions(*by_slice).select(*by_slice, *OrderCycles.outputs)
-    chained = clustered.mapInArrow(
-        _walker(lambda: ChainedCycles(span, early), 1, to_arrow_schema(schema), started=False), schema
-    )
+    walker = _walker(lambda: ChainedCycles(span, early), 1, to_arrow_schema(schema), started=False)
+    chained = stored(clustered.mapInArrow(walker, schema))
     true = chained.where(F.col("slice").isNotNull()).select(
         F.col(order).alias("_order"), F.col("slice").alias("_number"), F.col("beginning").alias("_true")
     )

@@ -57,16 +57,24 @@ def cut_by_time(df: DataFrame, keys: Sequence[str], time: str, width: timedelta
     return Sliced(df.withColumn(SLICE, number), list(keys))
 
 
-def cut_by_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> Sliced:
+def cut_by_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    slices: int | None = None,
+    sampled: DataFrame | None = None,
+) -> Sliced:
     """Number slices of about equally many rows in ``order``, whatever the keys.
 
     ``order`` is a column of whole numbers, and another that cuts its ties where very many rows share one.
     By default there are sixteen slices for each shuffle partition: dealt by hash, they load tasks
-    evenly. The driver samples some rows for each slice, and no more.
+    evenly. The driver samples some rows for each slice, and no more; with ``sampled``, rows of that
+    frame, where ``df`` is costly and a part of it.
     """
     slices = slices or 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     time, tie = order if len(order) > 1 else (order[0], None)
-    bounds = _bounds(df.select(time, (F.col(tie) if tie else F.lit(0)).alias("_tie")), slices)
+    source = df if sampled is None else sampled
+    bounds = _bounds(source.select(time, (F.col(tie) if tie else F.lit(0)).alias("_tie")), slices)
     times = list(dict.fromkeys(t for t, _ in bounds))
     if not times:
         return Sliced(df.withColumn(SLICE, F.lit(0).cast("bigint")), list(keys))
@@ -116,14 +124,18 @@ def running(
     out: str,
     agg: Callable[[Column], Column] = F.sum,
     width: timedelta | None = WIDTH,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """Running ``agg`` (sum, max or min) of ``value`` per key, up to and including each row.
 
     ``order`` starts with a millisecond column and must order the rows of a key totally. Slices are
-    ``width`` wide; with none, they are cut by numbers of rows.
+    ``width`` wide; with none, they are cut by numbers of rows (of ``sampled``, if given).
     """
     valued = df.withColumn("_value", value)
-    sliced = cut_by_rows(valued, keys, order) if width is None else cut_by_time(valued, keys, order[0], width)
+    if width is None:
+        sliced = cut_by_rows(valued, keys, order, sampled=sampled)
+    else:
+        sliced = cut_by_time(valued, keys, order[0], width)
     before = Window.partitionBy(*sliced.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         sliced.df.groupBy(*sliced.group)
@@ -143,10 +155,15 @@ def running(
 
 
 def position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, width: timedelta | None = WIDTH
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    width: timedelta | None = WIDTH,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """Exact 1-based row number per key."""
-    return running(df, keys, order, F.lit(1).cast("bigint"), out, F.sum, width)
+    return running(df, keys, order, F.lit(1).cast("bigint"), out, F.sum, width, sampled)
 
 
 def with_preceding(

@@ -20,6 +20,7 @@ from clickloom.functions.time import (
     next_midnight_ms,
 )
 from clickloom.operators import matching, patterns
+from clickloom.operators.accumulate import TrimmedMean, accumulate
 from clickloom.operators.topn import descending
 from clickloom.operators.windows import windowed_count
 from clickloom.plans import frames, jobs, sql
@@ -153,6 +154,19 @@ def marketing_total(spark, sf):
     return jobs.marketing_total(frames.marketing(frames.events(spark, sf)), DAY, "signup")
 
 
+@query
+def item_trimmed_mean(spark, sf):
+    """An aggregate of the user's own, per behaviour and sliding window."""
+    rows = frames.behavior(frames.events(spark, sf))
+    return accumulate(rows, ["behavior"], TrimmedMean(), ["item_id"], DAY, HOUR, "mean")
+
+
+@query
+def user_trimmed_mean(spark, sf):
+    rows = frames.behavior(frames.events(spark, sf))
+    return accumulate(rows, ["user_id"], TrimmedMean(), ["item_id"], 7 * DAY, None, "mean")
+
+
 def _capped(spark, sf):
     return jobs.ad_clicks_capped(frames.ad_clicks(frames.events(spark, sf)), 1, "UTC")
 
@@ -424,6 +438,12 @@ def stream_unique_visitor_updating(spark, sf):
     return stream_jobs.visitors_updating(views, spark, DAY)
 
 
+@query
+def stream_unique_visitor_running(spark, sf):
+    views = frames.behavior(_disturbed(spark, sf)).where(F.col("behavior") == "view")
+    return stream_jobs.visitors_running(processors.stream_first_visits(views, "user_id", DAY), spark)
+
+
 @query
 def stream_window_event_count(spark, sf):
     return append_files(windowed_count(_stream(spark, sf), [], DAY), spark, "window_event_count")
@@ -609,6 +629,16 @@ def _stream_one_to_one(spark, stream):
     return append_files(found, spark, "tx_one_to_one")
 
 
+@query
+def stream_tx_two_sources(spark, sf):
+    """Two sources with delays of their own; receipts come in smaller batches, hence far behind, and later."""
+    session = stateful_session(spark)
+    pays = jobs.paid_transactions(frames.payments(frames.disturbed_stream(session, sf)), "view")
+    lagging = frames.disturbed_stream(session, sf, 2 * DAY, 3, 36 * HOUR)
+    both = matching.connect(pays, frames.receipts(lagging))
+    return append_files(processors.stream_one_to_one(both, "tx_id", **NEAR), spark, "tx_two_sources")
+
+
 @query
 def stream_late_pages(spark, sf):
     log = frames.late_page_log(frames.event_stream(stateful_session(spark), sf, closed=False))

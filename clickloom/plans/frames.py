@@ -74,16 +74,22 @@ def event_stream(
     return _typed(rows).withWatermark(TS, f"{millis(delay)} milliseconds")
 
 
-def disturbed_stream(spark: SparkSession, folder: str, delay: timedelta = timedelta(days=1)) -> DataFrame:
+def disturbed_stream(
+    spark: SparkSession,
+    folder: str,
+    delay: timedelta = timedelta(days=1),
+    days: int = 5,
+    hold: timedelta = timedelta(hours=12),
+) -> DataFrame:
     """The table replayed in several micro-batches, out of order within ``delay``, then closed.
 
-    A batch is five days; of each batch's last twelve hours, every third row comes with the next one.
+    A batch is some days; of each batch's last hours (``hold``), every third row comes with the next one.
     Within a batch the newest rows come first.
     """
-    span, hold = 5 * 24 * 3_600_000, 12 * 3_600_000
+    span = days * 24 * 3_600_000
     raw = read_table(spark, folder, "events")
     ms = epoch_ms(raw, "ts")
-    late = (F.col("event_id") % 3 == 1) & (F.pmod(ms, F.lit(span)) >= span - hold)
+    late = (F.col("event_id") % 3 == 1) & (F.pmod(ms, F.lit(span)) >= span - millis(hold))
     batch = F.floor(ms / span) + F.when(late, 1).otherwise(0)
     ordered = raw.select(*EVENTS.names)
     path = shared_folder(spark, "disturbed")

@@ -342,6 +342,12 @@ SQL: dict[str, str] = {
     "unique_visitor_sketch": f"WITH {E} SELECT window_end_ms, true AS near FROM ({VIEWS})",
 }
 
+TRIMMED = """CASE WHEN count(*) > 2 THEN CAST(sum(item_id) - min(item_id) - max(item_id) AS DOUBLE) / (count(*) - 2) END"""
+SQL["item_trimmed_mean"] = f"""WITH {E} SELECT event_type AS behavior, (ms // {HOUR} + i) * {HOUR} AS window_end_ms, {TRIMMED} AS mean
+    FROM e, range(1, 25) r(i) GROUP BY 1, 2"""
+SQL["user_trimmed_mean"] = f"""WITH {E} SELECT user_id, (ms // {7 * DAY} + 1) * {7 * DAY} AS window_end_ms, {TRIMMED} AS mean
+    FROM e GROUP BY 1, 2"""
+
 # What the micro-batches of the disturbed replay add to each window, and the rankings after each of them.
 SPAN = 5 * DAY
 SQL["stream_hot_items_changes"] = f"""WITH {E},
@@ -398,6 +404,8 @@ SQL |= {
         "stream_tx_reconcile": "tx_reconcile",
         "stream_tx_one_to_one": "tx_reconcile_one_to_one",
         "stream_tx_one_to_one_out_of_order": "tx_reconcile_one_to_one",
+        "stream_tx_two_sources": "tx_reconcile_one_to_one",
+        "stream_unique_visitor_running": "unique_visitor_running",
     }.items()
 }
 SQL["stream_login_fail_sequence"] = (

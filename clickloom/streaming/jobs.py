@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from clickloom.functions.hashing import poly_hash
 from clickloom.functions.time import TS_MS, millis
 from clickloom.operators import lateness
+from clickloom.operators.hotkeys import position
 from clickloom.operators.topn import top_n
 from clickloom.operators.windows import WINDOW, WINDOW_END, time_window, window_end
 from clickloom.session import shared_folder
@@ -78,6 +79,47 @@ def visitors_bitmap(behavior: DataFrame, size: timedelta, visitor: str = "user_i
     return counts.select(window_end().alias(WINDOW_END), "uv")
 
 
+class RunningVisitors:
+    """Numbers first visits within their window, batch by batch, as a trigger on each row would show the count.
+
+    A batch's first visits come after those of all batches before it, so a visit's number is its place
+    in the batch on top of the window's count so far, which a compacted table holds.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, count: str = "uv"):
+        self.spark, self.folder, self.count = spark, folder, count
+        self.schema = T.StructType([*schema, T.StructField(count, T.LongType())])
+        counts = T.StructType([T.StructField(WINDOW_END, T.LongType()), T.StructField("_before", T.LongType())])
+        self.counts = CompactTable(spark, f"{folder}/counts", [WINDOW_END], counts)
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        added = batch.groupBy(WINDOW_END).agg(F.count(F.lit(1)).alias("_added"))
+        ends = added.agg(F.min(WINDOW_END).alias("low"), F.max(WINDOW_END).alias("high")).first()
+        if ends["low"] is None:
+            batch.unpersist()
+            self.counts.put(None, batch_id)
+            return
+        before = self.counts.table(batch_id - 1, F.col(WINDOW_END).between(ends["low"], ends["high"]))
+        placed = position(batch, [WINDOW_END], [TS_MS, "seq"], "_place", None).join(before, WINDOW_END, "left")
+        number = (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(self.count)
+        placed.select(*self.schema.names[:-1], number).write.mode("overwrite").parquet(f"{self.folder}/rows/{BATCH}={batch_id}")
+        now = added.join(before, WINDOW_END, "left")
+        self.counts.put(now.select(WINDOW_END, (F.col("_added") + F.coalesce("_before", F.lit(0))).alias("_before")), batch_id)
+        batch.unpersist()
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/rows").select(*self.schema.names)
+
+
+def visitors_running(visits: DataFrame, spark: SparkSession) -> DataFrame:
+    """Run a stream of first visits to its end: a row for each, with its window's count after it."""
+    folder = shared_folder(spark, "visitors_running")
+    running = RunningVisitors(spark, folder, visits.schema)
+    run_to_end(visits.writeStream.foreachBatch(running.write), f"{folder}/checkpoint")
+    return running.rows()
+
+
 class LateRouter:
     """Tags the late rows of a stream and keeps them, where Spark itself would drop them.
 

@@ -8,6 +8,8 @@ rule's small memory, which goes when no later row can need it.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import sys
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from clickloom.functions.time import TS, TS_MS, calendar_day, millis
+from clickloom.functions.hashing import poly_hash
+from clickloom.functions.time import TS, TS_MS, calendar_day, millis, slot_start
 from clickloom.operators import lifecycle
 from clickloom.operators.folds import (
     AnchoredFailures,
@@ -32,59 +35,129 @@ from clickloom.operators.folds import (
 from clickloom.operators.matching import LEFT, MATCHED, SIDE, UNMATCHED_LEFT, UNMATCHED_RIGHT
 from clickloom.operators.patterns import TIMED_OUT
 from clickloom.operators.ratelimit import PASSED, WARNING
+from clickloom.operators.windows import WINDOW_END
 
 cloudpickle.register_pickle_by_value(sys.modules["clickloom"])
 
 LONGS = T.StructType([T.StructField("values", T.ArrayType(T.LongType()))])
+NUMBER = T.StructType([T.StructField("number", T.LongType())])
 BY_SEQ, BY_TAG = "seq", "tag"
+# Rows of the first and of the largest chunks, rows sorted at once while they come in, rows handed to a rule at once.
+FIRST, CHUNK, PIECE, SLICE = 16, 128, 8192, 1024
 
 
 class InEventTime(StatefulProcessor):
     """Meets each key's rows in event time.
 
+    Rows wait in chunks sorted by time, each an entry of a map. The index lists the chunks' first
+    times, so that a timer reads the chunks that hold due rows and no others. What is left of a
+    chunk that the watermark has reached goes into new chunks, which no longer overlap in time. A row
+    is therefore read as often as the watermark stops inside its chunk, however long rows wait, and
+    memory holds the chunks that overlap, however many rows are due.
+
     ``held`` is the schema of what a row keeps while it waits. A row's place among those of the
     same time is by ``seq``, or by the higher tag and then ``seq``.
     """
 
     def __init__(self, held: T.StructType, ties: str = BY_SEQ):
         self.held, self.ties = held, ties
+        self.at = held.names.index(TS_MS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.memory = handle.getValueState("memory", LONGS)
-        self.waiting = handle.getListState("waiting", self.held)
+        self.index = handle.getValueState("index", LONGS)
+        rows = T.StructType([T.StructField("rows", T.ArrayType(self.held))])
+        self.waiting = handle.getMapState("waiting", NUMBER, rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(row[name] for name in self.held.names) for row in rows]
-        self.waiting.appendList(new)
-        at = self.held.names.index(TS_MS)
-        self.handle.registerTimer(min(row[at] for row in new))
+        number, chunks = self._index()
+        earliest = chunks[0][0] if chunks else None
+        piece = []
+        for row in rows:
+            piece.append(tuple(row[name] for name in self.held.names))
+            if len(piece) == PIECE:
+                number = self._keep(piece, number, chunks)
+                piece = []
+        number = self._keep(piece, number, chunks)
+        self._set_index(number, chunks)
+        if earliest is None or chunks[0][0] < earliest:
+            self.handle.registerTimer(chunks[0][0])
         return iter(())
 
+    def _index(self) -> tuple[int, list[tuple[int, int]]]:
+        """The next chunk's number, and (first time, number) of the waiting chunks in order of time."""
+        if not self.index.exists():
+            return 0, []
+        number, *flat = self.index.get()[0]
+        return number, list(zip(flat[::2], flat[1::2]))
+
+    def _set_index(self, number: int, chunks: list[tuple[int, int]]) -> None:
+        if chunks:
+            self.index.update(([number, *(v for c in chunks for v in c)],))
+        else:
+            self.index.clear()
+
+    def _keep(self, rows: list[tuple], number: int, chunks: list[tuple[int, int]]) -> int:
+        """Let rows wait in new chunks, small ones for the rows that are due next; gives the next number."""
+        rows.sort(key=lambda r: r[self.at])
+        low, size = 0, CHUNK if len(rows) <= 2 * FIRST else FIRST
+        while low < len(rows):
+            part = rows[low : low + size]
+            low, size = low + size, min(2 * size, CHUNK)
+            self.waiting.updateValue((number,), (part,))
+            chunks.append((part[0][self.at], number))
+            number += 1
+        chunks.sort()
+        return number
+
+    def _place(self, row: dict) -> tuple:
+        return (row[TS_MS], -row["_tag"] if self.ties == BY_TAG else 0, row["seq"])
+
+    def _due(self, chunks: list[tuple[int, int]], now: int, later: list[tuple]) -> Iterator[dict]:
+        """The rows up to ``now`` in order; chunks are taken out as they are reached, and what is later in them is set aside."""
+        ahead, loaded = [], 0
+        while True:
+            while chunks and chunks[0][0] <= now and (not ahead or chunks[0][0] <= ahead[0][0][0]):
+                _, number = chunks.pop(0)
+                for values in self.waiting.getValue((number,))[0]:
+                    if values[self.at] > now:
+                        later.append(tuple(values))
+                        continue
+                    row = dict(zip(self.held.names, values))
+                    heapq.heappush(ahead, (self._place(row), loaded, row))
+                    loaded += 1
+                self.waiting.removeKey((number,))
+            if not ahead:
+                return
+            yield heapq.heappop(ahead)[2]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        names = self.held.names
-        rows = [dict(zip(names, row)) for row in self.waiting.get()] if self.waiting.exists() else []
-        due = [row for row in rows if row[TS_MS] <= now]
-        if due:
-            later = [tuple(row[n] for n in names) for row in rows if row[TS_MS] > now]
-            if later:
-                self.waiting.put(later)
-            else:
-                self.waiting.clear()
-        due.sort(key=lambda r: (r[TS_MS], -r["_tag"] if self.ties == BY_TAG else 0, r["seq"]))
+        number, chunks = self._index()
+        waited = len(chunks)
         known = list(self.memory.get()[0]) if self.memory.exists() else []
-        found, state, deadline = self.meet(key, due, known, now)
+        state, later = known, []
+        due = self._due(chunks, now, later)
+        rows = list(itertools.islice(due, SLICE))
+        while True:
+            following = list(itertools.islice(due, SLICE))
+            # Up to just before a slice's last time, all rows have been met.
+            upto = rows[-1][TS_MS] - 1 if following else now
+            found, state, deadline = self.meet(key, rows, state, upto)
+            yield from found
+            if not following:
+                break
+            rows = following
+        if later or len(chunks) < waited:
+            self._set_index(self._keep(later, number, chunks), chunks)
         if state:
             self.memory.update(([int(v) for v in state],))
         elif known:
             self.memory.clear()
-        nexts = [row[TS_MS] for row in rows if row[TS_MS] > now]
-        if deadline is not None:
-            nexts.append(deadline)
+        nexts = [c[0] for c in chunks[:1]] + ([deadline] if deadline is not None else [])
         if nexts:
             self.handle.registerTimer(min(nexts))
-        yield from found
 
     def meet(self, key, rows: list[dict], state: list[int], now: int) -> tuple[list[Row], list[int], int | None]:
         """Results of the rows and of what ran out by ``now``, the new state, and when to look again."""
@@ -131,6 +204,41 @@ class ClickCap(InEventTime):
         return out, [v for pair in open_days for v in pair], open_days[0][0] if open_days else None
 
 
+class FirstVisits(InEventTime):
+    """The rows that set a bit of their key's bitmap first. Words of the bitmap are entries of a map, which goes at the key's end.
+
+    The first part of the key is the end of its window; ``_offset`` is a row's bit.
+    """
+
+    WORD = 32
+
+    def __init__(self, held: T.StructType, key_names: Sequence[str]):
+        super().__init__(held)
+        self.key_names = list(key_names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.words = handle.getMapState("words", NUMBER, NUMBER)
+
+    def meet(self, key, rows, state, now):
+        words, changed, out = {}, set(), []
+        for row in rows:
+            word, bit = divmod(row["_offset"], self.WORD)
+            if word not in words:
+                found = self.words.getValue((word,)) if self.words.containsKey((word,)) else (0,)
+                words[word] = found[0]
+            if not words[word] >> bit & 1:
+                words[word] |= 1 << bit
+                changed.add(word)
+                out.append(Row(**dict(zip(self.key_names, key)), **{k: v for k, v in row.items() if k != "_offset"}))
+        if now >= key[0]:
+            self.words.clear()
+            return out, [], None
+        for word in changed:
+            self.words.updateValue((word,), (words[word],))
+        return out, [1], key[0]
+
+
 def _schema(df: DataFrame, names: Sequence[str], **added: T.DataType) -> T.StructType:
     return T.StructType(
         [df.schema[n] for n in names] + [T.StructField(n, kind) for n, kind in added.items()]
@@ -246,3 +354,20 @@ def stream_one_to_one(
     names = [MATCHED, UNMATCHED_LEFT, UNMATCHED_RIGHT]
     outcome = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("code") + 1).cast("int"))
     return found.select(on, "left_seq", "right_seq", outcome.alias("outcome"))
+
+
+def stream_first_visits(
+    df: DataFrame, visitor: str, size: timedelta, buckets: int = 16
+) -> DataFrame:
+    """Each window's first row of each hashed visitor, in event time: ``window_end_ms``, visitor, time and ``seq``.
+
+    A window's bitmap is dealt over ``buckets`` keys. State goes at the window's end.
+    """
+    span = millis(size)
+    offset = poly_hash(F.col(visitor).cast("string"))
+    end = slot_start(F.col(TS_MS), span) + span
+    rows = df.select(end.alias(WINDOW_END), F.pmod(offset, F.lit(buckets)).alias("_bucket"), TS, TS_MS, "seq", visitor,
+                     F.floor(offset / buckets).cast("bigint").alias("_offset"))
+    keys, held = [WINDOW_END, "_bucket"], _schema(rows, [TS_MS, "seq", visitor, "_offset"])
+    schema = _schema(rows, [*keys, TS_MS, "seq", visitor])
+    return _run(rows, keys, FirstVisits(held, keys), schema).drop("_bucket")

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from datetime import timedelta as D
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from clickloom.functions import with_event_time
 from clickloom.operators import folds, lateness, matching, patterns, ratelimit
-from clickloom.operators.distinct import distinct_exact
+from clickloom.operators.distinct import distinct_exact, distinct_running
 from clickloom.operators.windows import labelled_total, salted_count, windowed_count
 from clickloom.plans import frames, jobs
 from clickloom.sources import append_files, by_outcome, console, order_events, replay, run_every, run_to_end
@@ -395,3 +396,146 @@ def test_delimited_stream(spark, order_files):
 def test_replay_of_a_table(spark):
     got = append_files(replay(spark, SF, "events", frames.EVENTS), spark, "t")
     assert got.count() == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+class FakeHandle:
+    """State of one key in dictionaries, counting what is read from the waiting rows."""
+
+    def __init__(self):
+        self.states, self.timers, self.rows_read, self.rows_written, self.values_read = {}, set(), 0, 0, 0
+
+    def getValueState(self, name, schema):
+        return FakeState(self, self.states.setdefault(name, {}))
+
+    def getMapState(self, name, keys, values):
+        return FakeState(self, self.states.setdefault(name, {}))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+class FakeState:
+    def __init__(self, handle, data):
+        self.handle, self.data = handle, data
+
+    def exists(self):
+        return bool(self.data)
+
+    def get(self):
+        self.handle.values_read += len(self.data[()][0])
+        return self.data[()]
+
+    def update(self, value):
+        self.data[()] = value
+
+    def clear(self):
+        self.data.clear()
+
+    def containsKey(self, key):
+        return key in self.data
+
+    def getValue(self, key):
+        self.handle.rows_read += len(self.data[key][0])
+        return self.data[key]
+
+    def updateValue(self, key, value):
+        self.handle.rows_written += len(value[0])
+        self.data[key] = value
+
+    def removeKey(self, key):
+        del self.data[key]
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+class Recorder(processors.InEventTime):
+    """Remembers the order in which rows are met."""
+
+    def meet(self, key, rows, state, now):
+        assert all(r["ts_ms"] <= max(now, r["ts_ms"]) for r in rows)
+        return [(r["ts_ms"], r["seq"]) for r in rows], [len(rows)], None
+
+
+HELD = T.StructType([long("ts_ms"), long("seq")])
+
+
+def fed(delay, each, steps=400, seed=5):
+    """One key's rows, ``each`` per micro-batch and out of order within the delay; what the state did."""
+    pick, handle, met = random.Random(seed), FakeHandle(), []
+    recorder = Recorder(HELD)
+    recorder.init(handle)
+    seq = 0
+    for step in range(steps + delay // 10 + 2):
+        now = 10 * step - delay
+        if step < steps:
+            batch = []
+            for _ in range(each):
+                batch.append({"ts_ms": max(0, 10 * step - pick.randrange(delay)) + delay, "seq": seq})
+                seq += 1
+            list(recorder.handleInputRows((1,), iter(batch), Clock(now)))
+        due = sorted(t for t in handle.timers if t <= now + delay)
+        handle.timers -= set(due)
+        for timer in due:
+            met += recorder.handleExpiredTimer((1,), Clock(now + delay), timer)
+    return handle, met, seq
+
+
+@pytest.mark.parametrize("each", [1, 10, 300])
+def test_waiting_rows_are_read_a_constant_number_of_times(each):
+    per_row = []
+    for delay in (100, 1000, 3000):
+        handle, met, n = fed(delay, each)
+        assert met == sorted(met) and len(met) == n
+        assert not handle.states["waiting"] and not handle.states["index"]
+        per_row.append(handle.rows_read / n)
+    assert max(per_row) < 12, per_row
+
+
+def test_very_many_due_rows_are_met_in_slices():
+    handle, met, n = fed(1000, 9000, steps=3)
+    assert len(met) == n == 27_000 and met == sorted(met)
+
+
+def test_running_visitors(spark, feed):
+    """Every first visit with the count after it, out of order within the delay, equals the batch form."""
+    pick = random.Random(2)
+    data = [(i, max(0, 700 * i - pick.choice([0, 0, 9000])), pick.randrange(30), "pv") for i in range(150)]
+    f = feed(VISIT, [data[:40], data[40:41], data[41:110], data[110:], [(FAR, 10_000_000, 99, "pv")]])
+    views = f.stream(15 * S)
+    got = stream_jobs.visitors_running(processors.stream_first_visits(views, "user_id", 20 * S, 3), spark)
+    expected = distinct_running(f.table(), "user_id", "seq", 20 * S)
+    names = ["window_end_ms", "user_id", "ts_ms", "seq", "uv"]
+    assert before_close(got.select(*names)) == before_close(expected.select(*names)) != []
+
+
+def test_running_visitors_of_a_repeated_batch(spark, tmp_path):
+    schema = T.StructType([long("window_end_ms"), long("ts_ms"), long("seq"), long("user_id")])
+    running = stream_jobs.RunningVisitors(spark, f"file://{tmp_path}/v", schema)
+    parts = [[(10, 1, 1, 5), (10, 2, 2, 6), (20, 12, 3, 5)], [], [(20, 13, 4, 7), (20, 14, 5, 8)], [(20, 15, 6, 9)]]
+    for number, part in enumerate(parts):
+        for _ in range(2 if number == 2 else 1):
+            running.write(spark.createDataFrame(part, schema), number)
+    assert [r[-1] for r in rows(running.rows())] == [1, 2, 1, 2, 3, 4]
+
+
+def test_two_sources_under_the_smaller_watermark(spark, feed):
+    """One source is far ahead of the other; no row of the one that lags is dropped."""
+    fields = [long("seq"), long("time"), text("tx_id")]
+    pick = random.Random(6)
+    left = [(i, 1000 * i, f"t{pick.randrange(6)}") for i in range(60)]
+    right = [(100 + i, 1000 * i + 500, f"t{pick.randrange(6)}") for i in range(60)]
+    closing = [(FAR, 10_000_000, "end")]
+    ahead = feed(fields, [left[:55], left[55:], closing], "left")
+    shuffled = [right[k : k + 6][::-1] for k in range(0, 60, 6)]
+    behind = feed(fields, [*shuffled, closing], "right")
+    both = matching.connect(ahead.stream(S), behind.stream(20 * S))
+    got = append_files(processors.stream_one_to_one(both, "tx_id", 2 * S, 3 * S), spark, "t").where("tx_id <> 'end'")
+    expected = folds.pair_one_to_one(ahead.table(), behind.table(), "tx_id", "seq", 2 * S, 3 * S).where("tx_id <> 'end'")
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, got.collect())) == sorted(map(key, expected.select(*got.columns).collect()))
