@@ -19,14 +19,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_as_in_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = con.execute(SQL[name])
     names = [d[0] for d in result.description]
