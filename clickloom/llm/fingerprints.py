@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.storage import stored
@@ -39,6 +39,8 @@ LEVELS = 1001
 #: Windows below this level (thousandths of the largest entropy) say nothing.
 LEAST_LEVEL = 100
 BLOCK_ROWS = 256
+#: Spans of ids of equally many rows, in each of which blocks are equally wide.
+SPANS = 256
 _SCALE = 1 << 20
 _share = np.arange(1, WINDOW + 1) / WINDOW
 _ENTROPY = np.concatenate(([0], np.rint(-_share * np.log2(_share) * _SCALE))).astype(np.int64)
@@ -300,16 +302,37 @@ def _following(first: DataFrame) -> DataFrame:
     return inner.join(ends.select("group", "next_first"), "group").select("block", F.coalesce("after", "next_first").alias("after"))
 
 
+def _numbered_blocks(docs: DataFrame, block_rows: int) -> Column:
+    """The number of the block of a ``doc_id``; blocks rise with ids and hold about ``block_rows`` of them.
+
+    Quantiles of the ids bound spans, and each span has blocks of a width of its own, by its own
+    density: no block holds more than a span, wherever ids lie far apart.
+    """
+    cuts = docs.select(F.col("doc_id").cast("double").alias("id")).approxQuantile("id", [k / SPANS for k in range(1, SPANS)], 0.25 / SPANS)
+    lows = F.array(*(F.lit(c) for c in sorted(set(cuts)))) if cuts else F.array().cast("array<double>")
+    span = F.size(F.filter(lows, lambda low: low <= F.col("doc_id").cast("double")))
+    ends = docs.groupBy(span.alias("span")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+    width, base, begun = [1] * SPANS, [0] * SPANS, 0
+    for row in sorted(ends.collect()):  # SPANS rows at most
+        k, low, high, rows = row
+        width[k] = min(block_rows * -(-(high - low + 1) // rows), 1 << 62)
+        base[k] = begun - low // width[k]
+        begun = base[k] + high // width[k] + 1
+    own = F.element_at(F.array(*(F.lit(w).cast("long") for w in width)), span + 1)
+    down = F.when((F.col("doc_id") < 0) & (F.pmod(F.col("doc_id"), own) != 0), 1).otherwise(0)
+    quotient = F.call_function("div", F.col("doc_id"), own)
+    return quotient - down + F.element_at(F.array(*(F.lit(b).cast("long") for b in base)), span + 1)
+
+
 def fingerprint_documents(docs: DataFrame, text: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The columns of ``RESULT`` for each document with an id."""
     from pyspark.sql.types import _parse_datatype_string
 
     rank = rarity(level_counts(docs, text))
     known = docs.where(F.col("doc_id").isNotNull())
-    low, high, rows = known.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    width = block_rows * (-(-(high - low + 1) // rows)) if rows else block_rows  # ids of a block, by their density
+    ids = known.select(F.col("doc_id").cast("long").alias("doc_id"))
     texts = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.col(text).alias("_text"))
-    blocks = _packed(texts).withColumn("block", F.expr(f"(doc_id - pmod(doc_id, {width})) div {width}"))
+    blocks = _packed(texts).withColumn("block", _numbered_blocks(ids, block_rows))
     walked = stored(_walk(blocks.repartition("block").sortWithinPartitions("block", "doc_id", "tie"), rank))
     names = [f.split()[0] for f in RESULT.split(", ")]
     done = walked.where("edge = 0").select(*names)

@@ -4,9 +4,9 @@ A document's tokens are cut by a rule that looks at their number only: whole seq
 then pieces of exactly ``capacity // k`` tokens while leaving the rest whole would waste much.
 A piece of length ``l`` belongs to class ``k = capacity // l``, and every sequence of class ``k``
 takes exactly ``k`` pieces, so each (class, shard) fills its sequences without knowing of the
-others. What does not fill a sequence goes through one more round by class and at last, one
-partial sequence's worth a class, into mixed sequences. Only piece descriptions are shuffled,
-never tokens.
+others. A shard has pieces for ``SHARD_SEQUENCES`` sequences or more. What does not fill one is dealt
+out to fewer shards in the next round, until a class has one shard; its last partial sequence's
+worth goes into mixed sequences. Only piece descriptions are shuffled, never tokens.
 
 Null or empty texts have one token, the end token. Repeated rows are packed once each. A null
 ``doc_id`` stays null. Extra columns are ignored. No rows give no pieces.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,10 @@ END = 1
 SMALL, WASTE = 16, 50
 #: Pieces that one (class, shard) numbers; a bound of a task's sort, not of the data.
 SHARD_ROWS = 4_096
+#: Sequences that a shard fills at least, so that few of its pieces are left over.
+SHARD_SEQUENCES = 64
+#: Rounds and the mixed sequences number theirs apart; each round leaves a 64th of the one before.
+LEVELS = 16
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -156,15 +161,12 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) ->
 
 def _identity(level: int, shards: Column, shard: Column, number: Column, k: Column) -> Column:
     """A number for each sequence that no other (level, class, shard) uses."""
-    return ((number * shards + shard) * F.lit(CAPACITY + 1) + k) * F.lit(3) + F.lit(level)
+    return ((number * shards + shard) * F.lit(CAPACITY + 1) + k) * F.lit(LEVELS) + F.lit(level)
 
 
-def _filled(pieces: DataFrame, shards: DataFrame | None, level: int) -> DataFrame:
+def _filled(pieces: DataFrame, shards: DataFrame, level: int) -> DataFrame:
     """Number the pieces of each (class, shard) and put ``k`` to a sequence; ``full`` tells whole sequences."""
-    if shards is None:
-        rows = pieces.withColumn("shards", F.lit(1).cast("long"))
-    else:
-        rows = pieces.join(F.broadcast(shards), "k")  # a row for each class, at most 2 * sqrt(capacity)
+    rows = pieces.join(F.broadcast(shards), "k")  # a row for each class, at most 2 * sqrt(capacity)
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("shards")))
     group = Window.partitionBy("k", "shard")
     order = group.orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
@@ -199,7 +201,7 @@ def _mixed(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFra
         place.append(b)
         offset.append(capacity - room[b])
         room[b] -= length
-    rows["sequence_id"] = np.array(place, np.int64) * 3 * (CAPACITY + 1) + 2
+    rows["sequence_id"] = np.array(place, np.int64) * LEVELS * (CAPACITY + 1) + LEVELS - 1
     rows["offset"] = np.array(offset, np.int64)
     yield rows
 
@@ -207,21 +209,22 @@ def _mixed(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFra
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``capacity`` tokens."""
     columns = [f.split()[0] for f in PIECES.split(", ")]
-    pieces = stored(pieces.select(*columns).withColumn("k", F.expr(f"{capacity} div length")))
-    shards = pieces.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("long").alias("shards"))
-    first = _filled(pieces, shards, 0)
-    numbered = [*columns, "k", "sequence_id", "offset", "full"]
-    first = stored(first.select(*numbered))
-    second = stored(_filled(first.where(~F.col("full")).select(*columns, "k"), None, 1).select(*numbered))
-    last = second.where(~F.col("full")).select(*columns)
+    whole = [*columns, "sequence_id", "offset"]
+    left = stored(pieces.select(*columns).withColumn("k", F.expr(f"{capacity} div length")))
+    done: list[DataFrame] = []
+    most = 2
+    while most > 1:
+        size = F.greatest(F.lit(shard_rows), F.lit(SHARD_SEQUENCES) * F.col("k"))
+        shards = stored(left.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / F.first(size)).cast("long").alias("shards")))
+        most = shards.agg(F.max("shards")).first()[0] or 0
+        filled = stored(_filled(left, shards, len(done)).select(*columns, "k", "sequence_id", "offset", "full"))
+        done.append(filled.where("full").select(*whole))
+        left = filled.where(~F.col("full")).select(*columns, "k")
     # at most k - 1 pieces of each class k, whatever the size of the corpus
-    last = last.coalesce(1).mapInPandas(
+    mixed = left.select(*columns).coalesce(1).mapInPandas(
         lambda frames: (out for out in _mixed_or_nothing(frames, capacity)), f"{PIECES}, sequence_id long, offset long"
     )
-    whole = [*columns, "sequence_id", "offset"]
-    return (
-        first.where("full").select(*whole).unionByName(second.where("full").select(*whole)).unionByName(last.select(*whole))
-    )
+    return reduce(DataFrame.unionByName, [*done, mixed.select(*whole)])
 
 
 def _mixed_or_nothing(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFrame]:

@@ -22,6 +22,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -37,15 +38,22 @@ CHUNK = 1 << 18
 _GZIP = 31  # zlib's window bits for a gzip stream
 
 
-def record_head(kind: str, page: object, url: str | None, digest: str, refers: object, length: int, revisit_of: object) -> bytes:
+#: Fixed value: the standard's name for a revisit whose payload has the digest of an earlier one.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def record_head(
+    kind: str, page: object, url: str | None, digest: str, refers: object, length: int, revisit_of: object, date: str = "1970-01-01T00:00:00Z"
+) -> bytes:
     """The head of a record, up to and with the empty line."""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: <urn:page:{page}>",
+        f"WARC-Date: {date}",
         *([f"WARC-Target-URI: {json.dumps(url)[1:-1]}"] if url is not None else []),
         f"WARC-Payload-Digest: sha256:{digest}",
-        *([f"WARC-Refers-To: <urn:page:{revisit_of}>"] if kind == "revisit" else []),
+        *([f"WARC-Profile: {SAME_PAYLOAD}", f"WARC-Refers-To: <urn:page:{revisit_of}>"] if kind == "revisit" else []),
         f"X-Payload-Bytes: {refers}",
         "Content-Type: text/html; charset=utf-8",
         f"Content-Length: {length}",
@@ -190,7 +198,11 @@ def with_revisits(pages: DataFrame, payload: str = "html") -> DataFrame:
 
 
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
-    """Write each row of ``with_revisits`` as a record; ``archive`` and ``records`` of each whole-file gzip stream."""
+    """Write each row of ``with_revisits`` as a record; ``archive`` and ``records`` of each whole-file gzip stream.
+
+    The table has no time of capture, so all records are dated by the call.
+    """
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -213,7 +225,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
                 page, url, packed, digest, revisit, response = (c[row].as_py() for c in columns)
                 content = inflate.decompress(packed)
                 body = b"" if revisit else content
-                record = record_head("revisit" if revisit else "response", page, url, digest, len(content), len(body), response) + body + b"\r\n\r\n"
+                record = record_head("revisit" if revisit else "response", page, url, digest, len(content), len(body), response, date) + body + b"\r\n\r\n"
                 if out is None:
                     name = f"part-{uuid.uuid4().hex}.warc.gz"
                     out = [system.open_output_stream(f"{root}/{name}", compression=None), zlib.compressobj(4, zlib.DEFLATED, _GZIP), name, 0, 0]

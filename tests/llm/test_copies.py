@@ -79,6 +79,17 @@ def test_fingerprints(spark, block_rows):
     assert fingerprints.likeness(known[13][1], known[15][1]) > 0.7 > 0.2 > fingerprints.likeness(known[13][1], known[16][1])
 
 
+def test_blocks_of_ids_far_apart(spark):
+    """One id far from the others, and two dense stretches: blocks stay small and rise with the ids."""
+    ids = spark.range(0, 20_000).unionByName(spark.range(10**9, 10**9 + 20_000)).unionByName(spark.range(10**12, 10**12 + 1))
+    ids = ids.unionByName(spark.createDataFrame([(-(2**63),), (2**63 - 1,)], "id long")).withColumnRenamed("id", "doc_id")
+    rows = ids.withColumn("block", fingerprints._numbered_blocks(ids, 64)).orderBy("doc_id").collect()
+    blocks = [r["block"] for r in rows]
+    assert blocks == sorted(blocks) and blocks[0] >= 0
+    assert max(blocks.count(b) for b in set(blocks[:20_000:50])) <= 2 * -(-40_003 // fingerprints.SPANS)
+    assert max(np.bincount(np.unique(blocks, return_inverse=True)[1])) <= 2 * -(-40_003 // fingerprints.SPANS)
+
+
 def test_one_fingerprint_and_none(spark):
     docs = documents(spark, ["only text"])
     assert [r["near_next"] for r in fingerprints.fingerprint_documents(docs).collect()] == [1.0]

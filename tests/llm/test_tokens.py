@@ -10,6 +10,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import AWKWARD, by_id, documents, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickloom.llm import packing, sentencepieces
@@ -113,6 +114,28 @@ def test_pack_in_many_shards(spark):
     assert sum(r[2] for r in rows) / (packing.CAPACITY * len(sequences)) > 0.93
 
 
+def test_a_class_of_very_many_pieces_is_no_single_group(spark, monkeypatch):
+    """200,000 empty texts: no (class, shard) of any round has over twice the rows a shard is meant to have."""
+    seen = []
+    filled = packing._filled
+
+    def watched(pieces, shards, level):
+        rows = filled(pieces, shards, level)
+        seen.append((level, rows.groupBy("k", "shard").count().agg(F.max("count")).first()[0]))
+        return rows
+
+    monkeypatch.setattr(packing, "_filled", watched)
+    n = 200_000
+    rows = spark.range(0, n, 1, 8).selectExpr("id doc_id", "0L start", "1L length", "id ids_crc32", "1L doc_tokens")
+    monkeypatch.setattr(packing, "SHARD_SEQUENCES", 4)
+    packed = packing.pack(rows)
+    assert packed.agg(F.count("*"), F.countDistinct("doc_id")).first() == (n, n)
+    assert packed.select("sequence_id", "offset").distinct().count() == n
+    assert packed.select("sequence_id").distinct().count() == -(-n // packing.CAPACITY)
+    assert [level for level, _ in seen] == list(range(len(seen))) and 3 <= len(seen) <= 5
+    assert all(most <= 2 * 4 * packing.CAPACITY for _, most in seen)
+
+
 def test_nothing_to_encode_or_pack(spark):
     docs = documents(spark, ["x"]).where("false")
     assert sentencepieces.encode_documents(docs, PIECES).collect() == []
