@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.storage import stored
+from clickloom.llm.storage import stored, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     minima are combined before the shuffle, and a node of very many edges is a skewed join key,
     which the adaptive plan splits. Rounds grow with the logarithm of the longest path.
     """
-    now = stored(
+    now = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
     )
     before = None
@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         smaller = joined.select(F.col("low").alias("high"), F.col("least").alias("low")).unionByName(
             least.select("high", F.col("least").alias("low"))
         )
-        now = stored(smaller.where("high <> low").distinct())
+        now = written(smaller.where("high <> low").distinct())  # so that sizes are known, not multiplied in each round
         after = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if after == before:
             break

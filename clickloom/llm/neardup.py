@@ -12,9 +12,9 @@ sequence). Documents of equal sets form a class, and only classes are compared.
    and two classes are only looked at in the first list that they have in common.
 3. Union sketch: pairs that meet are estimated by the sketch of their union (of pairs with a
    similarity of 0.75 all but one in 29 million pass). What is likely enough
-   joins two classes to a cluster; a block passes on a spanning forest, never its pairs.
-4. Exact check: within a cluster, again by pairs of blocks, the full sets are compared, and the
-   links found are passed on as a spanning forest. Their components are the result.
+   joins two classes to a cluster; a block passes on stars, and two blocks only what joins their stars.
+4. Exact check: within a cluster, the full sets are compared, first within blocks, then one member of
+   each part found so, then members of parts that are still apart. The components are the result.
 
 Null texts and texts without words have an empty set and are linked with nothing. Rows without a
 ``doc_id`` are left out. Each row gives one row; rows that share an id count as one document when
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.graph import components
@@ -41,8 +41,11 @@ K, SHARED = 32, 8
 #: Of the union's K smallest values, this many must be common to both for a pair to be checked.
 LIKELY = 10
 BLOCK = 512
+#: Rows of a block that others are held against first, so that later lists repeat the edges of earlier ones.
+LEADERS = 8
 #: Shingles that the blocks of a cluster are made for, besides their number of classes.
 BLOCK_SHINGLES = 400_000
+_FILLER = np.uint32(2**32 - 1)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -89,22 +92,24 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_texts(docs, ["doc_id"], schema, sketch, text)
 
 
-def _forest(links: np.ndarray) -> list[tuple[int, int]]:
-    """Of links between row numbers, those that join what was not yet joined."""
-    parent: dict[int, int] = {}
+def _least(n: int, links: np.ndarray) -> np.ndarray:
+    """The smallest of ``n`` rows that each is joined with by the links between rows."""
+    label = np.arange(n)
+    while True:
+        ends = label[links]
+        apart = ends[:, 0] != ends[:, 1]
+        if not apart.any():
+            return label
+        links, ends = links[apart], ends[apart]
+        np.minimum.at(label, ends.max(1), ends.min(1))
+        while not np.array_equal(further := label[label], label):
+            label = further
 
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(up, up)
-        return x
 
-    out = []
-    for a, b in links.tolist():
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out
+def _star(nodes: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Each joined row's node and the smallest node that it is joined with."""
+    at = np.flatnonzero(label != np.arange(len(label)))
+    return list(zip(nodes[at].tolist(), nodes[label[at]].tolist(), strict=True))
 
 
 def _common(values: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
@@ -126,38 +131,51 @@ def _common(values: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
     return np.rint(total).astype(np.int64)
 
 
-def _pairs(left: np.ndarray, right: np.ndarray, same: bool) -> np.ndarray:
-    """Mask of the pairs that a (block, block) group is for."""
-    mask = left[:, None] & right[None, :]
-    return np.triu(mask, 1) if same else mask
-
-
-def _likely(sizes: np.ndarray, sketch: list[np.ndarray], mask: np.ndarray) -> np.ndarray:
-    """Pairs of rows whose union sketch makes the similarity possible."""
-    common = _common(sketch)
-    fits = mask & (100 * np.minimum.outer(sizes, sizes) >= PERCENT * np.maximum.outer(sizes, sizes))
-    need = np.array([least_shared(int(n)) for n in sizes])
-    a, b = np.nonzero(fits & (common >= np.minimum.outer(need, need)))
-    if not len(a):
-        return np.zeros((0, 2), np.int64)
-    filler = np.uint32(2**32 - 1)
-    table = np.full((len(sketch), K), filler, np.uint32)
-    for k, s in enumerate(sketch):
-        table[k, : len(s)] = s
-    in_union = np.zeros(len(a), np.int64)
-    for low in range(0, len(a), 1 << 14):
-        part = slice(low, low + (1 << 14))
-        merged = np.sort(np.concatenate((table[a[part]], table[b[part]]), axis=1), axis=1)
-        twice = np.zeros(merged.shape, bool)
-        twice[:, :-1] = (merged[:, 1:] == merged[:, :-1]) & (merged[:, 1:] != filler)
-        again = np.zeros(merged.shape, bool)
-        again[:, 1:] = twice[:, :-1]
-        place = np.cumsum(~again, axis=1)
-        in_union[part] = (twice & (place <= K)).sum(1)
-    whole = (sizes[a] <= K) & (sizes[b] <= K)
-    exact = 100 * common[a, b] >= PERCENT * (sizes[a] + sizes[b] - common[a, b])
-    good = np.where(whole, exact, in_union >= np.minimum(LIKELY, np.minimum(need[a], need[b])))
-    return np.column_stack((a, b))[good]
+class _Sketches:
+    """Tells which pairs of rows are likely: their union sketch makes the similarity possible."""
+
+    def __init__(self, sizes: np.ndarray, sketch: list[np.ndarray]):
+        self.sizes, self.common = sizes, _common(sketch)
+        self.need = np.array([least_shared(int(n)) for n in sizes])
+        fits = 100 * np.minimum.outer(sizes, sizes) >= PERCENT * np.maximum.outer(sizes, sizes)
+        self.possible = fits & (self.common >= np.minimum.outer(self.need, self.need))
+        self.table = np.full((len(sketch), K), _FILLER, np.uint32)
+        for k, s in enumerate(sketch):
+            self.table[k, : len(s)] = s
+
+    def likely(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the possible pairs of rows are likely."""
+        in_union = np.zeros(len(a), np.int64)
+        for low in range(0, len(a), 1 << 14):
+            part = slice(low, low + (1 << 14))
+            merged = np.sort(np.concatenate((self.table[a[part]], self.table[b[part]]), axis=1), axis=1)
+            twice = np.zeros(merged.shape, bool)
+            twice[:, :-1] = (merged[:, 1:] == merged[:, :-1]) & (merged[:, 1:] != _FILLER)
+            again = np.zeros(merged.shape, bool)
+            again[:, 1:] = twice[:, :-1]
+            place = np.cumsum(~again, axis=1)
+            in_union[part] = (twice & (place <= K)).sum(1)
+        whole = (self.sizes[a] <= K) & (self.sizes[b] <= K)
+        both = self.common[a, b]
+        exact = 100 * both >= PERCENT * (self.sizes[a] + self.sizes[b] - both)
+        return np.where(whole, exact, in_union >= np.minimum(LIKELY, np.minimum(self.need[a], self.need[b])))
+
+    def pairs(self, mask: np.ndarray) -> np.ndarray:
+        a, b = np.nonzero(mask & self.possible)
+        return np.column_stack((a, b))[self.likely(a, b)]
+
+    def led(self, rows: np.ndarray) -> np.ndarray:
+        """Likely pairs of a first row with others, then of the first of the rest, a few times."""
+        found = [np.zeros((0, 2), np.int64)]
+        for _ in range(LEADERS):
+            if len(rows) < 2:
+                break
+            first, rows = rows[0], rows[1:]
+            near = self.possible[first, rows]
+            near[near] = self.likely(np.full(near.sum(), first), rows[near])
+            found.append(np.column_stack((np.full(near.sum(), first), rows[near])))
+            rows = rows[~near]
+        return np.concatenate(found)
 
 
 def _grouped(rows: DataFrame, key: list[str], columns: list[str], function, schema: str) -> DataFrame:  # type: ignore[no-untyped-def]
@@ -196,15 +214,27 @@ def _grouped(rows: DataFrame, key: list[str], columns: list[str], function, sche
     return rows.select(*key, *columns).repartition(*key).sortWithinPartitions(*key).mapInArrow(run, wanted)
 
 
-def _blocks(rows: DataFrame, member: str, blocks: str) -> DataFrame:
-    """A copy of each row for each pair of blocks that its own block is in: ``block, block_a, block_b``."""
-    own = rows.withColumn("block", F.pmod(F.xxhash64(member), F.col(blocks)))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
+def _met(rows: DataFrame, others: Column) -> DataFrame:
+    """A copy of each row for each block in ``others`` that its own ``block`` is compared with: ``block_a, block_b``."""
+    other = rows.withColumn("other", F.explode(others))
     return other.withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
 
 
+def _up_to(n: Column) -> Column:
+    """0 to ``n - 1``, nothing if there is none."""
+    return F.filter(F.sequence(F.lit(0).cast("long"), n), lambda x: x < n)
+
+
+def _blocks_for(count: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(count / BLOCK, shingles / BLOCK_SHINGLES)).cast("long")
+
+
 def likely_edges(classes: DataFrame) -> DataFrame:
-    """A forest ``a, b`` whose trees hold every two classes that may be similar."""
+    """Edges ``a, b`` that hold every two classes that may be similar in one component.
+
+    A block of a list gives a star for each part of it that belongs together; a pair of blocks
+    gives only what joins parts of one to parts of the other.
+    """
     values = classes.select("node", F.explode("sketch").alias("value"))
     counts = stored(values.groupBy("value").agg(F.count(F.lit(1)).alias("count")).where("count > 1"))
     kept = F.size("sketch") - F.least(F.lit(SHARED), F.ceil(F.col("n_shingles") * PERCENT / 100)) + 1
@@ -218,21 +248,34 @@ def likely_edges(classes: DataFrame) -> DataFrame:
         "short",
         F.slice("prefix.value", F.lit(1), F.col("at")).alias("earlier"),
         F.col("p.value").alias("value"),
-        F.ceil(F.col("p.count") / BLOCK).cast("long").alias("blocks"),
+        # powers of two, so that lists of about the same members have the same blocks and give the same stars
+        F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("p.count") / BLOCK, F.lit(1.0))))).cast("long").alias("blocks"),
     )
 
     def likely(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) < 2:
             return []
-        _, low, high = key
-        nodes = [r[0] for r in rows]
-        block = np.array([r[4] for r in rows])
-        mask = _pairs(block == low, block == high, low == high)
-        mask &= _common([np.array(r[3], np.int64) for r in rows]) == 0  # an earlier list has the other pairs
-        found = _likely(np.array([r[1] for r in rows]), [np.frombuffer(r[2], "<u4") for r in rows], mask)
-        return [(nodes[a], nodes[b]) for a, b in _forest(found)]
+        rows = sorted(rows, key=lambda r: r[0])
+        nodes, block = np.array([r[0] for r in rows]), np.array([r[4] for r in rows])
+        known = _Sketches(np.array([r[1] for r in rows]), [np.frombuffer(r[2], "<u4") for r in rows])
+        # an earlier list has the other pairs
+        mask = np.triu(_common([np.array(r[3], np.int64) for r in rows]) == 0, 1)
+        mask &= (block[:, None] == block[None, :]) == (key[1] == key[2])
+        found = known.pairs(mask)
+        if not len(found):
+            return []
+        # what a leader joins is joined by this list's blocks or by earlier lists
+        led = _least(len(rows), np.concatenate([known.led(np.flatnonzero(block == x)) for x in set(key[1:])]))
+        part = _least(len(rows), led[found])
+        if key[1] != key[2]:
+            return _star(nodes, part)
+        part = part[led]
+        new = np.isin(part, part[found[:, 0]])
+        return _star(nodes, np.where(new, part, np.arange(len(rows))))
 
-    return _grouped(_blocks(rows, "node", "blocks"), ["value", "block_a", "block_b"], ["node", "n_shingles", "short", "earlier", "block"], likely, "a long, b long")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    copies = _met(rows, _up_to(F.col("blocks")))
+    return _grouped(copies, ["value", "block_a", "block_b"], ["node", "n_shingles", "short", "earlier", "block"], likely, "a long, b long")
 
 
 def _packed(docs: DataFrame, text: str) -> DataFrame:
@@ -251,32 +294,81 @@ def _packed(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).alias("_text")).mapInArrow(pack, "node long, packed binary")
 
 
-def links(docs: DataFrame, clusters: DataFrame, text: str = "text") -> DataFrame:
-    """A forest ``a, b`` of the links between the members ``node, cluster, n_shingles`` of each cluster."""
-    sizes = clusters.groupBy("cluster").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long").alias("blocks")
-    )
-    members = stored(clusters.join(sizes, "cluster").select("node", "cluster", "blocks"))
-    rows = _packed(docs, text).join(members, "node")
+def _linked(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+    """Stars of the parts ``(part, packed text, block)`` that links between the rows of two blocks join.
 
-    def linked(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
-        import zstandard
+    Rows of one block are compared if the key's blocks are the same one.
+    """
+    import zstandard
 
-        if len(rows) < 2:
-            return []
-        _, low, high = key
-        inflate = zstandard.ZstdDecompressor()
-        texts = pa.array([inflate.decompress(r[1]) for r in rows], pa.large_binary()).cast(pa.large_string())
-        sets = [s for _, _, data, offsets in slices(texts) for s in shingle_sets(data, offsets)]
-        nodes, block = [r[0] for r in rows], np.array([r[2] for r in rows])
-        sizes = np.array([len(s) for s in sets])
-        common = _common(sets)
-        union = sizes[:, None] + sizes[None, :] - common
-        mask = _pairs(block == low, block == high, low == high)
-        found = np.argwhere(mask & (union > 0) & (100 * common >= PERCENT * union))
-        return [(nodes[a], nodes[b]) for a, b in _forest(found)]
-
-    return _grouped(_blocks(rows, "node", "blocks"), ["cluster", "block_a", "block_b"], ["node", "packed", "block"], linked, "a long, b long")
+    rows = sorted(rows, key=lambda r: r[0])
+    parts, first = np.unique(np.array([r[0] for r in rows]), return_inverse=True)
+    if len(parts) < 2:
+        return []
+    inflate = zstandard.ZstdDecompressor()
+    texts = pa.array([inflate.decompress(r[1]) for r in rows], pa.large_binary()).cast(pa.large_string())
+    sets = [s for _, _, data, offsets in slices(texts) for s in shingle_sets(data, offsets)]
+    sizes, block = np.array([len(s) for s in sets]), np.array([r[2] for r in rows])
+    common = _common(sets)
+    union = sizes[:, None] + sizes[None, :] - common
+    mask = (first[:, None] != first[None, :]) & ((block[:, None] != block[None, :]) | (key[1] == key[2]))
+    found = np.argwhere(np.triu(mask & (union > 0) & (100 * common >= PERCENT * union), 1))
+    return _star(parts, _least(len(parts), first[found]))
+
+
+def links(docs: DataFrame, clusters: DataFrame, text: str = "text") -> DataFrame:
+    """Edges ``a, b`` that join exactly what links join among the members ``node, cluster, n_shingles`` of each cluster.
+
+    Members are compared within blocks, which gives parts. Of clusters of several blocks, the parts'
+    smallest members are compared next, in blocks again, and where several parts are left, members of
+    different parts: a large part has blocks of its own, which are not compared with each other.
+    """
+    key = ["cluster", "block_a", "block_b"]
+    sizes = clusters.groupBy("cluster").agg(_blocks_for(F.count(F.lit(1)), F.sum("n_shingles")).alias("blocks"))
+    members = stored(clusters.join(sizes, "cluster").select("node", "cluster", "n_shingles", "blocks"))
+    rows = stored(_packed(docs, text).join(members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")), "node"))
+
+    def compared(rows: DataFrame, part: str, others: Column) -> DataFrame:
+        return stored(_grouped(_met(rows, others), key, [part, "packed", "block"], _linked, "a long, b long"))
+
+    inside = compared(rows, "node", F.array("block"))
+    several = members.where("blocks > 1").select("node", "cluster", "n_shingles")
+    if several.isEmpty():
+        return inside
+
+    # a node is in one block, so the star gives its part
+    named = several.join(inside.withColumnRenamed("a", "node"), "node", "left").withColumn("part", F.coalesce("b", "node")).drop("b")
+    least = named.where("node = part")
+    sizes = least.groupBy("cluster").agg(_blocks_for(F.count(F.lit(1)), F.sum("n_shingles")).alias("blocks"))
+    least = least.join(sizes, "cluster").select("node", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").alias("block"))
+    texts = rows.select("node", "cluster", "packed")
+    between = compared(texts.join(least, "node"), "node", F.array("block"))
+
+    named = named.join(between.withColumnRenamed("a", "part"), "part", "left")
+    named = stored(named.select("node", "cluster", "n_shingles", F.coalesce("b", "part").alias("part")))
+    parts = named.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("count"), F.sum("n_shingles").alias("shingles"))
+    parts = parts.withColumn("own", _blocks_for(F.col("count"), F.col("shingles")))
+    parts = stored(parts.withColumn("own", F.when(F.col("own") > 1, F.col("own")).otherwise(0)))
+    small = F.col("own") == 0
+    shared = parts.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("parts"),
+        F.coalesce(_blocks_for(F.sum(F.when(small, F.col("count"))), F.sum(F.when(small, F.col("shingles")))), F.lit(0)).alias("shared"),
+        F.sum("own").alias("owned"),
+    )
+    # blocks are numbered from the shared ones on; parts with blocks of their own are at most one in 512 members
+    large = parts.where(~small).withColumn(
+        "first", F.sum("own").over(Window.partitionBy("cluster").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    )
+    parts = parts.select("cluster", "part", "own").join(large.select("cluster", "part", "first"), ["cluster", "part"], "left")
+    apart = named.join(parts, ["cluster", "part"]).join(shared.where("parts > 1"), "cluster")
+    first = F.col("shared") + F.coalesce("first", F.lit(0))
+    block = F.when(small, F.pmod(F.xxhash64("part"), F.col("shared"))).otherwise(first + F.pmod(F.xxhash64("node"), F.col("own")))
+    others = F.filter(
+        _up_to(F.col("shared") + F.col("owned")), lambda x: small | (x < first) | (x >= first + F.col("own"))
+    )
+    apart = apart.select("node", "part", block.alias("block"), others.alias("others"))
+    across = compared(texts.join(apart, "node"), "part", F.col("others"))
+    return inside.unionByName(between).unionByName(across)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,14 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """As ``stored``, in a Parquet table, whose size the plans that follow know."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def small_batches(frame: DataFrame, rows: int = 1000) -> DataFrame:
     """The frame, in a session that hands Python at most ``rows`` texts at a time, not the default ten thousand."""
     conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -113,6 +113,35 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert all(r["kept"] == (r["component_id"] == k) for k, r in out.items())
 
 
+def test_a_dense_group_has_few_edges(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    base, n = prose(5, 200), 600
+    docs = documents(spark, [edit(base, k, 2) for k in range(n)])
+    rows = neardup.sketches(docs).withColumnRenamed("doc_id", "node")
+    edges = neardup.likely_edges(rows.select("node", "n_shingles", "sketch", "short")).distinct()
+    assert edges.count() <= 3 * n + (n // 32) ** 2
+    found = neardup.links(docs, rows.selectExpr("node", "0L as cluster", "n_shingles"))
+    assert found.count() == n - 1
+    assert {r["component"] for r in components(found).collect()} == {0}
+
+
+def test_links_of_a_cluster_of_chains_and_a_large_part(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    texts = [edit(prose(1, 60), k, k % 2) for k in range(60)]  # a part with blocks of its own
+    for chain in range(12):
+        words = prose(50 + chain, 60).split(" ")
+        for k in range(7):  # each is like its neighbours only
+            texts.append(" ".join([*words[4 * k :], *prose(900 + chain, 60).split(" ")[: 4 * k]]))
+    sets, expected = near(texts)
+    assert len(set(expected.values())) < len(texts)
+    docs = documents(spark, texts)
+    members = spark.createDataFrame([(k, k % 2, len(s)) for k, s in enumerate(sets)], "node long, cluster long, n_shingles long")
+    pairs = [(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets[:a]) if (a - b) % 2 == 0 and 100 * len(x & y) >= 75 * len(x | y)]
+    found = {r["node"]: r["component"] for r in components(neardup.links(docs, members)).collect()}
+    groups = joined(pairs)
+    assert found == {x: min(y for y in groups if groups[y] == groups[x]) for x in groups}
+
+
 def test_near_duplicates_with_repeated_and_missing_ids(spark):
     a, b = prose(1, 60), prose(2, 60)
     docs = documents(spark, [a, a, b, b, None, "gone"], ids=[7, 7, 7, 9, 3, None])
