@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_BYTES = 8 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where it is unset on a local master, one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,10 +46,14 @@ def written(frame: DataFrame) -> DataFrame:
 
 
 def small_batches(frame: DataFrame, rows: int = 1000) -> DataFrame:
-    """The frame, in a session that hands Python at most ``rows`` texts at a time, not the default ten thousand."""
+    """The frame, in a session that hands Python at most ``rows`` texts at a time, about eight megabytes of them."""
     conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= rows:
         conf.set(name, str(rows))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", conf.get(name).lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
+        conf.set(name, f"{BATCH_BYTES}b")
     return frame
 
 

@@ -115,10 +115,10 @@ def sums_by_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class SpanIds:
-    """Token ids of byte spans, remembered by the span's 64-bit hash in a task of bounded memory."""
+    """Token ids of byte spans, remembered by the span's 64-bit hash: so many spans and ids, and those of one slice."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], limit: int = 1_500_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], limit: int = 1_000_000, most_ids: int = 4_000_000):
+        self.encode, self.limit, self.most_ids = encode, limit, most_ids
         self._clear()
 
     def _clear(self) -> None:
@@ -132,7 +132,7 @@ class SpanIds:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         total = int(lengths.sum())
         if self.used + total > len(self.ids):
-            grown = np.zeros(max(2 * len(self.ids), self.used + total), np.int32)
+            grown = np.zeros(max(len(self.ids) * 3 // 2, self.used + total), np.int32)
             grown[: self.used] = self.ids[: self.used]
             self.ids = grown
         if total:
@@ -149,7 +149,7 @@ class SpanIds:
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         keys, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.limit:
+        if len(self.keys) + len(keys) > self.limit or self.used > self.most_ids:
             self._clear()
         at = np.searchsorted(self.keys, keys)
         new = np.ones(len(keys), bool)

@@ -129,3 +129,15 @@ def test_stages_on_no_rows(spark):
     docs = documents(spark, ["x"]).where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def test_texts_under_one_id_leave_the_same_row_each_time(spark):
+    texts = [prose(k, 60) for k in range(4)]
+    docs = documents(spark, [*texts, prose(9, 60)], ids=[5, 5, 5, 5, 6])
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    found = {
+        tuple(sorted((r["doc_id"], r["text"]) for r in stage(spark, rows, SF).collect()))
+        for rows in (docs, docs.orderBy("text").coalesce(1), docs.repartition(7))
+    }
+    assert len(found) == 1
+    assert sorted(i for i, _ in found.pop()) == [5, 6]

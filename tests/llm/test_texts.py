@@ -1,11 +1,13 @@
 """The shared text helpers against plain Python."""
 
 import numpy as np
+import pytest
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import WORD
 
+from clickloom.llm.storage import small_batches
 from clickloom.llm.text import SpanIds, slices, span_hashes, windows, words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text("ab \n\té日", max_size=30)), max_size=8)
@@ -47,3 +49,24 @@ def test_remembered_spans_with_a_small_memory():
         ids, counts = cache.tokens(data, starts, ends)
         assert bytes(ids.tolist()) == text.replace(b" ", b"")
         assert counts.tolist() == [2] * len(starts)
+
+
+@pytest.mark.parametrize("set_to, expected", [("64m", "8388608b"), ("1g", "8388608b"), ("512k", "512k"), ("4096b", "4096b")])
+def test_batches_are_bounded_by_bytes(spark, set_to, expected):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, set_to)
+        small_batches(spark.range(1))
+        assert spark.conf.get(name) == expected
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_remembered_ids_are_bounded():
+    cache = SpanIds(lambda spans: [np.frombuffer(s, np.uint8).astype(np.int32) for s in spans], most_ids=50)
+    for k in range(40):
+        data = np.frombuffer(f"span{k}".encode() * 3, np.uint8)
+        ids, length = cache.tokens(data, np.array([0, 2]), np.array([len(data), 9]))
+        assert ids.tolist() == [*data.tolist(), *data[2:9].tolist()]
+        assert length.tolist() == [len(data), 7] and cache.used <= 50 + 30 + len(data)
