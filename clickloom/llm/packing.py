@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.storage import stored
-from clickloom.llm.text import LOWER, SPACE, SpanIds, map_texts
+from clickloom.llm.text import LOWER, SLICE, SPACE, SpanIds, map_texts
 
 CAPACITY = 2048
 END = 1
@@ -156,7 +156,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) ->
             zip(("start", "length", "ids_crc32", "doc_tokens"), columns, strict=True)
         )
 
-    return map_texts(docs, ["doc_id"], PIECES, cut)
+    return map_texts(docs, ["doc_id"], PIECES, cut, size=SLICE // 4)  # beside the tokenizer, a worker holds little
 
 
 def _identity(level: int, shards: Column, shard: Column, number: Column, k: Column) -> Column:
