@@ -5,8 +5,8 @@ kinds of characters, and words by bucket of a hash, of which the ``COMMON`` full
 language's common words and the others one rest class. A document fails if the Jensen-Shannon
 distance of one of its histograms from the reference is above a limit; a histogram with too few
 counts is not judged. The references of languages with under a thousandth of all words lie in a
-table, which their documents are joined with. A document of no language is held against the
-nearest of the other references.
+table, which their documents are joined with. A document whose language is null adds to no reference
+and is held against the nearest of those in memory; an empty name is a language like any other.
 
 Null texts have no words. Repeated rows are judged each and counted each in the references; a
 null ``doc_id`` stays null; extra columns are ignored; without documents there is nothing to judge.
@@ -44,11 +44,11 @@ def _histograms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def reference_counts(docs: DataFrame) -> DataFrame:
-    """``lang, item, n``: sums over all documents; items are kinds, then word buckets."""
+    """``lang, item, n``: sums over all documents of a language; items are kinds, then word buckets."""
     width = KINDS.index("inside")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str | None, np.ndarray] = {}
+        sums: dict[str, np.ndarray] = {}
 
         def passed() -> Iterator[pa.RecordBatch]:
             for lang, total in sums.items():
@@ -64,9 +64,10 @@ def reference_counts(docs: DataFrame) -> DataFrame:
             for low, high, data, offsets in slices(batch.column("_text")):
                 texts = Texts(data, offsets)
                 kinds, buckets = _histograms(texts)
-                names = sorted({x or "" for x in langs[low:high]})
-                which = np.array([names.index(x or "") for x in langs[low:high]])
-                found = np.bincount(which[texts.owner] * BUCKETS + buckets, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
+                names = sorted({x for x in langs[low:high] if x is not None})
+                number = {x: k for k, x in enumerate(names)}
+                which = np.array([number.get(x, len(names)) for x in langs[low:high]])  # the last: of no language
+                found = np.bincount(which[texts.owner] * BUCKETS + buckets, minlength=(len(names) + 1) * BUCKETS).reshape(-1, BUCKETS)
                 for k, name in enumerate(names):
                     total = sums.setdefault(name, np.zeros(width + BUCKETS, np.int64))
                     total[:width] += kinds[which == k].sum(0).astype(np.int64)

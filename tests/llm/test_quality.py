@@ -98,6 +98,21 @@ def test_rules_of_a_rare_language(spark):
     assert all(out[k]["word_distance"] is not None for k in (40, 41))
 
 
+def test_documents_without_a_language_make_no_reference(spark):
+    good = [prose(k, 300, vocabulary=12) for k in range(40)]
+    junk = [" ".join(f"{k}{j}#9{j * 7}" for j in range(300)) for k in range(12)]
+    judged = {}
+    for name in (None, ""):
+        docs = documents(spark, [*good, *junk], langs=["en"] * 40 + [name] * 12)
+        judged[name] = [r["kept"] for _, r in sorted(by_id(quality_rules.judge_documents(docs)).items())]
+        langs = {r["lang"] for r in quality_rules.reference_counts(docs).collect()}
+        assert langs == ({"en"} if name is None else {"en", ""})
+    assert judged[None] == [True] * 40 + [False] * 12
+    assert judged[""][:40] == [True] * 40
+    alone = quality_rules.judge_documents(documents(spark, good[:3], langs=[None] * 3)).collect()
+    assert [(r["kept"], r["word_distance"]) for r in alone] == [(not r["base_failed"], None) for r in alone]
+
+
 def test_divergence():
     p, q = np.array([[1.0, 0.0], [0.5, 0.5], [0.25, 0.75]]), np.array([0.5, 0.5])
     m = (p + q) / 2
