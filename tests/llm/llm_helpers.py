@@ -33,6 +33,19 @@ def edit(text, seed, changes):
     return " ".join(words)
 
 
+def scattered():
+    """Texts 2, 5, 8 and 11 share a passage of 100 words with the two that follow each, edited at every 15th; 0, 1 and the last two have its parts apart."""
+    wholes = [prose(9000 + k, 100).split() for k in range(4)]
+    parts = [" ".join(w[n : n + 24]) for w in wholes for n in range(0, 100, 10)]
+    texts = [" ".join(f"{part} {prose(9100 + 100 * d + n, 100)}" for n, part in enumerate(parts)) for d in range(4)]
+    inner = []
+    for k, whole in enumerate(wholes):
+        for n in range(3):
+            words = [f"new{k}{n}{i}" if n and i % 15 == 7 * n - 4 else w for i, w in enumerate(whole)]
+            inner.append(f"{prose(9600 + 3 * k + n, 40)} {' '.join(words)} {prose(9700 + 3 * k + n, 40)}")
+    return [*texts[:2], *inner, *texts[2:]]
+
+
 def documents(spark, texts, langs=None, ids=None):
     """``documents`` with extra columns whose names the operators use inside."""
     ids = ids or list(range(len(texts)))

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_helpers import AWKWARD, WORD, by_id, documents, edit, joined, near, prose
+from llm_helpers import AWKWARD, WORD, by_id, documents, edit, joined, near, prose, scattered
 
 from clickloom.llm import fingerprints, neardup, passages
 from clickloom.llm.graph import components
@@ -301,6 +301,34 @@ def test_passages_whose_parts_have_other_partners(spark):
     assert (4, 3) in {(r["doc_id"], r["other_id"]) for r in rows}
 
 
+@pytest.mark.parametrize("block", [passages.BLOCK, 1])
+def test_edited_passages_whose_seeds_have_other_first_and_last_documents(spark, monkeypatch, block):
+    """The first two and last two documents have each part of the passages, far from each other."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    texts = scattered()
+    found = {(r["doc_id"], r["other_id"]) for r in passages.shared_passages(documents(spark, texts)).collect()}
+    assert found >= {(2 + 3 * k + n, 2 + 3 * k) for k in range(4) for n in (1, 2)}
+    assert all(other >= 2 and doc < len(texts) - 2 for doc, other in found)
+
+
+def test_hopeful_places_by_alignment():
+    """No place that ``bounds`` makes a passage of is dropped."""
+    pick, passed = np.random.default_rng(7), 0
+    for n in range(600):
+        x = pick.integers(1, 200, 300)
+        y = np.where(pick.random(300) < pick.uniform(0.1, 0.5), pick.integers(1, 200, 300), x)
+        if n % 3 == 0:
+            y = np.concatenate((y[:170], pick.integers(1, 200, 2), y[170:298]))
+        i, j = 140, 140 + int(pick.integers(5, 20))
+        y[i : j + 5] = x[i : j + 5]
+        around = [np.concatenate((t[i - 64 : i][::-1], t[j + 5 : j + 69])).astype(np.uint8)[None] for t in (x, y)]
+        hopeful = bool(passages._hopeful(*around, np.array([j + 5 - i]))[0])
+        found = passages.bounds(x, y[i - passages.REACH : j + 5 + passages.REACH], [(i, passages.REACH), (j, passages.REACH + j - i)])
+        assert hopeful or found is None
+        passed += found is not None
+    assert 50 < passed < 550
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_all_shared_runs_by_brute_force(spark, seed):
     pick = random.Random(seed)
