@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_helpers import AWKWARD, WORD, by_id, documents, near, prose
+from llm_helpers import AWKWARD, WORD, by_id, documents, near, prose, scattered
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -65,6 +65,14 @@ def test_stages_on_awkward_rows(spark, tmp_path):
     assert set(at["packing"]) == set(at["secrets"])
 
 
+def test_edited_passages_that_only_middle_documents_have_are_cut(spark):
+    texts = scattered()
+    cut = by_id(corpus_pipeline.without_repeats(spark, documents(spark, texts), SF))
+    left = {k: len(WORD.findall(cut[k]["text"])) for k in cut}
+    first = {2, 5, 8, 11}
+    assert all(left[k] == 180 for k in first) and all(left[k] < 125 for k in {*range(2, 14)} - first)
+
+
 def test_language_stage_keeps_mixed_and_unlearned_texts(spark):
     parts = {"en": "the of and ing", "de": "sch keit ung ich", "fr": "eau oi que ment"}
     texts = [" ".join(words.split() * 20) for words in parts.values() for _ in range(8)]
