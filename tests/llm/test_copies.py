@@ -311,6 +311,27 @@ def test_edited_passages_whose_seeds_have_other_first_and_last_documents(spark,
     assert all(other >= 2 and doc < len(texts) - 2 for doc, other in found)
 
 
+def test_places_meet_those_with_free_seeds_only(spark, monkeypatch):
+    """Of 30 documents with two seeds, two of them freely, only these meet all: no row for each two blocks."""
+    monkeypatch.setattr(passages, "BLOCK", 1)
+    texts, n = [f"{prose(k, 70)} {prose(90, 20)} {prose(100 + k, 70)}" for k in range(30)], 30
+    rows = spark.createDataFrame([(k, [72, 80], [5, 6], [k < 2] * 2) for k in range(n)], "node long, at array<int>, codes array<long>, frees array<boolean>")
+    packed = passages._packed(documents(spark, texts), "text")
+    found = passages.contexts(rows, passages.met_keys(rows), packed)
+    assert found.count() <= 4 * n  # 30 a place with blocks that all meet
+    same = [prose(1, 160)] * n
+    met = passages.meetings(passages.contexts(rows, passages.met_keys(rows), passages._packed(documents(spark, same), "text"))).collect()
+    assert {(r["a"], r["b"]) for r in met} == {(a, b) for b in range(2) for a in range(b + 1, n)}
+
+
+def test_repetitive_texts_have_few_passages(spark):
+    texts = [f"{prose(k, 60)} {'again ' * n} {prose(10 + k, 40)}" for k, n in enumerate((400, 900, 650))]
+    texts += [f"{prose(20 + k, 60)} {'over and out ' * n} end" for k, n in enumerate((200, 300))]
+    rows = passages.shared_passages(documents(spark, texts)).collect()
+    assert _uncut_runs(texts, rows) == []
+    assert len(rows) < 700  # 1,737 before: about one for each beginning
+
+
 def test_hopeful_places_by_alignment():
     """No place that ``bounds`` makes a passage of is dropped."""
     pick, passed = np.random.default_rng(7), 0
