@@ -324,6 +324,13 @@ def test_places_meet_those_with_free_seeds_only(spark, monkeypatch):
     assert {(r["a"], r["b"]) for r in met} == {(a, b) for b in range(2) for a in range(b + 1, n)}
 
 
+def test_places_of_which_none_is_hopeful(spark):
+    texts = [prose(k, 160) for k in range(2)]
+    rows = spark.createDataFrame([(k, [72, 80], [5, 6], [True] * 2) for k in range(2)], "node long, at array<int>, codes array<long>, frees array<boolean>")
+    found = passages.contexts(rows, passages.met_keys(rows), passages._packed(documents(spark, texts), "text"))
+    assert passages.met_chains(passages.meetings(found)).collect() == []
+
+
 def test_repetitive_texts_have_few_passages(spark):
     texts = [f"{prose(k, 60)} {'again ' * n} {prose(10 + k, 40)}" for k, n in enumerate((400, 900, 650))]
     texts += [f"{prose(20 + k, 60)} {'over and out ' * n} end" for k, n in enumerate((200, 300))]
