@@ -10,6 +10,7 @@ from llm_helpers import AWKWARD, WORD, by_id, documents, edit, joined, near, pro
 
 from clickloom.llm import fingerprints, neardup, passages
 from clickloom.llm.graph import components
+from clickloom.llm.storage import bucketed
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -232,6 +233,24 @@ def test_seeds_of_several_documents(spark, monkeypatch, hot):
     assert sorted(map(tuple, passages.several(docs).collect())) == sorted(expected)
 
 
+def test_texts_are_dealt_out_once(spark, monkeypatch):
+    """What is joined with the texts moves, the texts stay where they are; no table is left behind."""
+    monkeypatch.setattr(passages, "BROADCAST_BYTES", -1)
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    docs = documents(spark, [prose(k, 60) for k in range(20)])
+    spark.conf.set(name, "-1")
+    try:
+        table, texts = bucketed(passages._packed(docs, "text"), "node")
+        found = passages._with_texts(spark.range(5).withColumnRenamed("id", "b"), texts, "b")
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert sorted(r["b"] for r in found.collect()) == list(range(5))
+    finally:
+        spark.conf.set(name, before)
+    spark.sql(f"DROP TABLE {table}")
+    passages.shared_passages(docs).collect()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
 def test_prefix_best():
     pick = random.Random(3)
     tree, known = passages.PrefixBest(50), {}
