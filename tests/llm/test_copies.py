@@ -1,6 +1,8 @@
 """Fingerprints (3), near duplicates (5), passages (10) and the graph helper."""
 
+import glob
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -10,7 +12,7 @@ from llm_helpers import AWKWARD, WORD, by_id, documents, edit, joined, near, pro
 
 from clickloom.llm import fingerprints, neardup, passages
 from clickloom.llm.graph import components
-from clickloom.llm.storage import bucketed
+from clickloom.llm.storage import bucketed, shared_folder
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -251,6 +253,28 @@ def test_texts_are_dealt_out_once(spark, monkeypatch):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
 
 
+def test_passages_leave_no_tables_behind(spark):
+    kept = os.path.join(shared_folder(spark), "*-*")
+    before = set(glob.glob(kept))
+    text = prose(1, 80)
+    assert passages.shared_passages(documents(spark, [text, text, f"{text} {text}"])).count() > 0
+    assert not [p for p in set(glob.glob(kept)) - before if os.path.basename(p).startswith(("table-", "bucketed_"))]
+
+
+def test_spans_are_joined_before_they_meet_texts(spark):
+    """Spans that overlap, touch or come again are one; while they are few, the texts do not move."""
+    spans = [(1, 5, 9), (1, 0, 3), (1, 3, 4), (1, 6, 8), (1, 5, 9), (2, 0, 2), (2, 2, 26)]
+    docs = documents(spark, ["abcdefghijklmnopqrstuvwxyz"] * 3)
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "-1")
+    try:
+        left = passages.without_passages(docs, spark.createDataFrame(spans, "doc_id long, start long, end long"))
+        assert "Exchange hashpartitioning" not in left._jdf.queryExecution().executedPlan().toString()
+        assert {k: r["text"] for k, r in by_id(left).items()} == {0: "abcdefghijklmnopqrstuvwxyz", 1: "e\njklmnopqrstuvwxyz"}
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_prefix_best():
     pick = random.Random(3)
     tree, known = passages.PrefixBest(50), {}
