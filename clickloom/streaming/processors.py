@@ -44,6 +44,8 @@ NUMBER = T.StructType([T.StructField("number", T.LongType())])
 BY_SEQ, BY_TAG = "seq", "tag"
 # Rows of the first and of the largest chunks, rows sorted at once while they come in, rows handed to a rule at once.
 FIRST, CHUNK, PIECE, SLICE = 16, 128, 8192, 1024
+# As many waiting rows of a key need no chunk.
+FEW = 8
 
 
 class InEventTime(StatefulProcessor):
@@ -53,7 +55,9 @@ class InEventTime(StatefulProcessor):
     times, so that a timer reads the chunks that hold due rows and no others. What is left of a
     chunk that the watermark has reached goes into new chunks, which no longer overlap in time. A row
     is therefore read as often as the watermark stops inside its chunk, however long rows wait, and
-    memory holds the chunks that overlap, however many rows are due.
+    memory holds the chunks that overlap, however many rows are due. Every call to the state costs more
+    than a row, so ``FEW`` rows wait beside the rule's memory, which is read anyway: a key with so few has no chunks
+    and no index. They are read again each time the key is looked at.
 
     ``held`` is the schema of what a row keeps while it waits. A row's place among those of the
     same time is by ``seq``, or by the higher tag and then ``seq``.
@@ -65,38 +69,54 @@ class InEventTime(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.memory = handle.getValueState("memory", LONGS)
-        self.index = handle.getValueState("index", LONGS)
         rows = T.StructType([T.StructField("rows", T.ArrayType(self.held))])
+        self.memory = handle.getValueState("memory", T.StructType([*LONGS, *rows]))
+        self.index = handle.getValueState("index", LONGS)
         self.waiting = handle.getMapState("waiting", NUMBER, rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        number, chunks = self._index()
-        earliest = chunks[0][0] if chunks else None
-        piece = []
+        known, few, number, chunks = self._load()
+        earliest, had, before = self._earliest(few, chunks), number, len(chunks)
+        piece = few
         for row in rows:
             piece.append(tuple(row[name] for name in self.held.names))
             if len(piece) == PIECE:
                 number = self._keep(piece, number, chunks)
                 piece = []
-        number = self._keep(piece, number, chunks)
-        self._set_index(number, chunks)
-        if earliest is None or chunks[0][0] < earliest:
-            self.handle.registerTimer(chunks[0][0])
+        few, number = self._wait(piece, number, chunks)
+        self._store(known, few, number, chunks, number != had, before)
+        first = self._earliest(few, chunks)
+        if first is not None and (earliest is None or first < earliest):
+            self.handle.registerTimer(first)
         return iter(())
 
-    def _index(self) -> tuple[int, list[tuple[int, int]]]:
-        """The next chunk's number, and (first time, number) of the waiting chunks in order of time."""
-        if not self.index.exists():
-            return 0, []
-        number, *flat = self.index.get()[0]
-        return number, list(zip(flat[::2], flat[1::2]))
-
-    def _set_index(self, number: int, chunks: list[tuple[int, int]]) -> None:
-        if chunks:
+    def _load(self) -> tuple[list[int], list[tuple], int, list[tuple[int, int]]]:
+        """The rule's memory, the few rows beside it, the next chunk's number, and (first time, number) of the chunks in order of time."""
+        if not self.memory.exists():
+            return [], [], 0, []
+        (indexed, *known), few = self.memory.get()
+        number, *flat = self.index.get()[0] if indexed else (0,)
+        return known, [tuple(values) for values in few], number, list(zip(flat[::2], flat[1::2]))
+
+    def _store(self, known: list[int], few: list[tuple], number: int, chunks: list[tuple[int, int]], changed: bool, before: int) -> None:
+        """The other way round; ``before`` says how many chunks there were, ``changed`` whether others have come."""
+        if chunks and (changed or len(chunks) != before):
             self.index.update(([number, *(v for c in chunks for v in c)],))
-        else:
+        elif before and not chunks:
             self.index.clear()
+        if known or few or chunks:
+            self.memory.update(([int(bool(chunks)), *(int(v) for v in known)], few))
+        else:
+            self.memory.clear()
+
+    def _earliest(self, few: list[tuple], chunks: list[tuple[int, int]]) -> int | None:
+        return min([c[0] for c in chunks[:1]] + [values[self.at] for values in few], default=None)
+
+    def _wait(self, rows: list[tuple], number: int, chunks: list[tuple[int, int]]) -> tuple[list[tuple], int]:
+        """Let rows wait, in chunks unless they are few; gives those few and the next number."""
+        if len(rows) <= FEW:
+            return rows, number
+        return [], self._keep(rows, number, chunks)
 
     def _keep(self, rows: list[tuple], number: int, chunks: list[tuple[int, int]]) -> int:
         """Let rows wait in new chunks, small ones for the rows that are due next; gives the next number."""
@@ -114,19 +134,26 @@ class InEventTime(StatefulProcessor):
     def _place(self, row: dict) -> tuple:
         return (row[TS_MS], -row["_tag"] if self.ties == BY_TAG else 0, row["seq"])
 
-    def _due(self, chunks: list[tuple[int, int]], now: int, later: list[tuple]) -> Iterator[dict]:
+    def _due(self, few: list[tuple], chunks: list[tuple[int, int]], now: int, later: list[tuple]) -> Iterator[dict]:
         """The rows up to ``now`` in order; chunks are taken out as they are reached, and what is later in them is set aside."""
-        ahead, loaded = [], 0
+        ahead: list[tuple] = []
+        loaded = 0
+
+        def load(rows: Sequence) -> None:
+            nonlocal loaded
+            for values in rows:
+                if values[self.at] > now:
+                    later.append(tuple(values))
+                    continue
+                row = dict(zip(self.held.names, values))
+                heapq.heappush(ahead, (self._place(row), loaded, row))
+                loaded += 1
+
+        load(few)
         while True:
             while chunks and chunks[0][0] <= now and (not ahead or chunks[0][0] <= ahead[0][0][0]):
                 _, number = chunks.pop(0)
-                for values in self.waiting.getValue((number,))[0]:
-                    if values[self.at] > now:
-                        later.append(tuple(values))
-                        continue
-                    row = dict(zip(self.held.names, values))
-                    heapq.heappush(ahead, (self._place(row), loaded, row))
-                    loaded += 1
+                load(self.waiting.getValue((number,))[0])
                 self.waiting.removeKey((number,))
             if not ahead:
                 return
@@ -134,11 +161,10 @@ class InEventTime(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        number, chunks = self._index()
-        waited = len(chunks)
-        known = list(self.memory.get()[0]) if self.memory.exists() else []
-        state, later = known, []
-        due = self._due(chunks, now, later)
+        known, few, number, chunks = self._load()
+        state = self.recalled(known)
+        had, before, later = number, len(chunks), []
+        due = self._due(few, chunks, now, later)
         rows = list(itertools.islice(due, SLICE))
         while True:
             following = list(itertools.islice(due, SLICE))
@@ -149,16 +175,20 @@ class InEventTime(StatefulProcessor):
             if not following:
                 break
             rows = following
-        if later or len(chunks) < waited:
-            self._set_index(self._keep(later, number, chunks), chunks)
-        if state:
-            self.memory.update(([int(v) for v in state],))
-        elif known:
-            self.memory.clear()
-        nexts = [c[0] for c in chunks[:1]] + ([deadline] if deadline is not None else [])
+        few, number = self._wait(later, number, chunks)
+        self._store(self.remembered(state, known), few, number, chunks, number != had, before)
+        nexts = [t for t in (self._earliest(few, chunks), deadline) if t is not None]
         if nexts:
             self.handle.registerTimer(min(nexts))
 
+    def recalled(self, known: list[int]):  # type: ignore[no-untyped-def]
+        """The rule's state, from the numbers that were kept."""
+        return known
+
+    def remembered(self, state, known: list[int]) -> list[int]:  # type: ignore[no-untyped-def]
+        """The numbers to keep of the rule's state; ``known`` are those it came from."""
+        return state
+
     def meet(self, key, rows: list[dict], state: list[int], now: int) -> tuple[list[Row], list[int], int | None]:
         """Results of the rows and of what ran out by ``now``, the new state, and when to look again."""
         raise NotImplementedError
@@ -185,23 +215,53 @@ class Folded(InEventTime):
 
 
 class ClickCap(InEventTime):
-    """Daily cap per key: state is the rows counted on each day, which goes when the watermark ends the day."""
+    """Daily cap for the keys of a bucket: state is the rows counted for each key on each day, which goes when the watermark ends the day.
+
+    What Spark asks of a processor for one key costs as much as very many rows, so keys come in buckets.
+    """
 
-    def __init__(self, cap: int, held: T.StructType):
+    def __init__(self, cap: int, held: T.StructType, keys: Sequence[str]):
         super().__init__(held)
-        self.cap = cap
+        self.cap, self.keys = cap, list(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        kinds = [self.held[k].dataType for k in self.keys] + [T.LongType(), T.LongType()]
+        self.days = handle.getValueState("days", T.StructType([T.StructField(f"_{n}", T.ArrayType(kind)) for n, kind in enumerate(kinds)]))
+
+    def recalled(self, known):
+        """Rows counted by key and end of the day."""
+        return {tuple(map(_same, key)): n for *key, n in zip(*self.days.get())} if known else {}
+
+    def remembered(self, state, known):
+        if state:
+            self.days.update(tuple(map(list, zip(*((*key, n) for key, n in state.items())))))
+        elif known:
+            self.days.clear()
+        return [1] if state else []
 
     def meet(self, key, rows, state, now):
-        days = {end: n for end, n in zip(state[::2], state[1::2])}
         out = []
         for row in rows:
-            end = row["_day_end"]
-            days[end] = n = days.get(end, 0) + 1
+            day = (*(_same(row[k]) for k in self.keys), row["_day_end"])
+            state[day] = n = state.get(day, 0) + 1
             if n <= self.cap + 2:
                 values = {k: v for k, v in row.items() if k != "_day_end"}
                 out.append(Row(**values, outcome=PASSED if n <= self.cap + 1 else WARNING))
-        open_days = sorted((end, n) for end, n in days.items() if end > now)
-        return out, [v for pair in open_days for v in pair], open_days[0][0] if open_days else None
+        state = {day: n for day, n in state.items() if day[-1] > now}
+        return out, state, min((day[-1] for day in state), default=None)
+
+
+_NAN = float("nan")
+
+
+def _same(value):  # type: ignore[no-untyped-def]
+    """A value that is equal to and found by what Spark takes for the same key."""
+    if isinstance(value, float) and value != value:
+        return _NAN
+    if isinstance(value, list):
+        return tuple(map(_same, value))
+    return bytes(value) if isinstance(value, bytearray) else value
 
 
 class FirstVisits(InEventTime):
@@ -266,15 +326,20 @@ def _fold(
     return _run(rows, keys, Folded(rule, held, schema.names, ties), schema)
 
 
-def stream_daily_cap(df: DataFrame, keys: Sequence[str], cap: int, zone: str = "UTC") -> DataFrame:
-    """Stream form of :func:`clickloom.operators.ratelimit.daily_cap`; windows may follow on its ``ts``."""
+def stream_daily_cap(df: DataFrame, keys: Sequence[str], cap: int, zone: str = "UTC", buckets: int = 1024) -> DataFrame:
+    """Stream form of :func:`clickloom.operators.ratelimit.daily_cap`; windows may follow on its ``ts``.
+
+    Keys are dealt over so many ``buckets``: the most tasks that share the work.
+    """
     names = df.columns
     day = F.date_add(F.lit("1970-01-01").cast("date"), calendar_day(F.col(TS_MS), zone) + 1)
     midnight = F.convert_timezone(F.lit(zone), F.lit("UTC"), day.cast("timestamp_ntz"))
     end = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), midnight)
     rows = df.withColumn("_day_end", end)
     held = _schema(rows, rows.columns)
-    return _run(rows, keys, ClickCap(cap, held), _schema(df, names, outcome=T.StringType()), TS)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket")
+    rows = rows.select("*", bucket)
+    return _run(rows, ["_bucket"], ClickCap(cap, held, keys), _schema(df, names, outcome=T.StringType()), TS)
 
 
 def stream_failures(

@@ -497,6 +497,45 @@ def test_waiting_rows_are_read_a_constant_number_of_times(each):
     assert max(per_row) < 12, per_row
 
 
+def test_few_waiting_rows_have_no_chunks():
+    """They lie beside the rule's memory; a row more and all go into a chunk, and what it leaves comes back."""
+    handle = FakeHandle()
+    recorder = Recorder(HELD)
+    recorder.init(handle)
+    few = [{"ts_ms": 10 * k, "seq": k} for k in (3, 1, 2)]
+    list(recorder.handleInputRows((1,), iter(few), Clock(0)))
+    assert not handle.states["waiting"] and not handle.states["index"] and min(handle.timers) == 10
+    assert recorder.handleExpiredTimer((1,), Clock(20), 10).__next__() == (10, 1)
+    more = [{"ts_ms": 100 + k, "seq": 10 + k} for k in range(processors.FEW)]
+    handle = FakeHandle()
+    recorder.init(handle)
+    list(recorder.handleInputRows((1,), iter(few + more), Clock(0)))
+    assert len(handle.states["waiting"]) == 1 and handle.states["index"]
+    assert list(recorder.handleExpiredTimer((1,), Clock(25), 10)) == [(10, 1), (20, 2)]
+    assert handle.states["waiting"]  # more than a few are left
+    assert list(recorder.handleExpiredTimer((1,), Clock(101), 30)) == [(30, 3), (100, 10), (101, 11)]
+    assert not handle.states["waiting"] and not handle.states["index"] and 102 in handle.timers
+    assert len(list(recorder.handleExpiredTimer((1,), Clock(200), 102))) == processors.FEW - 2
+
+
+def test_keys_of_a_bucket_are_capped_apart():
+    """Each key has its own count, also nulls and numbers that are none; counts come back between timers and go with the day."""
+    held = T.StructType([long("ts_ms"), long("seq"), long("_day_end"), T.StructField("value", T.DoubleType()), T.StructField("kind", T.StringType())])
+    handle = FakeHandle()
+    cap = processors.ClickCap(1, held, ["value", "kind"])
+    cap.init(handle)
+    kinds = [(1.0, "a"), (None, "a"), (float("nan"), "a"), (1.0, None), (float("nan"), "b")]
+    rows_in = [{"ts_ms": 10 * n + k, "seq": 10 * n + k, "_day_end": 100, "value": v, "kind": w} for n in range(4) for k, (v, w) in enumerate(kinds)]
+    out = []
+    for low, now in ((0, 19), (10, 99)):  # two rows of each key at a time
+        list(cap.handleInputRows((0,), iter(rows_in[low : low + 10]), Clock(now - 1)))
+        out += cap.handleExpiredTimer((0,), Clock(now), now)
+    got = [(r["seq"] % 10, r["outcome"]) for r in out]
+    assert sorted(got) == sorted((k, o) for k in range(5) for o in ("passed", "passed", "warning"))
+    assert handle.states["days"] and 100 in handle.timers
+    assert list(cap.handleExpiredTimer((0,), Clock(100), 100)) == [] and not any(handle.states.values())
+
+
 def test_very_many_due_rows_are_met_in_slices():
     handle, met, n = fed(1000, 9000, steps=3)
     assert len(met) == n == 27_000 and met == sorted(met)
